@@ -83,8 +83,12 @@ def stem_words(words: Column) -> Column:
     """Porter stems of an array of lower-case words."""
     words = F.transform(words, lambda w: F.regexp_replace(w, "^y", "Y"))
     for step in (_plural, _past, _final_y, _double_suffix, _long_suffix, _residual_suffix, _final_e):
-        words = F.transform(words, lambda w, step=step: F.when(F.length(w) > 2, step(w)).otherwise(w))
-    return F.transform(words, F.lower)
+        words = F.transform(words, _on_longer_words(step))
+    return F.transform(words, lambda w: F.lower(w))
+
+
+def _on_longer_words(step):
+    return lambda w: F.when(F.length(w) > 2, step(w)).otherwise(w)
 
 
 def _plural(w: Column) -> Column:

@@ -48,6 +48,19 @@ def record_snapshot(spark: SparkSession, root: str, run_id: str, record_count: i
     export_index(spark, root)
 
 
+def write_runs(rows: DataFrame, root: str, run: str = "run_id") -> None:
+    """K4/K5: many runs at once (a backfill), one snapshot and one history entry per run."""
+    base = f"{root.rstrip('/')}/snapshots"
+    rows.write.partitionBy(run).mode("errorifexists").json(base)
+    rows.groupBy(F.col(run).alias("run_id")).agg(F.count("*").alias("record_count")).select(
+        "run_id",
+        F.current_timestamp().cast("string").alias("created_at_utc"),
+        "record_count",
+        F.concat(F.lit(f"{base}/{run}="), "run_id").alias("snapshot_path"),
+    ).write.mode("append").json(entries_path(root))
+    export_index(rows.sparkSession, root)
+
+
 def is_recorded(spark: SparkSession, root: str, run_id: str) -> bool:
     """True when the history already has the run; no history yet means no."""
     try:

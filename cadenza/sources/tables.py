@@ -61,3 +61,30 @@ def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Play events with their song's title, artist and energy."""
     events = listening(table(spark, sf_dir, "events"))
     return lookup_join(events, songs(table(spark, sf_dir, "part")), "song_id", spread_by=["event_id"])
+
+
+def track_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as catalogue rows: raw features from their columns, part type as genre.
+
+    A (order, line) pair stands for a song; pairs that repeat are copies of that song.
+    """
+    lines = table(spark, sf_dir, "lineitem")
+    genres = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("main_genre")
+    )
+    joined = lookup_join(lines, genres, "l_partkey", spread_by=["l_orderkey", "l_linenumber"])
+    return joined.select(
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("song_id"),
+        F.col("main_genre"),
+        F.array("main_genre", "l_returnflag").alias("genres"),
+        (F.col("l_discount") * 10).alias("danceability"),
+        (F.col("l_quantity") / 50).alias("energy"),
+        (F.col("l_tax") * 12.5).alias("acousticness"),
+        (F.col("l_linenumber") / 7).alias("instrumentalness"),
+        (F.col("l_extendedprice") / 105000).alias("valence"),
+        (F.month("l_shipdate") / 12).alias("speechiness"),
+        (F.dayofmonth("l_shipdate") / 31).alias("liveness"),
+        (F.col("l_extendedprice") / 1000 - 80).alias("loudness"),
+        (F.col("l_quantity") * 8).alias("tempo"),
+        F.col("l_linenumber").alias("line"),
+    )
