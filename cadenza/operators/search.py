@@ -2,9 +2,9 @@
 
 An index is three tables. ``occurrences`` has one row per word of a document and carries
 the document's length, so scoring needs no join for it; ``vocabulary`` has one row per term
-with its document frequency; ``stats`` has one row. Building is narrow except for one range
-shuffle on (term, doc_id), which also cuts a very frequent term into many files. A query
-reads only its own terms' rows.
+with its document frequency; ``stats`` has one row. Analysing is narrow; writing adds one
+range shuffle on (term, doc_id), which also cuts a very frequent term into many files. A
+query reads only its own terms' rows.
 
 Scores follow BM25 with the usual defaults and the (k1 + 1) factor. A fuzzy term scores as
 all vocabulary terms within its edit distance, each weighted by closeness, with the highest
@@ -42,44 +42,61 @@ class FieldIndex:
     stats: DataFrame
     analyzer: Analyzer
 
-    def write(self, path: str) -> None:
-        ordered = self.occurrences.repartitionByRange("term", "doc_id")
-        ordered.sortWithinPartitions("term", "doc_id", "pos").write.parquet(f"{path}/occurrences")
-        by_term = self.vocabulary.repartitionByRange("term").sortWithinPartitions("term")
-        by_term.write.parquet(f"{path}/vocabulary")
-        self.stats.write.parquet(f"{path}/stats")
-
     @staticmethod
     def read(spark: SparkSession, path: str, analyzer: Analyzer) -> FieldIndex:
-        return FieldIndex(
-            spark.read.parquet(f"{path}/occurrences"),
-            spark.read.parquet(f"{path}/vocabulary"),
-            spark.read.parquet(f"{path}/stats"),
-            analyzer,
-        )
+        parts = [spark.read.parquet(f"{path}/{name}") for name in ("occurrences", "vocabulary", "stats")]
+        return FieldIndex(*parts, analyzer)
 
 
-def occurrences_of(documents: DataFrame, doc_id: str, text: str, analyzer: Analyzer) -> DataFrame:
-    """One row per word: term, doc_id, pos, doc_len."""
-    analysed = documents.select(
+def analysed_documents(documents: DataFrame, doc_id: str, text: str, analyzer: Analyzer) -> DataFrame:
+    """doc_id and its array of (term, pos)."""
+    return documents.select(
         F.col(doc_id).alias("doc_id"), tokens(F.col(text), analyzer).alias("tokens")
     )
-    words = analysed.select("doc_id", F.size("tokens").alias("doc_len"), F.explode("tokens").alias("t"))
-    return words.select("t.term", "doc_id", "t.pos", "doc_len")
 
 
-def build_index(documents: DataFrame, doc_id: str, text: str, analyzer: Analyzer = STANDARD) -> FieldIndex:
-    """Q1: index of one text column of documents with unique ids."""
-    analysed = documents.select(tokens(F.col(text), analyzer).alias("tokens"))
+def words_of(analysed: DataFrame) -> DataFrame:
+    """One row per word: term, doc_id, pos, doc_len.
+
+    The outer explode keeps the optimizer from adding a size filter, which it would push
+    below the analysis and so run the analysis twice.
+    """
+    sized = analysed.select("doc_id", F.size("tokens").alias("doc_len"), "tokens")
+    words = sized.select("doc_id", "doc_len", F.explode_outer("tokens").alias("t"))
+    return words.select("t.term", "doc_id", "t.pos", "doc_len").filter(F.col("term").isNotNull())
+
+
+def _index_of(analysed: DataFrame, analyzer: Analyzer) -> FieldIndex:
     distinct_terms = F.array_distinct(F.transform("tokens", lambda t: t["term"]))
     vocabulary = (
-        analysed.select(F.explode(distinct_terms).alias("term"))
+        analysed.select(F.explode_outer(distinct_terms).alias("term"))
+        .filter(F.col("term").isNotNull())
         .groupBy("term")
         .agg(F.count("*").alias("df"))
     )
-    lengths = analysed.select(F.size("tokens").alias("n")).filter("n > 0")
-    stats = lengths.agg(F.count("*").alias("n_docs"), F.avg("n").alias("avg_len"))
-    return FieldIndex(occurrences_of(documents, doc_id, text, analyzer), vocabulary, stats, analyzer)
+    n = F.nullif(F.col("n"), F.lit(0))  # a document without words does not count
+    stats = analysed.select(F.size("tokens").alias("n")).agg(
+        F.count(n).alias("n_docs"), F.avg(n).alias("avg_len")
+    )
+    return FieldIndex(words_of(analysed), vocabulary, stats, analyzer)
+
+
+def build_index(documents: DataFrame, doc_id: str, text: str, analyzer: Analyzer = STANDARD) -> FieldIndex:
+    """Q1: lazy index of one text column of documents with unique ids."""
+    return _index_of(analysed_documents(documents, doc_id, text, analyzer), analyzer)
+
+
+def write_index(documents: DataFrame, doc_id: str, text: str, analyzer: Analyzer, path: str) -> FieldIndex:
+    """Q1/K6: write the index below ``path``; the text is analysed once, into ``path/tokens``."""
+    spark = documents.sparkSession
+    analysed_documents(documents, doc_id, text, analyzer).write.parquet(f"{path}/tokens")
+    index = _index_of(spark.read.parquet(f"{path}/tokens"), analyzer)
+    by_term = index.occurrences.repartitionByRange("term", "doc_id")
+    by_term.sortWithinPartitions("term", "doc_id", "pos").write.parquet(f"{path}/occurrences")
+    terms = index.vocabulary.repartitionByRange("term").sortWithinPartitions("term")
+    terms.write.parquet(f"{path}/vocabulary")
+    index.stats.write.parquet(f"{path}/stats")
+    return FieldIndex.read(spark, path, analyzer)
 
 
 def analyse_query(spark: SparkSession, query: str, analyzer: Analyzer) -> list[tuple[str, int]]:

@@ -21,6 +21,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Documents for text analysis, spread over the cores when the scan has fewer tasks.
+
+    A scan of many files is left as it is, without a shuffle.
+    """
+    scan = table(spark, sf_dir, "documents").select(*columns)
+    enough = scan.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    return scan if enough else scan.repartition(spark.sparkContext.defaultParallelism, "doc_id")
+
+
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a file stream, with a timestamp that takes a watermark."""
     schema = table(spark, sf_dir, "events").schema

@@ -16,7 +16,7 @@ from cadenza.functions.features import FEATURES
 from cadenza.functions.text import Analyzer
 from cadenza.operators.latest import newest_run
 from cadenza.operators.scoring import collect_centroids, score_songs
-from cadenza.operators.search import indexable, occurrences_of
+from cadenza.operators.search import analysed_documents, indexable, words_of
 from cadenza.sinks.upsert import BATCH, KeyedTable, Sink, fan_out, unique_by
 from cadenza.sources.messages import json_objects
 from cadenza.sources.snapshots import is_recorded, record_snapshot, snapshot_path
@@ -67,7 +67,7 @@ def index_documents(messages: DataFrame, checkpoint: str, documents: KeyedTable,
         try:
             valid = unique_by(["doc_id"])(indexable(rows))
             documents.write(valid, batch_id)
-            occurrences.write(occurrences_of(valid, "doc_id", text, analyzer), batch_id)
+            occurrences.write(words_of(analysed_documents(valid, "doc_id", text, analyzer)), batch_id)
             ids = [F.coalesce(F.col(c), F.lit("")) == "" for c in ("song_id", "songId") if c in rows.columns]
             missing = ids[0] if len(ids) == 1 else ids[0] & ids[1]
             rows.filter(missing).write.mode("overwrite").parquet(f"{rejects_path}/{BATCH}={batch_id}")

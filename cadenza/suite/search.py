@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cadenza.functions.text import ENGLISH, KEYWORD, STANDARD
 from cadenza.operators import search as s
 from cadenza.session import scratch_folder
-from cadenza.sources.tables import table
+from cadenza.sources.tables import table, texts
 from cadenza.suite.registry import query, r9
 
 WORDS_SQL = r"""
@@ -26,7 +26,7 @@ MATCH_SQL = f"""WITH {WORDS_SQL}
 
 
 def _index(spark, sf_dir, text="text", analyzer=STANDARD):
-    return s.build_index(table(spark, sf_dir, "documents"), "doc_id", text, analyzer)
+    return s.build_index(texts(spark, sf_dir, "doc_id", text), "doc_id", text, analyzer)
 
 
 @query("bm25_match", MATCH_SQL)
@@ -82,11 +82,14 @@ def repeated_word_phrase(spark, sf_dir):
     return s.phrase_scores(_index(spark, sf_dir), [("the", 0), ("the", 2)]).select("doc_id", "freq")
 
 
+# DuckDB counts edits in bytes, an edit distance counts letters: one byte per letter first.
+# (The query words are ASCII, so no replaced letter can equal one of theirs.)
+ASCII_TERM = r"regexp_replace(term, '[^\x00-\x7F]', '~', 'g')"
 FUZZY_SQL = f"""WITH {WORDS_SQL},
     q AS (SELECT * FROM (VALUES (0, 'therre', 2), (1, 'haand', 1)) v(query_pos, query_term, k)),
-    near AS (SELECT query_pos, term, df, levenshtein(term, query_term) AS edits,
+    near AS (SELECT query_pos, term, df, levenshtein({ASCII_TERM}, query_term) AS edits,
                     least(length(term), length(query_term)) AS shorter
-             FROM vocabulary, q WHERE levenshtein(term, query_term) <= k),
+             FROM vocabulary, q WHERE levenshtein({ASCII_TERM}, query_term) <= k),
     blended AS (SELECT query_pos, max(df) AS top_df FROM near GROUP BY query_pos),
     weights AS (SELECT term, sum((1 - edits / shorter) * {IDF_SQL.format(df='top_df')}) AS weight
                 FROM near JOIN blended USING (query_pos), stats GROUP BY term)
@@ -98,15 +101,15 @@ FUZZY_SQL = f"""WITH {WORDS_SQL},
 def fuzzy_match(spark, sf_dir):
     """Q3: two words within their edit distance, over a written index."""
     path = scratch_folder(spark, "index")
-    _index(spark, sf_dir).write(path)
-    scores = s.fuzzy_scores(s.FieldIndex.read(spark, path, STANDARD), ["therre", "haand"])
+    index = s.write_index(texts(spark, sf_dir, "doc_id", "text"), "doc_id", "text", STANDARD, path)
+    scores = s.fuzzy_scores(index, ["therre", "haand"])
     return scores.withColumn("score", F.round("score", 6))
 
 
 @query(
     "fuzzy_terms",
     f"""WITH {WORDS_SQL}
-    SELECT term, df, levenshtein(term, 'haand') AS edits FROM vocabulary WHERE levenshtein(term, 'haand') <= 1""",
+    SELECT term, df, levenshtein({ASCII_TERM}, 'haand') AS edits FROM vocabulary WHERE levenshtein({ASCII_TERM}, 'haand') <= 1""",
 )
 def fuzzy_terms(spark, sf_dir):
     """Q3: the vocabulary terms one typo tolerates."""
@@ -158,7 +161,7 @@ def document_lookup(spark, sf_dir):
 @query("english_search")
 def english_search(spark, sf_dir):
     """Q1-Q8 end to end: stemmed lyrics, fuzzy match, result shape."""
-    docs = table(spark, sf_dir, "documents").select(
+    docs = texts(spark, sf_dir, "doc_id", "source", "text", "lang", "n_chars").select(
         F.col("doc_id").cast("string").alias("song_id"),
         F.col("source").alias("title"),
         F.col("source").alias("primary_artist"),
@@ -170,6 +173,5 @@ def english_search(spark, sf_dir):
         F.lit(2000).alias("year"),
     )
     path = scratch_folder(spark, "english-index")
-    s.build_index(docs, "song_id", "lyrics", ENGLISH).write(path)
-    index = s.FieldIndex.read(spark, path, ENGLISH)
+    index = s.write_index(docs, "song_id", "lyrics", ENGLISH, path)
     return s.search(docs, index, "relational thinkings", size=25)
