@@ -1,33 +1,37 @@
 """One row per key: de-duplication, last write wins, newest run.
 
-All of them are aggregates over ``max_by``, so every map task sends at most one row per
-key. A window with ``row_number`` would gather a hot key's rows in one task instead.
+A row is kept as the greatest (or smallest) struct of its order columns and then all others,
+so every map task sends at most one row per key. A window with ``row_number`` would gather a
+hot key's rows in one task instead.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def latest_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def latest_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """Keep the row with the greatest ``order`` for each key.
 
     The remaining columns break ties, so the kept row does not depend on arrival order.
     """
-    rest = [c for c in rows.columns if c not in keys]
-    rank = F.struct(*order, *[c for c in rest if c not in order])
-    kept = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), rank).alias("kept"))
-    return kept.select(*keys, "kept.*").select(*rows.columns)
+    return _extreme(rows, keys, order, F.max)
 
 
-def first_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def first_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """Keep the row with the smallest ``order`` for each key."""
-    rest = [c for c in rows.columns if c not in keys]
-    rank = F.struct(*order, *[c for c in rest if c not in order])
-    kept = rows.groupBy(*keys).agg(F.min_by(F.struct(*rest), rank).alias("kept"))
+    return _extreme(rows, keys, order, F.min)
+
+
+def _extreme(rows: DataFrame, keys: Sequence[str], order: Sequence[str],
+             pick: Callable[[Column], Column]) -> DataFrame:
+    rest = [c for c in rows.columns if c not in keys and c not in order]
+    if not order and not rest:
+        return rows.distinct()
+    kept = rows.groupBy(*keys).agg(pick(F.struct(*order, *rest)).alias("kept"))
     return kept.select(*keys, "kept.*").select(*rows.columns)
 
 

@@ -8,13 +8,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.functions.features import FEATURES, RAW_OF, is_measured, model_feature
+from cadenza.functions.features import FEATURES, RAW_OF, model_feature
 
 MAX_CENTROIDS = 10_000
+MAX_WRITTEN_TERMS = 250
 NO_CLUSTER = -1
 
 
@@ -39,45 +41,47 @@ def nearest_centroid(values: Sequence[Column], centroids: Sequence[Centroid],
                      digits: int | None = None) -> Column:
     """Struct (d2, cluster_id) of the closest centroid; the smaller id wins a tie.
 
-    NULL when any value is missing. ``digits`` rounds the squared distance first.
+    ``d2`` is NULL when any value is missing. ``digits`` rounds the squared distance first.
+    Up to ``MAX_WRITTEN_TERMS`` the distances are written out as plain arithmetic, which
+    compiles with the scan; more of them are folded over an array.
     """
-    point = F.when(
-        _all(is_measured(v) for v in values), F.array(*[v.cast("double") for v in values])
-    )
-    return nearest_to_array(point, centroids, digits)
-
-
-def nearest_to_array(point: Column, centroids: Sequence[Centroid], digits: int | None = None) -> Column:
-    """The same for one array<double> column."""
     if not centroids:
         raise ValueError("no centroids to compare with")
+    values = [F.nanvl(v.cast("double"), F.lit(None).cast("double")) for v in values]
+    if len(centroids) * len(values) > MAX_WRITTEN_TERMS:
+        return _folded(F.array(*values), centroids, digits)
+    return _written_out(values, centroids, digits)
+
+
+def _candidate(d2: Column, cluster_id: Column, digits: int | None) -> Column:
+    d2 = d2 if digits is None else F.round(d2, digits)
+    return F.struct(d2.alias("d2"), cluster_id.alias("cluster_id"))
+
+
+def _written_out(values, centroids, digits) -> Column:
+    candidates = []
+    for c in centroids:
+        gaps = [v - F.lit(x) for v, x in zip(values, c.values, strict=True)]
+        d2 = reduce(lambda a, b: a + b, (g * g for g in gaps))
+        candidates.append(_candidate(d2, F.lit(c.cluster_id), digits))
+    return F.least(*candidates) if len(candidates) > 1 else candidates[0]
+
+
+def _folded(point, centroids, digits) -> Column:
     table = F.array(
         *[
             F.struct(
-                F.lit(c.cluster_id).alias("cluster_id"),
-                F.array(*[F.lit(v) for v in c.values]).alias("v"),
+                F.lit(c.cluster_id).alias("cluster_id"), F.array(*[F.lit(x) for x in c.values]).alias("v")
             )
             for c in centroids
         ]
     )
 
-    def distance(c: Column) -> Column:
-        d2 = F.aggregate(
-            F.zip_with(point, c["v"], lambda a, b: (a - b) * (a - b)),
-            F.lit(0.0),
-            lambda total, d: total + d,
-        )
-        d2 = d2 if digits is None else F.round(d2, digits)
-        return F.struct(d2.alias("d2"), c["cluster_id"].alias("cluster_id"))
-
-    return F.when(point.isNotNull(), F.array_min(F.transform(table, distance)))
-
+    def candidate(c: Column) -> Column:
+        squares = F.zip_with(point, c["v"], lambda a, b: (a - b) * (a - b))
+        return _candidate(F.aggregate(squares, F.lit(0.0), lambda total, d: total + d), c["cluster_id"], digits)
 
-def _all(conditions):
-    result = F.lit(True)
-    for condition in conditions:
-        result = result & condition
-    return result
+    return F.array_min(F.transform(table, candidate))
 
 
 def score_songs(songs: DataFrame, centroids: Sequence[Centroid]) -> DataFrame:
@@ -86,11 +90,12 @@ def score_songs(songs: DataFrame, centroids: Sequence[Centroid]) -> DataFrame:
     A missing struct or any missing feature gives cluster -1.
     """
     values = [model_feature(f, F.col(f"features.{RAW_OF[f]}")) for f in FEATURES]
-    best = nearest_centroid(values, centroids)
-    return songs.select(
+    cluster = F.when(F.col("best.d2").isNotNull(), F.col("best.cluster_id")).otherwise(NO_CLUSTER)
+    scored = songs.select("song_id", "title", "artist", nearest_centroid(values, centroids).alias("best"))
+    return scored.select(
         "song_id",
         "title",
         "artist",
-        F.coalesce(best["cluster_id"], F.lit(NO_CLUSTER)).cast("int").alias("cluster_id"),
+        cluster.cast("int").alias("cluster_id"),
         F.current_timestamp().alias("classified_at"),
     )

@@ -110,7 +110,8 @@ def fit(frame: DataFrame, k: int, config: ClusteringConfig) -> Fit:
         k=k, seed=config.seed, maxIter=config.max_iter, tol=config.tol,
         featuresCol=VECTOR, predictionCol="cluster_id",
     )
-    model = estimator.fit(frame)
+    # The vector alone is not a cached frame, so the estimator keeps its own rows in memory.
+    model = estimator.fit(frame.select(VECTOR))
     evaluator = ClusteringEvaluator(
         featuresCol=VECTOR, predictionCol="cluster_id", metricName="silhouette",
         distanceMeasure="squaredEuclidean",

@@ -64,4 +64,4 @@ def fan_out(*sinks: Sink) -> Sink:
 
 def unique_by(keys: Sequence[str]) -> Callable[[DataFrame], DataFrame]:
     """Keep one row per key inside a micro-batch, the greatest by its other columns."""
-    return lambda rows: latest_per_key(rows, keys, [c for c in rows.columns if c not in keys])
+    return lambda rows: latest_per_key(rows, keys)

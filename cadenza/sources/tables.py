@@ -21,14 +21,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def texts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """Documents for text analysis, spread over the cores when the scan has fewer tasks.
+def spread(scan: DataFrame, *keys: str) -> DataFrame:
+    """Give a plain scan with fewer tasks than cores to all cores.
 
-    A scan of many files is left as it is, without a shuffle.
+    A scan of many files or row groups is left as it is, without a shuffle.
     """
-    scan = table(spark, sf_dir, "documents").select(*columns)
-    enough = scan.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
-    return scan if enough else scan.repartition(spark.sparkContext.defaultParallelism, "doc_id")
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, *keys)
+
+
+def texts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Documents for text analysis."""
+    return spread(table(spark, sf_dir, "documents").select(*columns), "doc_id")
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,7 +82,7 @@ def track_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     A (order, line) pair stands for a song; pairs that repeat are copies of that song.
     """
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
     genres = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("main_genre")
     )

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from cadenza.functions.features import FEATURES, RAW_OF
 from cadenza.functions.values import CENTROID_BANDS, band
 from cadenza.operators import feeds, profiles
-from cadenza.operators.scoring import collect_centroids, nearest_centroid, nearest_to_array, score_songs
+from cadenza.operators.scoring import collect_centroids, nearest_centroid, score_songs
 from cadenza.plans import clustering as job
 from cadenza.plans.centroids import centroid_rows
 from cadenza.schemas import SONG_TO_CLASSIFY
@@ -118,12 +118,13 @@ def nearest_centroid_songs(spark, sf_dir):
 )
 def nearest_centroid_vectors(spark, sf_dir):
     """Nearest per-label mean of 64-dimensional vectors."""
-    rows = table(spark, sf_dir, "embeddings").withColumn("v", F.col("embedding").cast("array<double>"))
+    rows = table(spark, sf_dir, "embeddings")
+    values = [F.get("embedding", i).cast("double") for i in range(64)]
     means = rows.groupBy(F.col("label").alias("cluster_id")).agg(
-        *[F.round(F.avg(F.get("v", i)), 9).alias(f"m{i}") for i in range(64)]
+        *[F.round(F.avg(v), 9).alias(f"m{i}") for i, v in enumerate(values)]
     )
     centroids = collect_centroids(means, F.array(*[f"m{i}" for i in range(64)]))
-    best = nearest_to_array(F.col("v"), centroids, digits=9)
+    best = nearest_centroid(values, centroids, digits=9)
     return rows.select("vec_id", best.alias("best")).select("vec_id", "best.cluster_id", "best.d2")
 
 
