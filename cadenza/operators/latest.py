@@ -35,7 +35,7 @@ def _extreme(rows: DataFrame, keys: Sequence[str], order: Sequence[str],
     return kept.select(*keys, "kept.*").select(*rows.columns)
 
 
-def newest_run(rows: DataFrame, run: str = "run_id", order: Sequence[str] = ("run_id",)) -> DataFrame:
+def newest_run(rows: DataFrame, run: str = "run_id", order: Sequence[str] = ()) -> DataFrame:
     """Keep the rows of the newest run; the run is found by a one-row subquery."""
     newest = rows.agg(F.max_by(run, F.struct(*order, run)))
     return rows.filter(F.col(run) == newest.scalar())

@@ -9,8 +9,9 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector
@@ -44,6 +45,9 @@ class ClusteringConfig:
     source_topic: str = SOURCE_TOPIC
     # Fixed width of the training frame: fits repeat only with the same layout.
     partitions: int | None = None
+    # Fits of the sweep at the same time; more than one pays off on small data only, since
+    # each keeps its own rows in memory.
+    parallelism: int = 1
 
 
 @dataclass(frozen=True)
@@ -154,7 +158,9 @@ def metric_rows(config: ClusteringConfig, candidates: Sequence[Fit], final: Fit,
 
 def sweep(frame: DataFrame, config: ClusteringConfig) -> list[Fit]:
     """M6: fit every candidate K on the selection rows."""
-    return [fit(frame, k, config) for k in config.candidate_ks]
+    with ThreadPool(min(config.parallelism, len(config.candidate_ks))) as pool:
+        one = inheritable_thread_target(frame.sparkSession)(lambda k: fit(frame, k, config))
+        return pool.map(one, config.candidate_ks)
 
 
 def default_partitions(spark: SparkSession) -> int:

@@ -21,12 +21,12 @@ def snapshot_path(root: str, run_id: str) -> str:
 
 
 def entries_path(root: str) -> str:
-    return f"{root.rstrip('/')}/_history"
+    return f"{root.rstrip('/')}/history"
 
 
 def index_path(root: str) -> str:
-    """The one place of the exported index."""
-    return f"{root.rstrip('/')}/_index.json"
+    """The one place of the exported index; Spark would skip a name that starts with ``_``."""
+    return f"{root.rstrip('/')}/index.json"
 
 
 def write_snapshot(rows: DataFrame, root: str, run_id: str) -> str:

@@ -207,7 +207,7 @@ def snapshot_history(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     root = scratch_folder(spark, "history")
     write_runs(orders.withColumn("run_id", F.date_format("o_orderdate", "yyyyMM")), root)
-    return spark.read.json(f"{root}/_history").select("run_id", "record_count")
+    return spark.read.json(f"{root}/history").select("run_id", "record_count")
 
 
 @query(
