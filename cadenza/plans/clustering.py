@@ -23,7 +23,7 @@ from cadenza.functions.values import genre_or_unknown
 from cadenza.operators.feeds import bernoulli_sample, first_rows
 from cadenza.operators.latest import latest_per_key
 from cadenza.operators.profiles import (
-    SOURCE_TOPIC, assignment_signals, assignments, cluster_profiles, profile_signals,
+    SOURCE_TOPIC, assignment_signals, assignments, by_genre, cluster_profiles, profile_signals,
 )
 from cadenza.schemas import BATCH_RUN, CLUSTER_METRIC
 
@@ -196,7 +196,9 @@ def run_clustering(metadata: DataFrame, config: ClusteringConfig) -> ClusteringR
 
     assigned = final.model.transform(frame).drop(VECTOR)
     centroids = centroid_table(spark, config.run_id, final.model)
-    profiles = cluster_profiles(assigned, config.run_id)
+    genres = by_genre(assigned).persist(StorageLevel.MEMORY_AND_DISK)
+    cached.append(genres)
+    profiles = cluster_profiles(genres, config.run_id)
     now = dt.datetime.now(dt.timezone.utc)
     notes = (
         f"selection_sample_fraction={config.selection_fraction}; "

@@ -16,6 +16,7 @@ from cadenza.operators.scoring import collect_centroids, nearest_centroid, score
 from cadenza.plans import clustering as job
 from cadenza.plans.centroids import centroid_rows
 from cadenza.schemas import SONG_TO_CLASSIFY
+from cadenza.session import scratch_folder
 from cadenza.sources.tables import table, track_metadata
 from cadenza.suite.registry import query, r9
 
@@ -58,8 +59,15 @@ _GENRES_SQL = f"""{_PROFILE_SQL},
 
 
 # --- Spark building blocks ------------------------------------------------------------
+def _kept(rows, name):
+    """A frame used several times: written once to the shared scratch folder, read from there."""
+    path = scratch_folder(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
 def _songs(spark, sf_dir):
-    return job.normalise_songs(track_metadata(spark, sf_dir))
+    return _kept(job.normalise_songs(track_metadata(spark, sf_dir)), "songs")
 
 
 def _line_of(song_id):
@@ -73,22 +81,25 @@ def _given_centroids(songs):
     return means, collect_centroids(means, F.array(*FEATURES))
 
 
-def _assigned(spark, sf_dir):
-    songs = _songs(spark, sf_dir)
-    _, centroids = _given_centroids(songs)
+def _assign(songs, centroids):
     best = nearest_centroid([F.col(f) for f in FEATURES], centroids, digits=9)
     return songs.withColumn("best", best).select("*", "best.*").drop("best")
 
 
-def _centroid_table(spark, sf_dir):
-    means, _ = _given_centroids(_songs(spark, sf_dir))
-    return means.select(
-        F.lit(RUN).alias("run_id"), "cluster_id", *[F.col(f).alias(f"centroid_{f}") for f in FEATURES]
-    )
+def _assigned(spark, sf_dir):
+    songs = _songs(spark, sf_dir)
+    return _assign(songs, _given_centroids(songs)[1])
 
 
-def _profiles(spark, sf_dir):
-    return profiles.cluster_profiles(_assigned(spark, sf_dir), RUN)
+def _profiled(spark, sf_dir):
+    """Profiles and centroid table of the given centroids."""
+    songs = _songs(spark, sf_dir)
+    means, centroids = _given_centroids(songs)
+    table = means.select(
+        F.lit(RUN).alias("run_id"), "cluster_id", *[F.col(f).alias(f"centroid_{f}") for f in FEATURES]
+    )
+    genres = _kept(profiles.by_genre(_assign(songs, centroids)), "genres")
+    return profiles.cluster_profiles(genres, RUN), table
 
 
 # --- queries --------------------------------------------------------------------------
@@ -134,14 +145,14 @@ def nearest_centroid_vectors(spark, sf_dir):
 )
 def cluster_profile_given(spark, sf_dir):
     """Size and averages per given cluster."""
-    averages = profiles.cluster_averages(_assigned(spark, sf_dir))
+    averages = profiles.cluster_averages(profiles.by_genre(_assigned(spark, sf_dir)))
     return averages.withColumns({f"avg_{f}": r9(f"avg_{f}") for f in FEATURES})
 
 
 @query("cluster_top_genres", f"WITH {_GENRES_SQL} SELECT * FROM top")
 def cluster_top_genres(spark, sf_dir):
     """Five most frequent genres per cluster with shares."""
-    top = profiles.top_genres(_assigned(spark, sf_dir))
+    top = profiles.top_genres(_kept(profiles.by_genre(_assigned(spark, sf_dir)), "genres"))
     return top.withColumn("genre_rank", F.col("genre_rank").cast("bigint"))
 
 
@@ -152,7 +163,7 @@ def cluster_top_genres(spark, sf_dir):
 )
 def centroid_overview(spark, sf_dir):
     """Profiles joined to centroids on run and cluster."""
-    overview = profiles.cluster_overview(_profiles(spark, sf_dir), _centroid_table(spark, sf_dir))
+    overview = profiles.cluster_overview(*_profiled(spark, sf_dir))
     return overview.drop("top_genres_json").withColumns({f"avg_{f}": r9(f"avg_{f}") for f in FEATURES})
 
 
@@ -167,7 +178,7 @@ def centroid_overview(spark, sf_dir):
 )
 def profile_signals(spark, sf_dir):
     """Profile messages written, then loaded as the centroid table."""
-    messages = profiles.profile_signals(_profiles(spark, sf_dir), _centroid_table(spark, sf_dir))
+    messages = profiles.profile_signals(*_profiled(spark, sf_dir))
     loaded = centroid_rows(messages).orderBy("cluster_id")
     return loaded.withColumn("dance_band", band(F.col("danceability"), CENTROID_BANDS))
 

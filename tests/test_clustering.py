@@ -122,7 +122,7 @@ def test_forced_k_sampling_and_empty_input(spark):
 def test_top_genres_break_ties_by_name_and_stop_at_five(spark):
     rows = [(1, g) for g in "ffeeddccbba"]
     assigned = spark.createDataFrame(rows, "cluster_id int, main_genre string")
-    top = profiles.top_genres(assigned).orderBy("genre_rank").collect()
+    top = profiles.top_genres(profiles.by_genre(assigned, [])).orderBy("genre_rank").collect()
     assert [r.genre for r in top] == ["b", "c", "d", "e", "f"]
     assert top[0].genre_ratio == round(2 / 11, 6)
 
