@@ -52,6 +52,9 @@ def lookup_join(
         broadcast = fits_broadcast(lookup)
     if broadcast:
         return rows.join(F.broadcast(lookup), key, how)
+    if rows.isStreaming:
+        # Counting keys would need state; a micro-batch is small enough for a plain join.
+        return rows.join(lookup, key, how)
     return _split_hot_keys(rows, lookup, key, spread_by, how, rows_per_piece)
 
 

@@ -30,6 +30,8 @@ K1 = 1.2
 B = 0.75
 FIELD_ANALYZERS = {"lyrics": ENGLISH, "title": STANDARD, "primary_artist": KEYWORD}
 MATCH, PHRASE = "match", "match_phrase"
+# Up to this many matching terms are listed in the query plan.
+LISTED_TERMS = 2_000
 CATALOGUE_SOURCE = "kaggle_songs_csv"
 
 
@@ -171,6 +173,20 @@ def fuzzy_expansions(index: FieldIndex, terms: Sequence[str]) -> DataFrame:
     )
 
 
+def _words_with(occurrences: DataFrame, weights: DataFrame) -> DataFrame:
+    """Words of the weighted terms, before any grouping, so that only they are shuffled.
+
+    Usually a typo tolerates few terms: they become a filter the scan can use and a small
+    broadcast table. Otherwise the tables are joined in full.
+    """
+    found = weights.take(LISTED_TERMS + 1)
+    if len(found) > LISTED_TERMS:
+        return lookup_join(occurrences, weights, "term", spread_by=["doc_id"], how="inner")
+    listed = occurrences.sparkSession.createDataFrame(found, weights.schema)
+    chosen = occurrences.filter(F.col("term").isin([r["term"] for r in found]))
+    return chosen.join(F.broadcast(listed), "term")
+
+
 def fuzzy_scores(index: FieldIndex, terms: Sequence[str]) -> DataFrame:
     """Q2+Q3: match with typo tolerance."""
     n_docs, avg_len = _corpus(index)
@@ -182,8 +198,7 @@ def fuzzy_scores(index: FieldIndex, terms: Sequence[str]) -> DataFrame:
         .groupBy("term")
         .agg(F.sum(closeness * _idf(F.col("blended_df"), n_docs)).alias("weight"))
     )
-    # Joined before grouping: only words of matching terms are shuffled.
-    matched = lookup_join(index.occurrences, weights, "term", spread_by=["doc_id"], how="inner")
+    matched = _words_with(index.occurrences, weights)
     hits = matched.groupBy("doc_id", "doc_len", "term", "weight").agg(F.count("*").alias("freq"))
     score = F.col("weight") * _saturation(F.col("freq"), F.col("doc_len"), avg_len, index.analyzer)
     return hits.groupBy("doc_id").agg(F.sum(score).alias("score"))

@@ -91,6 +91,18 @@ def test_broadcast_bound_is_measured(spark):
     assert not fits_broadcast(rows, max_bytes=100)
 
 
+def test_stream_beyond_the_broadcast_bound_joins_plainly(spark, tmp_path):
+    spark.range(10).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("id bigint").parquet(str(tmp_path / "in"))
+    joined = lookup_join(stream, spark.createDataFrame([(3, "x")], "id bigint, v string"), "id", ["id"], broadcast=False)
+    seen = []
+    query = joined.writeStream.foreachBatch(lambda df, _: seen.extend(df.collect())).option(
+        "checkpointLocation", str(tmp_path / "c")
+    ).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert len(seen) == 10 and [r.v for r in seen if r.id == 3] == ["x"]
+
+
 def test_latest_first_and_newest(spark):
     rows = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, None)], "k string, t int, v string")
     assert {tuple(r) for r in latest_per_key(rows, ["k"], ["t"]).collect()} == {("a", 2, "y"), ("b", 1, None)}

@@ -104,6 +104,12 @@ def test_one_edit_is_found_and_weighs_less(plain):
     assert s.fuzzy_scores(plain, ["zzzzz"]).count() == 0
 
 
+def test_many_matching_terms_join_in_full(plain, monkeypatch):
+    listed = sorted(s.fuzzy_scores(plain, ["nigtt", "dancin"]).collect())
+    monkeypatch.setattr(s, "LISTED_TERMS", 0)
+    assert sorted(s.fuzzy_scores(plain, ["nigtt", "dancin"]).collect()) == listed != []
+
+
 @pytest.mark.parametrize(
     "phrase, hits",
     [
