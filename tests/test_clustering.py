@@ -104,7 +104,9 @@ def test_same_run_twice_is_equal(spark):
         again = job.run_clustering(metadata(spark, rows).repartition(parts), config)
         costs.append([r.training_cost for r in again.metrics.collect()])
         again.release()
-    assert costs[0] == costs[1]
+    # Partial sums arrive in task order, so the last bits may differ; another layout of the
+    # same rows changes the cost in the third digit.
+    assert costs[0] == pytest.approx(costs[1], rel=1e-9)
 
 
 def test_forced_k_sampling_and_empty_input(spark):
