@@ -49,9 +49,10 @@ def genre_hopping(plays: DataFrame, genre: str = "main_genre", window: Sliding =
 
 
 def labelled_hits(hits: DataFrame, labels: DataFrame, key: str = "song_id") -> DataFrame:
-    """Search hits with their cluster labels; the hits are cut to a page already.
+    """Search hits, already cut to a page, with their cluster labels.
 
-    The page (at most its size in rows) is what is broadcast, never the labels.
+    The labels are first reduced to the page's ids. A page ends in a limit, so Spark knows
+    that it is small and broadcasts it without a hint; a larger one is shuffled.
     """
-    wanted = labels.join(F.broadcast(hits.select(key).distinct()), key, "left_semi")
+    wanted = labels.join(hits.select(key).distinct(), key, "left_semi")
     return hits.join(wanted, key, "left")
