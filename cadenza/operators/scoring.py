@@ -47,13 +47,14 @@ def nearest_centroid(values: Sequence[Column], centroids: Sequence[Centroid],
     """
     if not centroids:
         raise ValueError("no centroids to compare with")
-    values = [F.nanvl(v.cast("double"), F.lit(None).cast("double")) for v in values]
+    values = [v.cast("double") for v in values]
     if len(centroids) * len(values) > MAX_WRITTEN_TERMS:
-        return _folded(F.array(*values), centroids, digits)
+        return nearest_to_array(F.array(*values), centroids, digits)
     return _written_out(values, centroids, digits)
 
 
 def _candidate(d2: Column, cluster_id: Column, digits: int | None) -> Column:
+    d2 = F.nanvl(d2, F.lit(None).cast("double"))
     d2 = d2 if digits is None else F.round(d2, digits)
     return F.struct(d2.alias("d2"), cluster_id.alias("cluster_id"))
 
@@ -67,7 +68,8 @@ def _written_out(values, centroids, digits) -> Column:
     return F.least(*candidates) if len(candidates) > 1 else candidates[0]
 
 
-def _folded(point, centroids, digits) -> Column:
+def nearest_to_array(point: Column, centroids: Sequence[Centroid], digits: int | None = None) -> Column:
+    """The same for an array<double> of as many values as a centroid has."""
     table = F.array(
         *[
             F.struct(

@@ -7,12 +7,14 @@ their invariants instead.
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from cadenza.functions.features import FEATURES, RAW_OF
 from cadenza.functions.values import CENTROID_BANDS, band
 from cadenza.operators import feeds, profiles
-from cadenza.operators.scoring import collect_centroids, nearest_centroid, score_songs
+from cadenza.operators.scoring import collect_centroids, nearest_centroid, nearest_to_array, score_songs
 from cadenza.plans import clustering as job
 from cadenza.plans.centroids import centroid_rows
 from cadenza.schemas import SONG_TO_CLASSIFY
@@ -130,12 +132,12 @@ def nearest_centroid_songs(spark, sf_dir):
 def nearest_centroid_vectors(spark, sf_dir):
     """Nearest per-label mean of 64-dimensional vectors."""
     rows = table(spark, sf_dir, "embeddings")
-    values = [F.get("embedding", i).cast("double") for i in range(64)]
+    point = F.col("embedding").cast("array<double>")
     means = rows.groupBy(F.col("label").alias("cluster_id")).agg(
-        *[F.round(F.avg(v), 9).alias(f"m{i}") for i, v in enumerate(values)]
+        Summarizer.mean(array_to_vector(point)).alias("mean")
     )
-    centroids = collect_centroids(means, F.array(*[f"m{i}" for i in range(64)]))
-    best = nearest_centroid(values, centroids, digits=9)
+    rounded = F.transform(vector_to_array("mean"), lambda x: F.round(x, 9))
+    best = nearest_to_array(point, collect_centroids(means, rounded), digits=9)
     return rows.select("vec_id", best.alias("best")).select("vec_id", "best.cluster_id", "best.d2")
 
 
