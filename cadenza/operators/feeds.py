@@ -32,6 +32,12 @@ def trending_feed(trends: DataFrame, n: int = 50, ties: Sequence[str] = ("song_i
     )
 
 
+def centroid_panel(centroids: DataFrame, n: int | None = None) -> DataFrame:
+    """The centroid table in cluster order, all of it or the first ``n``."""
+    ordered = centroids.orderBy("cluster_id")
+    return ordered if n is None else ordered.limit(n)
+
+
 def facet(rows: DataFrame, column: str, n: int = 100) -> DataFrame:
     """The ``n`` most frequent values, without the empty one, sorted by value."""
     return (

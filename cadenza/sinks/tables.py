@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +39,14 @@ def publish(messages: DataFrame, format: str = "kafka", path: str | None = None,
         writer.save()
 
 
+def message_sink(key: str, **target) -> Callable[[DataFrame, int], None]:
+    """K2 for a stream: publish each micro-batch keyed by one of its columns.
+
+    Messages are sent at least once; a consumer keeps the last one per key.
+    """
+    return lambda rows, batch_id: publish(to_messages(rows, F.col(key)), **target)
+
+
 def replace_table(rows: DataFrame, path: str) -> None:
     """K7: the table holds exactly these rows afterwards."""
     rows.write.mode("overwrite").parquet(path)

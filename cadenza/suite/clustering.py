@@ -181,7 +181,7 @@ def centroid_overview(spark, sf_dir):
 def profile_signals(spark, sf_dir):
     """Profile messages written, then loaded as the centroid table."""
     messages = profiles.profile_signals(*_profiled(spark, sf_dir))
-    loaded = centroid_rows(messages).orderBy("cluster_id")
+    loaded = feeds.centroid_panel(centroid_rows(messages))
     return loaded.withColumn("dance_band", band(F.col("danceability"), CENTROID_BANDS))
 
 

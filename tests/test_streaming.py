@@ -75,6 +75,18 @@ def test_revised_windows_replace_earlier_ones(spark, tmp_path, topic):
     assert sorted(small.current(spark).collect()) == sorted(table.current(spark).collect())
 
 
+def test_mood_goes_to_two_tables_and_a_topic(spark, tmp_path, topic):
+    path = topic("1.json", [play("s", "2024-01-01T00:00:00")])
+    one, two = (KeyedTable(str(tmp_path / n), ("window_start", "artist")) for n in ("a", "b"))
+    publish = tables.message_sink("window_start", format="json", path=str(tmp_path / "mood-index"))
+    mood = windows.mood_by(plays(spark, path))
+    jobs.upsert_windows(mood, str(tmp_path / "check"), one, two, also=publish).awaitTermination()
+    sent = spark.read.json(str(tmp_path / "mood-index")).collect()
+    assert len(sent) == one.current(spark).count() == two.current(spark).count() == 5
+    assert {json.loads(m.value)["mood_score"] for m in sent} == {0.375}
+    assert "2024-01-01 00:00:00" in {m.key for m in sent}
+
+
 def test_a_repeated_batch_does_not_double(spark, tmp_path):
     table = KeyedTable(str(tmp_path / "t"), ("k",))
     table.write(spark.sql("select 1 k, 'a' v"), 0)
