@@ -118,7 +118,7 @@ def _cover(rule: Rule, table: dict[str, np.ndarray], rows: np.ndarray) -> np.nda
 def grow(table: dict[str, np.ndarray], bad: np.ndarray, rows: np.ndarray, cuts: dict[str, np.ndarray], most: int) -> Rule:
     """Add the condition of the largest information gain until no good row is covered."""
     rule: Rule = ()
-    while len(rule) < most and (rows & ~bad).any():
+    while len(rule) < most and (rows & bad).any() and (rows & ~bad).any():
         p0, n0 = (rows & bad).sum(), (rows & ~bad).sum()
         best, gain = None, 1e-9
         for name, thresholds in cuts.items():
@@ -130,7 +130,9 @@ def grow(table: dict[str, np.ndarray], bad: np.ndarray, rows: np.ndarray, cuts:
                 with np.errstate(divide="ignore", invalid="ignore"):
                     gains = np.where(p > 0, p * (np.log2(p / (p + n)) - log2(p0 / (p0 + n0))), 0)
                 if len(gains) and gains.max() > gain:
-                    i = int(gains.argmax())
+                    # Of thresholds that part the rows equally well, the middle one.
+                    same = np.flatnonzero(gains >= gains.max() - 1e-9)
+                    i = int(same[len(same) // 2])
                     best, gain = Condition(name, above, float(thresholds[i])), float(gains[i])
         if best is None:
             break
@@ -154,8 +156,8 @@ def learn(table: dict[str, np.ndarray], bad: np.ndarray, keys: np.ndarray, most_
     """Sequential covering. ``keys`` (ids) deal the rows to growing and pruning, repeatably.
 
     A rule is kept if it is right on ``precision`` of what it covers in both parts and covers
-    ``support`` low-quality rows; the first that is not ends the list. No rows of one of the
-    classes give no rules.
+    ``support`` low-quality rows; after one that is not, the statistic it began with is put
+    aside. No rows of one of the classes give no rules.
     """
     rules: list[Rule] = []
     prune_part = (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(3) == 0
@@ -168,7 +170,8 @@ def learn(table: dict[str, np.ndarray], bad: np.ndarray, keys: np.ndarray, most_
         rule, right = prune(rule, table, bad, left & prune_part)
         covered = _cover(rule, table, left)
         if right < precision or (covered & bad).sum() < max(support, precision * covered.sum()):
-            break
+            del cuts[rule[0].statistic]
+            continue
         rules.append(rule)
         left &= ~covered
     return rules
@@ -186,12 +189,19 @@ def decision_list(rules: list[Rule]) -> tuple[Column, Column]:
     return keep, name
 
 
+def base_failed() -> Column:
+    return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+
+
 def learn_from(counts: DataFrame, labels: DataFrame, id_column: str = "doc_id", label_column: str = "quality", limit: int = 20_000) -> list[Rule]:
-    """Learn from about ``limit`` labelled rows at most; label 0 is low quality, null labels are left out."""
+    """Learn from about ``limit`` labelled rows at most; label 0 is low quality, null labels are left out.
+
+    Rows that fail the base test are decided already and teach nothing.
+    """
     known = labels.where(F.col(label_column).isNotNull() & F.col(id_column).isNotNull()).select(F.col(id_column).cast("long").alias("id"), F.col(label_column).alias("label"))
     chosen = threshold_sample(known, "id", limit).dropDuplicates(["id"])
     names = statistics()
-    rows = counts.join(F.broadcast(chosen), "id").select(F.struct("id", "label", *(x.alias(k) for k, x in names.items())).alias("row")).select("row.*").toPandas()
+    rows = counts.where(~base_failed()).join(F.broadcast(chosen), "id").select(F.struct("id", "label", *(x.alias(k) for k, x in names.items())).alias("row")).select("row.*").toPandas()
     rows = rows.drop_duplicates("id").sort_values("id")
     table = {k: rows[k].to_numpy(dtype=float) for k in names}
     return learn(table, (rows["label"] == 0).to_numpy(), rows["id"].to_numpy())
@@ -207,7 +217,6 @@ def judge(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     """
     counts = settle(text_statistics(docs, id_column, text_column), "text-statistics")
     keep, rule = decision_list(learn_from(counts, labels, id_column, label_column, limit))
-    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     # The statistics stand in a struct of their own: one of them has the name of a count.
-    judged = counts.select("id", *COUNTS, failed.alias("base_failed"), F.struct(*(x.alias(k) for k, x in statistics().items())).alias("stats"))
+    judged = counts.select("id", *COUNTS, base_failed().alias("base_failed"), F.struct(*(x.alias(k) for k, x in statistics().items())).alias("stats"))
     return judged.select("id", *COUNTS, "base_failed", rule.alias("rule"), (~F.col("base_failed") & keep).alias("kept"))
