@@ -28,6 +28,8 @@ from cadenza.operators.profiles import (
 from cadenza.schemas import BATCH_RUN, CLUSTER_METRIC
 
 VECTOR = "features_vec"
+# Rows of a training frame for one task.
+ROWS_PER_TASK = 250_000
 
 
 @dataclass(frozen=True)
@@ -163,8 +165,9 @@ def sweep(frame: DataFrame, config: ClusteringConfig) -> list[Fit]:
         return pool.map(one, config.candidate_ks)
 
 
-def default_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def partitions_for(rows: int) -> int:
+    """Tasks of a training frame: by its rows alone, so that the layout repeats anywhere."""
+    return max(8, -(-rows // ROWS_PER_TASK))
 
 
 def run_clustering(metadata: DataFrame, config: ClusteringConfig) -> ClusteringResult:
@@ -172,10 +175,11 @@ def run_clustering(metadata: DataFrame, config: ClusteringConfig) -> ClusteringR
     spark = metadata.sparkSession
     started = dt.datetime.now(dt.timezone.utc)
     songs = first_rows(normalise_songs(metadata), ["song_id"], config.max_rows)
-    width = config.partitions or default_partitions(spark)
+    raw_rows = metadata.count()
+    width = config.partitions or partitions_for(raw_rows)
     frame = training_frame(songs, width).persist(StorageLevel.MEMORY_AND_DISK)
     cached = [frame]
-    raw_rows, rows = metadata.count(), frame.count()
+    rows = frame.count()
     if not rows:
         frame.unpersist()
         raise ValueError("no song has an id and all features")
@@ -200,10 +204,7 @@ def run_clustering(metadata: DataFrame, config: ClusteringConfig) -> ClusteringR
     cached.append(genres)
     profiles = cluster_profiles(genres, config.run_id)
     now = dt.datetime.now(dt.timezone.utc)
-    notes = (
-        f"selection_sample_fraction={config.selection_fraction}; "
-        f"selection_rows={selection_rows}; full_rows={rows}"
-    )
+    notes = f"K chosen on {selection_rows} of {rows} songs (share {config.selection_fraction})"
     run_row = (
         config.run_id, started, now, config.source_topic, raw_rows, rows,
         ",".join(map(str, config.candidate_ks)), recommended, final_k, final.silhouette,

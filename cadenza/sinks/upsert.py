@@ -11,7 +11,6 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cadenza.operators.latest import latest_per_key
 
@@ -38,12 +37,14 @@ class KeyedTable:
         return latest_per_key(revisions, self.keys, [BATCH, *self.order]).drop(BATCH)
 
     def compact(self, spark: SparkSession, path: str) -> KeyedTable:
-        """A new table with one revision per key, under the highest batch so far."""
-        revisions = self.history(spark)
-        last = revisions.agg(F.max(BATCH).alias("last")).first()["last"]
-        smaller = KeyedTable(path, self.keys, self.order)
-        smaller.write(self.current(spark), last)
-        return smaller
+        """A new table with the last revision of each key, each still under its own batch.
+
+        So a batch that runs again on the new table replaces nothing but its own rows, and
+        tables that are matched by batch stay matched.
+        """
+        last = latest_per_key(self.history(spark), self.keys, [BATCH, *self.order])
+        last.write.mode("overwrite").partitionBy(BATCH).parquet(path)
+        return KeyedTable(path, self.keys, self.order)
 
 
 def fan_out(*sinks: Sink) -> Sink:
@@ -62,6 +63,10 @@ def fan_out(*sinks: Sink) -> Sink:
     return write
 
 
-def unique_by(keys: Sequence[str]) -> Callable[[DataFrame], DataFrame]:
-    """Keep one row per key inside a micro-batch, the greatest by its other columns."""
-    return lambda rows: latest_per_key(rows, keys)
+def unique_by(keys: Sequence[str], order: Sequence[str] = ()) -> Callable[[DataFrame], DataFrame]:
+    """Keep one row per key inside a micro-batch: the last by ``order``, ties by the other columns.
+
+    ``order`` names the columns of arrival (see ``messages.ARRIVAL``); without it there is
+    no telling which of two revisions in a batch came last.
+    """
+    return lambda rows: latest_per_key(rows, keys, order)

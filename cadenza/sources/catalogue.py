@@ -58,6 +58,8 @@ def require_columns(frame: DataFrame, required: Iterable[str]) -> DataFrame:
 def _typed(column: Column, kind: str) -> Column:
     if kind in ("int", "bigint"):
         return column.try_cast("double").try_cast(kind)
+    if kind == "double":
+        return F.nanvl(column.try_cast(kind), F.lit(None).cast(kind))
     return column.try_cast(kind)
 
 
@@ -151,7 +153,7 @@ def enrich(songs: DataFrame, track_info: DataFrame, artist_info: DataFrame, **jo
     ``songs``: song_id, title, artist. ``track_info``: song_id, info (JSON text).
     ``artist_info``: artist, artist_tags, similar_artists. Adds an ``outcome`` column.
     """
-    with_track = lookup_join(songs, track_info, "song_id", spread_by=["song_id"], **join_options)
+    with_track = lookup_join(songs, track_info, "song_id", spread_by=["title", "artist"], **join_options)
     joined = lookup_join(with_track, artist_info, "artist", spread_by=["song_id"], **join_options)
     tag_list = F.from_json(
         F.get_json_object("info", "$.toptags.tag"), "array<struct<name string>>"

@@ -6,7 +6,7 @@ production, text files in tests. Broker options are parameters, no connector is
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,13 +40,19 @@ def follow_files(spark: SparkSession, path: str, files_per_trigger: int | None =
     return reader.load(path)
 
 
-def parse(messages: DataFrame, schema: str) -> DataFrame:
+#: Columns of a broker message that tell the order of arrival of one key's messages.
+ARRIVAL = ("timestamp", "partition", "offset")
+
+
+def parse(messages: DataFrame, schema: str, arrival: Sequence[str] = ()) -> DataFrame:
     """Message values to typed columns.
 
     Unknown fields are ignored, mistyped ones are NULL, a malformed value is an all-NULL row.
+    ``arrival`` names message columns to keep, as ``arrived_<name>``, for last-write-wins.
     """
     body = F.from_json(F.col("value").cast("string"), schema)
-    return messages.select(body.alias("data")).select("data.*")
+    kept = [F.col(c).alias(f"arrived_{c}") for c in arrival]
+    return messages.select(body.alias("data"), *kept).select("data.*", *[f"arrived_{c}" for c in arrival])
 
 
 def json_objects(messages: DataFrame) -> DataFrame:

@@ -38,8 +38,16 @@ def texts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a file stream, with a timestamp that takes a watermark."""
     schema = table(spark, sf_dir, "events").schema
-    files = spark.readStream.schema(schema).option("pathGlobFilter", "events*.parquet")
-    return listening(files.option("maxFilesPerTrigger", 1).parquet(sf_dir))
+    files = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+    return listening(files.parquet(stream_path(sf_dir, "events")))
+
+
+def stream_path(sf_dir: str, name: str) -> str:
+    """A pattern that only this table matches, be it one file or a folder of files.
+
+    A stream takes a single file by pattern only.
+    """
+    return f"{sf_dir}/[{name[0]}]{name[1:]}.parquet"
 
 
 def song_key(props: Column) -> Column:

@@ -6,7 +6,7 @@ trigger is ``None`` for "all that is there, then stop", or an interval such as "
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,10 +39,12 @@ def upsert_windows(windows: DataFrame, checkpoint: str, *tables: KeyedTable,
 
 
 def classify(songs: DataFrame, checkpoint: str, table: KeyedTable,
-             signals: Callable[[SparkSession], DataFrame], every: str | None = None) -> StreamingQuery:
+             signals: Callable[[SparkSession], DataFrame], every: str | None = None,
+             order: Sequence[str] = ()) -> StreamingQuery:
     """Score songs against the newest centroids, looked up again for each batch.
 
-    ``signals`` returns parsed profile messages.
+    ``signals`` returns parsed profile messages. ``order`` are the songs' columns of arrival:
+    of two requests for a song in one batch the last is answered.
     """
 
     def score(rows: DataFrame, batch_id: int) -> None:
@@ -50,22 +52,24 @@ def classify(songs: DataFrame, checkpoint: str, table: KeyedTable,
         newest = newest_run(profiles, order=("produced_at_utc",))
         values = F.array(*[F.col(f"centroid_features.{f}") for f in FEATURES])
         scored = score_songs(rows, collect_centroids(newest, values))
-        table.write(unique_by(["song_id"])(scored), batch_id)
+        table.write(unique_by(["song_id"], order)(scored), batch_id)
 
     return run(songs, checkpoint, score, "append", every)
 
 
 def index_documents(messages: DataFrame, checkpoint: str, documents: KeyedTable, occurrences: KeyedTable,
-                    rejects_path: str, text: str, analyzer: Analyzer, every: str | None = None) -> StreamingQuery:
+                    rejects_path: str, text: str, analyzer: Analyzer, every: str | None = None,
+                    order: Sequence[str] = ()) -> StreamingQuery:
     """K6: upsert documents and their words; messages without an id go to a reject table.
 
-    Writes are idempotent per batch and the checkpoint advances only after them.
+    Writes are idempotent per batch and the checkpoint advances only after them. ``order``
+    are the messages' columns of arrival; the last version of a document in a batch wins.
     """
 
     def index(rows: DataFrame, batch_id: int) -> None:
         rows.persist()
         try:
-            valid = unique_by(["doc_id"])(indexable(rows))
+            valid = unique_by(["doc_id"], order)(indexable(rows))
             documents.write(valid, batch_id)
             occurrences.write(words_of(analysed_documents(valid, "doc_id", text, analyzer)), batch_id)
             ids = [F.coalesce(F.col(c), F.lit("")) == "" for c in ("song_id", "songId") if c in rows.columns]

@@ -223,7 +223,7 @@ def cluster_count(spark, sf_dir):
 @query("kmeans_sweep")
 def kmeans_sweep(spark, sf_dir):
     """The metrics table of a K sweep over all songs."""
-    config = job.ClusteringConfig(run_id="sweep", partitions=8, parallelism=4)
+    config = job.ClusteringConfig(run_id="sweep", parallelism=4)
     result = job.run_clustering(track_metadata(spark, sf_dir), config)
     result.release()
     return result.metrics.drop("evaluated_at")
@@ -237,7 +237,7 @@ def kmeans_sweep(spark, sf_dir):
 def kmeans_invariants(spark, sf_dir):
     """M3-M9: sizes add up, every song sits at its nearest centre, one K is recommended."""
     result = job.run_clustering(
-        track_metadata(spark, sf_dir), job.ClusteringConfig(run_id="invariants", partitions=8, parallelism=4)
+        track_metadata(spark, sf_dir), job.ClusteringConfig(run_id="invariants", parallelism=4)
     )
     try:
         centres = collect_centroids(result.centroids, F.array(*[f"centroid_{f}" for f in FEATURES]))

@@ -18,7 +18,7 @@ from cadenza.sinks.tables import to_messages
 from cadenza.sinks.upsert import KeyedTable
 from cadenza.sources.messages import parse
 from cadenza.sources.snapshots import index_path, read_snapshots
-from cadenza.sources.tables import PLAY_TYPE, event_stream, songs, table
+from cadenza.sources.tables import PLAY_TYPE, event_stream, songs, stream_path, table
 from cadenza.streaming import jobs
 from cadenza.suite import clustering as given
 from cadenza.suite import search as texts
@@ -123,8 +123,8 @@ def stream_index(spark, sf_dir):
     """Documents indexed by a stream, every message twice in one batch."""
     root = scratch_folder(spark, "index-stream")
     schema = table(spark, sf_dir, "documents").schema
-    files = spark.readStream.schema(schema).option("pathGlobFilter", "documents*.parquet")
-    docs = files.parquet(sf_dir).withColumnRenamed("doc_id", "song_id")
+    files = spark.readStream.schema(schema)
+    docs = files.parquet(stream_path(sf_dir, "documents")).withColumnRenamed("doc_id", "song_id")
     twice = docs.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
     documents = KeyedTable(f"{root}/documents", ("doc_id",))
     occurrences = KeyedTable(f"{root}/occurrences", ("doc_id", "term", "pos"))
