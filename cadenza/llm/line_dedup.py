@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cadenza.llm.common import hinted, settle, values
+from cadenza.llm.common import settle, values
 
 BASE = 0x9E3779B97F4A7C15 | 1
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
@@ -188,7 +188,8 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
                     pa.array([doc] * len(places), pa.int64()), pa.array(places, pa.int32()), pa.array([_ascii_words(split[p]) for p in places], pa.string())
                 ], ["doc", "pos", "line"])
 
-    candidates = docs.join(hinted(chosen), F.col("doc") == F.col("fd")).select("doc", "places", "text").mapInArrow(pick, "doc long, pos int, line string")
+    # Texts are joined by shuffle at every size, so that small inputs show what large ones cost.
+    candidates = docs.join(chosen.hint("merge"), F.col("doc") == F.col("fd")).select("doc", "places", "text").mapInArrow(pick, "doc long, pos int, line string")
     candidates = settle(candidates.dropDuplicates(["doc", "pos"]), "candidate-lines")
     dealt = variants(candidates).repartition("v").sortWithinPartitions("v", "gap", "doc", "pos")
     pairs = dealt.mapInArrow(_earlier, "doc long, pos int, d2 long, p2 int").distinct()
@@ -216,7 +217,9 @@ def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     places = dropped_lines(inner).groupBy("doc").agg(F.collect_list("pos").alias("__gone"), F.sum(F.col("near").cast("int")).alias("__near"))
     gone = settle(places.withColumnRenamed("doc", "__doc"), "dropped-lines")
     kept = docs.drop("n_lines", "n_dropped", "n_near")
-    joined = kept.join(hinted(gone), F.col(id_column).cast("long") == F.col("__doc"), "left").drop("__doc")
+    has_id = F.col(id_column).isNotNull()
+    joined = kept.where(has_id).join(gone.hint("merge"), F.col(id_column).cast("long") == F.col("__doc"), "left").drop("__doc")
+    joined = joined.unionByName(kept.where(~has_id), allowMissingColumns=True)
     names = kept.columns
     text_at, near_at = names.index(text_column), len(names) + 1
 
