@@ -80,8 +80,8 @@ def songs(parts: DataFrame) -> DataFrame:
 
 
 def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Play events with their song's title, artist and energy."""
-    events = listening(table(spark, sf_dir, "events"))
+    """Play events (``view``; skips and likes are none) with their song's title, artist and energy."""
+    events = listening(table(spark, sf_dir, "events")).filter(F.col("event_type") == PLAY_TYPE)
     return lookup_join(events, songs(table(spark, sf_dir, "part")), "song_id", spread_by=["event_id"])
 
 

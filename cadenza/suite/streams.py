@@ -29,7 +29,8 @@ from cadenza.suite.registry import naive, query, r9
 def _play_stream(spark, sf_dir):
     """Plays of the stream with their songs, a stream-static lookup."""
     return lookup_join(
-        event_stream(spark, sf_dir), songs(table(spark, sf_dir, "part")), "song_id", spread_by=["event_id"]
+        event_stream(spark, sf_dir).filter(F.col("event_type") == PLAY_TYPE),
+        songs(table(spark, sf_dir, "part")), "song_id", spread_by=["event_id"],
     )
 
 

@@ -31,7 +31,7 @@ PLAYS_SQL = """
     plays AS (SELECT ev.ts, ev.event_id, ev.event_type, ev.user_id, ev.song_id, ev.valence,
                      p.p_name AS title, p.p_brand AS artist, p.p_type AS main_genre, p.p_size / 50.0 AS energy
               FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS song_id,
-                           least(value / 100, 1.0) AS valence FROM events) ev
+                           least(value / 100, 1.0) AS valence FROM events WHERE event_type = 'view') ev
               LEFT JOIN part p ON p.p_partkey = ev.song_id)"""
 
 MOOD_SQL = """round(avg(valence), 9) AS avg_valence, round(avg(energy), 9) AS avg_energy,
