@@ -50,7 +50,7 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     index, _, _ = warc.archive(_table(spark, sf_dir, "pages"))
-    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured", "range", "position")
+    return warc.numbered(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured", "order_no")
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,6 +132,43 @@ named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item
 SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
 FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+""",
+    "op4_warc": r"""
+WITH cut AS (SELECT *, regexp_replace(url, '^[^:/?#]*://', '') AS rest FROM pages),
+parts AS (SELECT *, regexp_extract(rest, '^([^/?#]*)', 1) AS host FROM cut),
+keyed AS (
+  SELECT page_id, html, array_to_string(list_reverse(string_split(regexp_replace(lower(host), '^www\.', ''), '.')), ',') || ')'
+    || lower(regexp_replace(substr(rest, length(host) + 1), '#.*$', '')) AS url_key,
+    strftime(TIMESTAMP '2020-01-01' + to_seconds(page_id), '%Y-%m-%dT%H:%M:%SZ') AS captured,
+    CASE WHEN strlen(html) >= 100 THEN min(page_id) OVER (PARTITION BY html) ELSE page_id END AS first
+  FROM parts)
+SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest,
+  CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN first <> page_id THEN first END AS refers_to,
+  url_key, captured, row_number() OVER (ORDER BY url_key, captured, page_id) - 1 AS order_no
+FROM keyed
+""",
+    "op8_line_dedup": r"""
+WITH split AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents),
+lines AS (SELECT doc_id, pos, line, list_filter(regexp_split_to_array(line, '[\t\n\x0B\x0C\r ]+'), lambda w: w <> '') AS words FROM split),
+named AS (SELECT *, array_to_string(words, ' ') AS k FROM lines WHERE len(words) > 0),
+firsts AS (SELECT k, any_value(words) AS words, min((doc_id, pos)) AS e FROM named GROUP BY k),
+gaps AS (SELECT k, words, e, unnest(range(1, len(words) + 1)) AS gap FROM firsts WHERE len(words) >= 5),
+variants AS (SELECT k, len(words) AS n, e, gap, array_to_string(list_concat(words[:gap - 1], words[gap + 1:]), ' ') AS v FROM gaps),
+same_gap AS (SELECT v, gap, min(e) AS e FROM variants GROUP BY v, gap),
+near AS (
+  SELECT variants.k FROM variants JOIN same_gap USING (v, gap) WHERE same_gap.e < variants.e
+  UNION SELECT variants.k FROM variants JOIN firsts ON variants.v = firsts.k WHERE variants.n >= 6 AND firsts.e < variants.e
+  UNION SELECT firsts.k FROM variants JOIN firsts ON variants.v = firsts.k WHERE variants.n >= 6 AND variants.e < firsts.e),
+gone AS (
+  SELECT doc_id, pos FROM named JOIN firsts USING (k) WHERE (doc_id, pos) <> e OR k IN (SELECT k FROM near)),
+judged AS (SELECT lines.*, gone.pos IS NOT NULL AS out FROM lines LEFT JOIN gone ON lines.doc_id = gone.doc_id AND lines.pos = gone.pos),
+summed AS (
+  SELECT doc_id, count(*) FILTER (len(words) > 0) AS n_lines, count(*) FILTER (out) AS n_dropped,
+    coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT out), '') AS kept FROM judged GROUP BY doc_id)
+SELECT documents.doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_dropped, 0) AS BIGINT) AS n_dropped,
+  CASE WHEN text IS NOT NULL THEN sha256(coalesce(kept, '')) END AS text_sha256
+FROM documents LEFT JOIN summed USING (doc_id)
 """,
     "op9_url_filters": r"""
 WITH cut AS (

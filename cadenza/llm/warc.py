@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cadenza.llm.common import settle, values
@@ -253,4 +254,14 @@ def archive(pages: DataFrame, id_column: str = "page_id", url_column: str = "url
     folder = scratch_folder(pages.sparkSession, name)
     files = write_archives(rows.join(copies, "page_id", "left"), folder)
     lines = settle(read_archives(files, folder), "runs")
-    return merge_runs(lines), files, folder
+    return settle(merge_runs(lines), "index"), files, folder
+
+
+def numbered(index: DataFrame) -> DataFrame:
+    """The index with ``order_no``, a line's place in the one order of all ranges, from 0.
+
+    The running count has one row for each range, and a range holds many lines.
+    """
+    counts = index.groupBy("range").agg(F.count("*").alias("lines"))
+    before = F.coalesce(F.sum("lines").over(W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    return index.join(counts.select("range", before.alias("before")), "range").withColumn("order_no", F.col("before") + F.col("position")).drop("before")
