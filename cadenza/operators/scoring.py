@@ -27,8 +27,14 @@ class Centroid:
 
 
 def collect_centroids(centroids: DataFrame, values: Column, limit: int = MAX_CENTROIDS) -> list[Centroid]:
-    """Bring K centroids to the driver; more than ``limit`` of them is an error."""
-    rows = centroids.select("cluster_id", values.alias("values")).take(limit + 1)
+    """Bring K centroids to the driver; more than ``limit`` of them is an error.
+
+    A centroid without an id, or with a missing or NaN value, is set aside: it has no
+    distance to anything.
+    """
+    complete = F.forall("values", lambda v: v.isNotNull() & ~F.isnan(v.cast("double")))
+    named = centroids.select("cluster_id", values.alias("values")).filter(F.col("cluster_id").isNotNull())
+    rows = named.filter(F.coalesce(complete, F.lit(False))).take(limit + 1)
     if len(rows) > limit:
         raise ValueError(f"more than {limit} centroids")
     return sorted(
@@ -101,3 +107,10 @@ def score_songs(songs: DataFrame, centroids: Sequence[Centroid]) -> DataFrame:
         cluster.cast("int").alias("cluster_id"),
         F.current_timestamp().alias("classified_at"),
     )
+
+
+def unscored_songs(songs: DataFrame) -> DataFrame:
+    """The answer of ``score_songs`` while there is no centroid at all: cluster -1."""
+    return songs.select(
+        "song_id", "title", "artist", F.lit(NO_CLUSTER).alias("cluster_id"), F.current_timestamp().alias("classified_at")
+    )

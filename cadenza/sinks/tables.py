@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +22,12 @@ def append_table(rows: DataFrame, path: str | None = None, partition_by: str | N
         writer.parquet(path)
 
 
+def replace_run(rows: DataFrame, path: str, partition_by: str = "run_id") -> None:
+    """K1: rows of a run into a parquet table by run; a run that is there already is replaced."""
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(partition_by).parquet(path)
+
+
 def to_messages(rows: DataFrame, key: Column) -> DataFrame:
     """K2/K9: key and JSON value; rows without a key are skipped."""
     body = F.to_json(F.struct(*[F.col(c) for c in rows.columns]))
@@ -57,11 +63,16 @@ def dump_lines(messages: DataFrame, path: str) -> None:
     messages.select(F.col("value").cast("string")).write.text(path)
 
 
-def array_document(messages: DataFrame, max_rows: int = ARRAY_DOCUMENT_ROWS) -> DataFrame:
-    """K8: all values as one JSON array, for a topic of at most ``max_rows`` messages."""
+def array_document(messages: DataFrame, max_rows: int = ARRAY_DOCUMENT_ROWS, order: Sequence[str] = ()) -> DataFrame:
+    """K8: all values as one JSON array, for a topic of at most ``max_rows`` messages.
+
+    They stand in the order of the columns ``order``, the messages' columns of arrival;
+    without these, in the order of their text.
+    """
     if len(messages.select(F.lit(1)).take(max_rows + 1)) > max_rows:
         raise ValueError(f"more than {max_rows} messages; use dump_lines")
-    values = F.array_sort(F.collect_list(F.col("value").cast("string")))
+    placed = F.array_sort(F.collect_list(F.struct(*order, F.col("value").cast("string").alias("value"))))
+    values = F.transform(placed, lambda m: m["value"])
     return messages.agg(
         F.concat(F.lit("["), F.array_join(values, ","), F.lit("]")).alias("document")
     )

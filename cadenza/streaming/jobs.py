@@ -14,8 +14,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cadenza.functions.features import FEATURES
 from cadenza.functions.text import Analyzer
-from cadenza.operators.latest import newest_run
-from cadenza.operators.scoring import collect_centroids, score_songs
+from cadenza.operators.latest import latest_per_key, newest_run
+from cadenza.operators.scoring import collect_centroids, score_songs, unscored_songs
 from cadenza.operators.search import analysed_documents, indexable, words_of
 from cadenza.sinks.upsert import BATCH, KeyedTable, Sink, fan_out, unique_by
 from cadenza.sources.messages import json_objects
@@ -49,9 +49,10 @@ def classify(songs: DataFrame, checkpoint: str, table: KeyedTable,
 
     def score(rows: DataFrame, batch_id: int) -> None:
         profiles = signals(rows.sparkSession).filter(F.col("signal_type") == "cluster_profile")
-        newest = newest_run(profiles, order=("produced_at_utc",))
+        newest = latest_per_key(newest_run(profiles, order=("produced_at_utc",)), ["cluster_id"], ["produced_at_utc"])
         values = F.array(*[F.col(f"centroid_features.{f}") for f in FEATURES])
-        scored = score_songs(rows, collect_centroids(newest, values))
+        centroids = collect_centroids(newest, values)
+        scored = score_songs(rows, centroids) if centroids else unscored_songs(rows)
         table.write(unique_by(["song_id"], order)(scored), batch_id)
 
     return run(songs, checkpoint, score, "append", every)

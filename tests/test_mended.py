@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 from cadenza.operators import genres
 from cadenza.operators.lookup import count_hot_keys, lookup_join
 from cadenza.operators.windows import Sliding
+from cadenza.operators.scoring import Centroid, collect_centroids, unscored_songs
+from cadenza.schemas import SONG_TO_CLASSIFY
+from cadenza.sinks import tables
 from cadenza.sinks.upsert import KeyedTable, unique_by
 from cadenza.sources import catalogue as cat
 from cadenza.sources import messages as msg
@@ -87,3 +90,24 @@ def test_nan_takes_the_default(spark):
     raw = spark.createDataFrame([("nan",), ("0.5",), ("x",), (None,)], "loudness string")
     rows = cat.with_defaults(raw, {"loudness": ("double", -60.0)})
     assert [r[0] for r in rows.collect()] == [-60.0, 0.5, -60.0, -60.0]
+
+
+def test_incomplete_centroids_are_set_aside(spark):
+    rows = [(1, [0.0, 1.0]), (2, [0.0, None]), (3, [float("nan"), 0.0]), (4, None), (None, [0.0, 0.0])]
+    frame = spark.createDataFrame(rows, "cluster_id int, v array<double>")
+    assert collect_centroids(frame, F.col("v")) == [Centroid(1, (0.0, 1.0))]
+    songs = spark.createDataFrame([("s", "t", "a", None, None)], SONG_TO_CLASSIFY)
+    assert [r.cluster_id for r in unscored_songs(songs).collect()] == [-1]
+
+
+def test_a_run_is_replaced_and_others_stay(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    tables.replace_run(spark.sql("select * from values ('r1', 1), ('r2', 2) t(run_id, v)"), path)
+    tables.replace_run(spark.sql("select * from values ('r2', 3), ('r2', 4) t(run_id, v)"), path)
+    assert sorted(tuple(r) for r in spark.read.parquet(path).select("run_id", "v").collect()) == [("r1", 1), ("r2", 3), ("r2", 4)]
+
+
+def test_array_document_in_order_of_arrival(spark):
+    messages = spark.sql("select * from values ('3', 1), ('1', 2), ('2', 3) t(value, offset)")
+    assert tables.array_document(messages, order=["offset"]).first().document == "[3,1,2]"
+    assert tables.array_document(messages).first().document == "[1,2,3]"
