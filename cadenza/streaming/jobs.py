@@ -52,8 +52,9 @@ def classify(songs: DataFrame, checkpoint: str, table: KeyedTable,
         newest = latest_per_key(newest_run(profiles, order=("produced_at_utc",)), ["cluster_id"], ["produced_at_utc"])
         values = F.array(*[F.col(f"centroid_features.{f}") for f in FEATURES])
         centroids = collect_centroids(newest, values)
-        scored = score_songs(rows, centroids) if centroids else unscored_songs(rows)
-        table.write(unique_by(["song_id"], order)(scored), batch_id)
+        asked = unique_by(["song_id"], order)(rows) if order else rows
+        scored = score_songs(asked, centroids) if centroids else unscored_songs(asked)
+        table.write(unique_by(["song_id"])(scored), batch_id)
 
     return run(songs, checkpoint, score, "append", every)
 

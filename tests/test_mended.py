@@ -7,7 +7,7 @@ from cadenza.operators import genres
 from cadenza.operators.lookup import count_hot_keys, lookup_join
 from cadenza.operators.windows import Sliding
 from cadenza.operators.scoring import Centroid, collect_centroids, unscored_songs
-from cadenza.schemas import SONG_TO_CLASSIFY
+from cadenza.schemas import PROFILE_SIGNAL, SONG_TO_CLASSIFY
 from cadenza.sinks import tables
 from cadenza.sinks.upsert import KeyedTable, unique_by
 from cadenza.sources import catalogue as cat
@@ -111,3 +111,17 @@ def test_array_document_in_order_of_arrival(spark):
     messages = spark.sql("select * from values ('3', 1), ('1', 2), ('2', 3) t(value, offset)")
     assert tables.array_document(messages, order=["offset"]).first().document == "[3,1,2]"
     assert tables.array_document(messages).first().document == "[1,2,3]"
+
+
+def test_the_last_request_of_a_batch_is_answered(spark, tmp_path):
+    from cadenza.streaming import jobs
+
+    rows = [("s", "z first", "a", 1), ("s", "a second", "a", 2)]
+    asked = spark.createDataFrame(rows, "song_id string, title string, artist string, arrived_offset long")
+    asked = asked.withColumn("features", F.lit(None).cast(spark.createDataFrame([], SONG_TO_CLASSIFY).schema["features"].dataType))
+    asked.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(asked.schema).parquet(str(tmp_path / "in"))
+    table = KeyedTable(str(tmp_path / "t"), ("song_id",))
+    signals = lambda session: msg.parse(session.createDataFrame([], "value string"), PROFILE_SIGNAL)
+    jobs.classify(stream, str(tmp_path / "c"), table, signals, order=["arrived_offset"]).awaitTermination()
+    assert [(r.title, r.cluster_id) for r in table.current(spark).collect()] == [("a second", -1)]
