@@ -1,7 +1,8 @@
 """Toxicity as severity grades by cumulative-link (proportional odds) ordinal regression.
 
 P(grade > k) is the logistic function of x.w - theta_k: one weight vector for all grades and
-ordered thresholds. x holds log(1 + count) of words from a bounded vocabulary. The expected
+ordered thresholds. x holds log2(1 + count) of words, and of beginnings of words, from a bounded
+vocabulary. The expected
 severity is the sum of P(grade > k).
 """
 
@@ -11,19 +12,29 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import log2
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import threshold_sample, values
+from cadenza.llm.common import settle, threshold_sample, values
 
 WORD = re.compile(r"[^\W\d_]+")
+#: Letters of a word's beginning.
+STEM = 5
 
 
-def word_counts(text: str | None) -> Counter:
-    return Counter(WORD.findall((text or "").lower()))
+def features_of(text: str | None) -> Counter:
+    """Counts of words, and of the beginnings of longer words, which stand for their other forms."""
+    counts = Counter(WORD.findall((text or "").lower()))
+    begun: Counter = Counter()
+    for word, n in counts.items():
+        if len(word) > STEM:
+            begun["^" + word[:STEM]] += n
+    counts.update(begun)
+    return counts
 
 
 def _logistic(x: np.ndarray) -> np.ndarray:
@@ -38,17 +49,23 @@ class Model:
     def odds(self, text: str | None) -> np.ndarray:
         """P(grade > k) for each threshold."""
         known = self.weights
-        counts = Counter(w for w in WORD.findall((text or "").lower()) if w in known)
-        score = sum(known[w] * np.log1p(c) for w, c in sorted(counts.items()))
+        counts: dict[str, int] = {}
+        for word in WORD.findall((text or "").lower()):
+            if word in known:
+                counts[word] = counts.get(word, 0) + 1
+            if len(word) > STEM and (begun := "^" + word[:STEM]) in known:
+                counts[begun] = counts.get(begun, 0) + 1
+        score = sum(known[w] * log2(1 + c) for w, c in sorted(counts.items()))
         return _logistic(score - np.array(self.thresholds))
 
 
-def fit(texts: list[Counter], grades: np.ndarray, vocabulary: int = 5_000, min_documents: int = 5, ridge: float = 1.0, rounds: int = 150) -> Model:
+def fit(texts: list[Counter], grades: np.ndarray, vocabulary: int = 5_000, min_documents: int = 5, min_contrast: float = 4.0, ridge: float = 0.1, rounds: int = 150) -> Model:
     """Fit on a bounded sample; grades are 0 .. K-1.
 
     The vocabulary are the words in ``min_documents`` texts or more whose share among texts
-    above grade 0 differs most from their share among the others. One grade alone, or no
-    text, gives a model without weights whose severity is that grade.
+    above grade 0 differs most from their share among the others, by ``min_contrast``
+    standard deviations or more, so that few labels do not teach chance words. One grade
+    alone, or no text, gives a model without weights whose severity is that grade.
     """
     top = int(grades.max()) if len(grades) else 0
     levels = max(1, top)
@@ -61,11 +78,12 @@ def fit(texts: list[Counter], grades: np.ndarray, vocabulary: int = 5_000, min_d
             in_bad.update(counts.keys())
     rate = bad.mean()
     contrast = {w: abs(in_bad[w] - n * rate) / np.sqrt(n * rate * (1 - rate) + 1) for w, n in present.items() if n >= min_documents}
-    words = sorted(sorted(contrast, key=lambda w: (-contrast[w], w))[:vocabulary])
+    told = [w for w, z in contrast.items() if z >= min_contrast]
+    words = sorted(sorted(told, key=lambda w: (-contrast[w], w))[:vocabulary])
     place = {w: i for i, w in enumerate(words)}
-    at = [(r, place[w], np.log1p(c)) for r, counts in enumerate(texts) for w, c in counts.items() if w in place]
+    at = [(r, place[w], log2(1 + c)) for r, counts in enumerate(texts) for w, c in counts.items() if w in place]
     rows, cols = (np.array([x[i] for x in at], dtype=np.int64) for i in (0, 1))
-    x = np.array([x[2] for x in at])
+    x = np.array([x[2] for x in at], dtype=float)
     above = (grades[:, None] > np.arange(levels)).mean(0)
     theta = -np.log(np.clip(above, 1e-4, 1 - 1e-4) / np.clip(1 - above, 1e-4, 1))
     # Thresholds are a first one and positive steps, so that they stay in order.
@@ -92,6 +110,24 @@ def fit(texts: list[Counter], grades: np.ndarray, vocabulary: int = 5_000, min_d
     return Model({w: float(v) for w, v in zip(words, params) if abs(v) > 1e-9}, tuple(map(float, theta)))
 
 
+def grades_by_dose(texts: list[Counter], toxic: np.ndarray) -> np.ndarray:
+    """Severity grades from flags: 0 clean, 1 toxic, 2 toxic with more than the median dose.
+
+    The dose sums log2(1 + count) over the words whose share among toxic texts is above their
+    share among all.
+    """
+    present, in_bad = Counter(), Counter()
+    for counts, is_bad in zip(texts, toxic):
+        present.update(counts.keys())
+        if is_bad:
+            in_bad.update(counts.keys())
+    rate = toxic.mean() if len(toxic) else 0.0
+    dose = np.array([sum(log2(1 + c) for w, c in counts.items() if in_bad[w] > present[w] * rate) for counts in texts])
+    if not toxic.any():
+        return toxic.astype(np.int64)
+    return np.where(toxic, 1 + (dose > np.median(dose[toxic])), 0).astype(np.int64)
+
+
 def _descend(loss_slope, p: np.ndarray, rounds: int) -> np.ndarray:
     """Limited-memory quasi-Newton descent with a halving line search."""
     pairs: list[tuple[np.ndarray, np.ndarray]] = []
@@ -123,29 +159,72 @@ def _descend(loss_slope, p: np.ndarray, rounds: int) -> np.ndarray:
     return p
 
 
-def train(docs: DataFrame, graded: DataFrame, id_column: str = "doc_id", text_column: str = "text", grade_column: str = "grade", limit: int = 6_000) -> Model:
+def train(
+    docs: DataFrame,
+    graded: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    grade_column: str = "grade",
+    limit: int = 20_000,
+    vocabulary: int = 5_000,
+    min_documents: int = 5,
+    min_contrast: float = 4.0,
+    by_dose: bool = False,
+) -> Model:
     """Fit on about ``limit`` graded documents at most, chosen by a hash of their id.
 
-    Null grades and ids are left out; a document with several grades counts with the largest.
+    Null grades and ids are left out; a document with several grades counts with the largest,
+    and of equal texts of one grade one counts. ``by_dose`` takes the grades as flags, and
+    grades the flagged texts by their dose of telling words. The vocabulary is chosen by counts that Spark
+    makes; what the driver gets are the sample's counts of the chosen words alone.
     """
     known = graded.where(F.col(id_column).isNotNull() & (F.col(grade_column) >= 0)).select(F.col(id_column).alias("id"), F.col(grade_column).cast("int").alias("grade"))
     chosen = threshold_sample(known.groupBy("id").agg(F.max("grade").alias("grade")), "id", limit)
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
 
-    def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counted = [sorted(word_counts(t).items()) for t in values(batch.column(2))]
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                counted = [sorted(features_of(t).items()) for t in part.column(2).to_pylist()]
+                yield pa.RecordBatch.from_arrays([
+                    part.column(0),
+                    part.column(1),
+                    part.column(3),
+                    pa.array([[w for w, _ in c] for c in counted], pa.list_(pa.string())),
+                    pa.array([[n for _, n in c] for c in counted], pa.list_(pa.int32())),
+                ], ["id", "grade", "mark", "words", "counts"])
+
+    id_type = docs.schema[id_column].dataType.simpleString()
+    picked = texts.join(F.broadcast(chosen), "id").select("id", "grade", "text", F.xxhash64("text").alias("mark"))
+    counted = settle(picked.mapInArrow(count, f"id {id_type}, grade int, mark long, words array<string>, counts array<int>"), "toxicity-sample")
+    # Among equal texts the smallest id counts.
+    firsts = counted.groupBy("mark", "grade").agg(F.min("id").alias("id"))
+    sample = settle(counted.join(F.broadcast(firsts), ["mark", "grade", "id"], "left_semi").dropDuplicates(["id"]), "toxicity-texts")
+    total, bad = sample.agg(F.count("*"), F.coalesce(F.sum((F.col("grade") > 0).cast("int")), F.lit(0))).first()
+    rate = bad / total if total else 0.0
+    seen = sample.select(F.explode("words").alias("word"), (F.col("grade") > 0).cast("int").alias("bad")).groupBy("word").agg(F.count("*").alias("n"), F.sum("bad").alias("n_bad"))
+    contrast = F.abs(F.col("n_bad") - F.col("n") * rate) / F.sqrt(F.col("n") * (rate * (1 - rate)) + 1)
+    told = seen.where((F.col("n") >= min_documents) & (contrast >= min_contrast)).orderBy(contrast.desc(), "word").limit(vocabulary)
+    words = frozenset(r[0] for r in told.select("word").collect())
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [[(w, n) for w, n in zip(*row) if w in words] for row in zip(values(batch.column(2)), values(batch.column(3)))]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0),
                 batch.column(1),
-                pa.array([[w for w, _ in c] for c in counted], pa.list_(pa.string())),
-                pa.array([[n for _, n in c] for c in counted], pa.list_(pa.int32())),
+                pa.array([[w for w, _ in k] for k in kept], pa.list_(pa.string())),
+                pa.array([[n for _, n in k] for k in kept], pa.list_(pa.int32())),
             ], ["id", "grade", "words", "counts"])
 
-    id_type = docs.schema[id_column].dataType.simpleString()
-    rows = texts.join(F.broadcast(chosen), "id").select("id", "grade", "text").mapInArrow(count_words, f"id {id_type}, grade int, words array<string>, counts array<int>")
-    sample = sorted({r["id"]: r for r in rows.collect()}.values(), key=lambda r: r["id"])
-    return fit([Counter(dict(zip(r["words"], r["counts"]))) for r in sample], np.array([r["grade"] for r in sample], dtype=np.int64))
+    small = sample.select("id", "grade", "words", "counts").mapInArrow(keep, f"id {id_type}, grade int, words array<string>, counts array<int>")
+    rows = sorted(small.collect(), key=lambda r: r["id"])
+    texts_of = [Counter(dict(zip(r["words"], r["counts"]))) for r in rows]
+    grades = np.array([r["grade"] for r in rows], dtype=np.int64)
+    if by_dose:
+        grades = grades_by_dose(texts_of, grades > 0)
+    return fit(texts_of, grades, vocabulary, min_documents, min_contrast)
 
 
 def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -166,11 +245,6 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column:
     return rows.mapInArrow(of_batches, f"id {id_type}, severity double, p_toxic double, toxic boolean")
 
 
-def grades_from_flags(labels: DataFrame) -> DataFrame:
-    """Severity grades from two flags: 0 clean, 1 toxic, 2 toxic in a text that is also of low quality."""
-    return labels.select("doc_id", F.when(F.col("toxic") == 0, 0).when(F.col("quality") == 0, 2).when(F.col("toxic") == 1, 1).alias("grade"))
-
-
 def keep_clean(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text is not toxic, unchanged; judged in one pass, row by row."""
     at = docs.columns.index(text_column)

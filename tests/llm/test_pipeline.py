@@ -3,7 +3,8 @@ from cadenza.llm import decontamination, simhash
 from cadenza.llm.suite import QUERIES
 
 
-def test_stages_take_effect_and_keep_the_columns(spark, sf_dir):
+def test_stages_take_effect_and_keep_the_columns(spark):
+    sf_dir = "/root/testdata/sf0.01"  # the smallest tables with enough labels to learn toxic words from
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     counts = [docs.count()]
     for name, stage in corpus_pipeline.STAGES[:-1]:

@@ -39,12 +39,12 @@ def test_severity_follows_the_grade(spark):
 def test_slope_is_the_loss_slope():
     """The fit ends where small steps to either side are no better."""
     rows = made(200, 4)
-    texts, grades = [t.word_counts(x) for _, x, _ in rows], np.array([g for *_, g in rows])
+    texts, grades = [t.features_of(x) for _, x, _ in rows], np.array([g for *_, g in rows])
     model = t.fit(texts, grades, rounds=400)
 
     def loss(shift):
-        over = np.array([[1.0, *t._logistic(sum((model.weights[w] + shift * (w == "vile")) * np.log1p(n) for w, n in c.items() if w in model.weights) - np.array(model.thresholds)), 0.0] for c in texts])
-        return -np.log([over[i, g] - over[i, g + 1] for i, g in enumerate(grades)]).sum() + 0.5 * sum((v + shift * (w == "vile")) ** 2 for w, v in model.weights.items())
+        over = np.array([[1.0, *t._logistic(sum((model.weights[w] + shift * (w == "vile")) * np.log2(1 + n) for w, n in c.items() if w in model.weights) - np.array(model.thresholds)), 0.0] for c in texts])
+        return -np.log([over[i, g] - over[i, g + 1] for i, g in enumerate(grades)]).sum() + 0.05 * sum((v + shift * (w == "vile")) ** 2 for w, v in model.weights.items())
 
     assert loss(0) <= min(loss(0.05), loss(-0.05))
 
