@@ -1,12 +1,19 @@
 """Near-equal lines across documents by a deletion-neighbourhood join on words.
 
-Two lines of five words or more are near-equal if one word inserted, deleted or replaced turns
-one into the other; shorter lines only if they have the same words. Each line emits all its
-variants with one word deleted, hashed, with the place of the deletion, and itself. Lines
-that meet under one variant are verified, and the earliest (by document id, then line) stays.
-
-Lines that cannot have a partner emit nothing: of two near-equal lines, either the first half
-or the last half is the same. Only lines that share a half with another line go on.
+Two lines of five words or more are near-equal if a bounded number of words inserted, deleted or
+replaced turns one into the other: one word, and in lines of 40 words or more one for each 20
+words of the shorter line. Shorter lines must have the same words. The earliest (by document
+id, then line) stays.
+
+Bound of one word: each line emits all its variants with one word deleted, hashed, with the
+place of the deletion, and itself. Lines that meet under one variant are verified. Lines that
+cannot have a partner emit nothing: of two near-equal lines, either the first half or the last
+half is the same. Only lines that share a half with another line go on.
+
+Larger bounds: k edits leave a run of (n - k) / (k + 1) words untouched. Of the word runs in
+every stretch of that length a line emits the one with the least hash, so that near-equal
+lines share one at nearly the same place. Lines that meet there within the bounds of length,
+place and word parity (an edit flips two bits at most) are verified by their edit distance.
 """
 
 from __future__ import annotations
@@ -25,6 +32,56 @@ from cadenza.llm.common import settle, values
 BASE = 0x9E3779B97F4A7C15 | 1
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
 LEAST_WORDS = 5
+WORDS_PER_EDIT = 20
+#: Words of a run that is a key, if the untouched runs are long enough.
+RUN_WORDS = 5
+#: Bytes of a run's key, and the neighbours that the first round compares a line with.
+KEY_BYTES, NEIGHBOURS = 5, 32
+
+
+def edit_bound(n: int, words_per_edit: int | None = None) -> int:
+    """Words by which a line of n words may differ; one if ``words_per_edit`` is None."""
+    return max(1, n // words_per_edit) if words_per_edit else 1
+
+
+def long_from(words_per_edit: int | None) -> int | None:
+    """The least number of words whose bound is above one."""
+    return 2 * words_per_edit if words_per_edit else None
+
+
+def run_layout(words_per_edit: int) -> tuple[int, int]:
+    """(words of a run, runs of a stretch): the shortest untouched stretch is that of the least long line."""
+    stretch = -(-(long_from(words_per_edit) - 2) // 3)
+    size = min(RUN_WORDS, stretch)
+    return size, stretch - size + 1
+
+
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words))
+
+
+def chosen_runs(lines: list[np.ndarray], words_per_edit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(line, place, key) of the least run of every stretch of long lines, given as word hashes."""
+    size, window = run_layout(words_per_edit)
+    counts = np.array([len(x) for x in lines])
+    ends, line = np.cumsum(counts), np.repeat(np.arange(len(lines)), counts)
+    words = np.concatenate(lines)
+    runs = np.zeros(len(words) - size + 1, dtype=np.uint64)
+    for i in range(size):
+        runs = runs * np.uint64(BASE) + words[i : i + len(runs)]
+    runs = (runs ^ (runs >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    runs ^= runs >> np.uint64(29)
+    least = np.lib.stride_tricks.sliding_window_view(runs, window).argmin(1)
+    first = np.arange(len(least))
+    inside = first + window + size - 1 <= ends[line[: len(least)]]
+    at = np.unique((first + least)[inside])
+    return line[at], at - (ends - counts)[line[at]], runs[at] >> np.uint64(64 - 8 * KEY_BYTES)
+
+
+def parities(words: np.ndarray) -> tuple[int, int]:
+    """128 bits: the parities of the counts of words, dealt over the bits by their hashes."""
+    bits, high = np.uint64(1) << (words & np.uint64(63)), (words & np.uint64(64)) > 0
+    return tuple(int(np.bitwise_xor.reduce(bits[side]).astype(np.int64)) for side in (~high, high))
 
 
 def half_keys(words: list[bytes], least: int = LEAST_WORDS) -> list[int]:
@@ -36,33 +93,73 @@ def half_keys(words: list[bytes], least: int = LEAST_WORDS) -> list[int]:
     return [xxhash.xxh64_intdigest(b" ".join(part), 2 * m + side) - (1 << 63) for m in sizes for side, part in enumerate((words[:m], words[n - m :]))]
 
 
-def lines_of(docs: DataFrame) -> DataFrame:
-    """Rows (doc, pos, h1, h2, keys): every \\n-split line with a word, named by 128 bits over its words."""
+def lines_of(docs: DataFrame, words_per_edit: int | None = None) -> DataFrame:
+    """Rows (doc, pos, h1, h2, keys, runs): every \\n-split line with a word, named by 128 bits over its words.
+
+    ``keys`` are those of halves, for the bound of one word; ``runs`` those of a long line's runs, end to end.
+    """
+    long = long_from(words_per_edit)
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc, pos, names, keys = [], [], [], []
+            doc, pos, names, keys, longs = [], [], [], [], {}
+            n_long = 0
             for i, text in zip(batch.column(0).to_pylist(), values(batch.column(1))):
                 for at, line in enumerate((text or "").encode().split(b"\n")):
                     if words := line.split():
+                        if long is not None and len(words) >= long:
+                            longs[len(doc)] = word_hashes(words)
+                            n_long += len(words)
                         doc.append(i)
                         pos.append(at)
                         names.append(xxhash.xxh3_128_digest(b" ".join(words)))
-                        keys.append(half_keys(words))
-                if len(doc) > 50_000:
-                    yield _line_batch(doc, pos, names, keys)
-                    doc, pos, names, keys = [], [], [], []
-            yield _line_batch(doc, pos, names, keys)
+                        keys.append(half_keys(words) if long is None or len(words) <= long else [])
+                if len(doc) > 50_000 or n_long > 500_000:
+                    yield _line_batch(doc, pos, names, keys, _packed(longs, len(doc), words_per_edit))
+                    doc, pos, names, keys, longs = [], [], [], [], {}
+                    n_long = 0
+            yield _line_batch(doc, pos, names, keys, _packed(longs, len(doc), words_per_edit))
 
-    return docs.select("doc", "text").mapInArrow(of_batches, "doc long, pos int, h1 long, h2 long, keys array<long>")
+    return docs.select("doc", "text").mapInArrow(of_batches, "doc long, pos int, h1 long, h2 long, keys array<long>, runs binary")
 
 
-def _line_batch(doc: list, pos: list, names: list, keys: list) -> pa.RecordBatch:
+def _line_batch(doc: list, pos: list, names: list, keys: list, runs: list) -> pa.RecordBatch:
     halves = np.frombuffer(b"".join(names), dtype=np.int64).reshape(-1, 2)
     return pa.RecordBatch.from_arrays(
-        [pa.array(doc, pa.int64()), pa.array(pos, pa.int32()), pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(keys, pa.list_(pa.int64()))],
-        ["doc", "pos", "h1", "h2", "keys"],
-    )
+        [
+            pa.array(doc, pa.int64()), pa.array(pos, pa.int32()), pa.array(halves[:, 0]), pa.array(halves[:, 1]),
+            pa.array(keys, pa.list_(pa.int64())), pa.array(runs, pa.binary()),
+        ],
+        ["doc", "pos", "h1", "h2", "keys", "runs"],
+    )
+
+
+def _packed(longs: dict[int, np.ndarray], count: int, words_per_edit: int | None) -> list[bytes | None]:
+    """The distinct run keys of each long line, KEY_BYTES for each; None for other lines."""
+    out: list[bytes | None] = [None] * count
+    if longs:
+        line, _, key = chosen_runs(list(longs.values()), words_per_edit)
+        order = np.lexsort((key, line))
+        line, key = line[order], key[order]
+        new = np.concatenate(([True], (line[1:] != line[:-1]) | (key[1:] != key[:-1])))
+        line, key = line[new], key[new]
+        packed = key.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - KEY_BYTES :].tobytes()
+        ends = (np.searchsorted(line, np.arange(len(longs)), "right") * KEY_BYTES).tolist()
+        for at, start, end in zip(longs, [0, *ends], ends):
+            out[at] = packed[start:end]
+    return out
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        packed = values(batch.column(2))
+        for start in range(0, batch.num_rows, 4096):
+            some = [next(packed) for _ in range(min(4096, batch.num_rows - start))]
+            counts = [len(x) // KEY_BYTES for x in some]
+            wide = np.zeros((sum(counts), 8), dtype=np.uint8)
+            wide[:, 8 - KEY_BYTES :] = np.frombuffer(b"".join(some), dtype=np.uint8).reshape(-1, KEY_BYTES)
+            fd, fp = (np.repeat(batch.column(i).slice(start, len(some)).to_numpy(), counts) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(wide.view(">i8").ravel().astype(np.int64)), pa.array(fd), pa.array(fp)], ["key", "fd", "fp"])
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,20 +179,27 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield held
 
 
-def with_partner_halves(firsts: DataFrame) -> DataFrame:
-    """Rows (fd, fp): lines that share a half with another line."""
+def with_partners(firsts: DataFrame) -> DataFrame:
+    """Rows (fd, fp): lines that share a half or, if long, a run with another line."""
     keys = firsts.select(F.explode("keys").alias("key"), "fd", "fp")
+    keys = keys.unionByName(firsts.where("runs is not null").select("fd", "fp", "runs").mapInArrow(_unpacked, "key long, fd long, fp int"))
     dealt = keys.repartition("key").sortWithinPartitions("key")
     return dealt.mapInArrow(_shared, "key long, fd long, fp int").select("fd", "fp").distinct()
 
 
-def variants(lines: DataFrame) -> DataFrame:
-    """Rows (v, gap, doc, pos): the hash of each line without the word at ``gap``; gap -1 is the whole line."""
+def variants(lines: DataFrame, most: int | None = None) -> DataFrame:
+    """Rows (v, gap, doc, pos): the hash of each line without the word at ``gap``; gap -1 is the whole line.
+
+    Lines of more than ``most`` words have none.
+    """
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for doc, pos, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), values(batch.column(2))):
-                words = np.array([xxhash.xxh64_intdigest(w) for w in line.encode().split()], dtype=np.uint64)
+                split = line.encode().split()
+                if most is not None and len(split) > most:
+                    continue
+                words = word_hashes(split)
                 with np.errstate(over="ignore"):
                     powers = np.cumprod(np.concatenate(([np.uint64(1)], np.full(len(words) - 1, BASE, dtype=np.uint64))))
                     sums = np.concatenate(([np.uint64(0)], np.cumsum(words * powers)))
@@ -151,11 +255,133 @@ def _pair_batch(pairs: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32()) * 2)], ["doc", "pos", "d2", "p2"])
 
 
-def near_equal(a: str, b: str, least: int = LEAST_WORDS) -> bool:
-    """Whether one word inserted, deleted or replaced, or none, turns a into b."""
+def run_rows(lines: DataFrame, words_per_edit: int) -> DataFrame:
+    """Rows (key, n, off, s1, s2, doc, pos, open): the chosen runs of each long line, and its word parities."""
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 2048):
+                piece = batch.slice(start, 2048)
+                split = [line.encode().split() for line in piece.column(2).to_pylist()]
+                at = np.array([i for i, w in enumerate(split) if len(w) >= long_from(words_per_edit)], dtype=np.int64)
+                if not len(at):
+                    continue
+                words = [word_hashes(split[i]) for i in at]
+                line, off, key = chosen_runs(words, words_per_edit)
+                sides = np.array([parities(w) for w in words], dtype=np.int64)
+                n = np.array([len(w) for w in words], dtype=np.int32)
+                doc, pos, is_open = (piece.column(i).to_numpy(zero_copy_only=False)[at][line] for i in (0, 1, 3))
+                columns = (key.astype(np.int64), n[line], off.astype(np.int32), sides[line, 0], sides[line, 1], doc, pos, is_open)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "n", "off", "s1", "s2", "doc", "pos", "open"])
+
+    return lines.select("doc", "pos", "line", "open").mapInArrow(of_batches, RUN_SCHEMA)
+
+
+RUN_SCHEMA = "key long, n int, off int, s1 long, s2 long, doc long, pos int, open boolean"
+
+
+def _whole_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """The columns of a stream sorted by key, in pieces that end between keys."""
+    kept: list[list[np.ndarray]] = []
+    for batch in batches:
+        new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        if not batch.num_rows:
+            continue
+        if kept and kept[-1][0][-1] != new[0][0]:
+            yield [np.concatenate(c) for c in zip(*kept)]
+            kept = []
+        cut = int(np.searchsorted(new[0], new[0][-1]))
+        if cut:
+            kept.append([c[:cut] for c in new])
+            yield [np.concatenate(c) for c in zip(*kept)]
+            kept = []
+        kept.append([c[cut:] for c in new])
+    if kept:
+        yield [np.concatenate(c) for c in zip(*kept)]
+
+
+def _met(words_per_edit: int, every: bool):
+    """Pairs (later, earlier) of lines that meet under a run; rows sorted by (key, n, doc, pos).
+
+    The first round (not ``every``) gives each line the likeliest of its neighbours, the second
+    gives lines that are still open all earlier lines within the bounds.
+    """
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, n, off, s1, s2, doc, pos, is_open in _whole_keys(batches):
+            bound = np.maximum(1, n // words_per_edit)
+            s1, s2 = s1.view(np.uint64), s2.view(np.uint64)  # of a signed number, the bits of its absolute value would count
+            best, partner = np.full(len(key), 256), np.zeros(len(key), dtype=np.int64)
+            rows, lag = np.arange(len(key)), 1
+            while (every or lag <= NEIGHBOURS) and len(rows := rows[rows < len(key) - lag]):
+                rows = rows[(key[rows] == key[rows + lag]) & (n[rows + lag] - n[rows] <= bound[rows])]
+                a, b = rows, rows + lag
+                near = np.abs(off[a] - off[b]) <= bound[a]
+                a, b = a[near], b[near]
+                flips = np.bitwise_count(s1[a] ^ s1[b]).astype(np.int64) + np.bitwise_count(s2[a] ^ s2[b])
+                near = (flips <= 2 * bound[a]) & ((doc[a] != doc[b]) | (pos[a] != pos[b]))
+                a, b, flips = a[near], b[near], flips[near]
+                b_later = (doc[b] > doc[a]) | ((doc[b] == doc[a]) & (pos[b] > pos[a]))
+                later, earlier = np.where(b_later, b, a), np.where(b_later, a, b)
+                if every:
+                    wanted = is_open[later]
+                    if wanted.any():
+                        yield _pairs_of(doc, pos, later[wanted], earlier[wanted])
+                else:
+                    for side in (b_later, ~b_later):  # on either side a row stands once
+                        row, other, f = later[side], earlier[side], flips[side]
+                        better = f < best[row]
+                        best[row[better]], partner[row[better]] = f[better], other[better]
+                lag += 1
+            if not every:
+                later = np.flatnonzero(best < 256)
+                yield _pairs_of(doc, pos, later, partner[later])
+
+    return of_batches
+
+
+def _pairs_of(doc: np.ndarray, pos: np.ndarray, later: np.ndarray, earlier: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in (doc[later], pos[later], doc[earlier], pos[earlier])], ["doc", "pos", "d2", "p2"])
+
+
+def run_pairs(lines: DataFrame, words_per_edit: int, every: bool) -> DataFrame:
+    dealt = run_rows(lines, words_per_edit).repartition("key").sortWithinPartitions("key", "n", "doc", "pos")
+    return dealt.mapInArrow(_met(words_per_edit, every), "doc long, pos int, d2 long, p2 int").distinct()
+
+
+def within(x: list[str], y: list[str], most: int) -> bool:
+    """Whether at most ``most`` words inserted, deleted or replaced turn x into y: the furthest place on each diagonal."""
+    goal = len(y) - len(x)
+    if abs(goal) > most:
+        return False
+    reach = {0: 0}
+    for edits in range(most + 1):
+        if edits:
+            new = {}
+            for d in range(-edits, edits + 1):
+                i = max(reach.get(d, -2) + 1, reach.get(d - 1, -1), reach.get(d + 1, -2) + 1)
+                if i >= max(0, -d) and i <= len(x) and i + d <= len(y):
+                    new[d] = i
+                elif i > len(x) or i + d > len(y):
+                    new[d] = min(len(x), len(y) - d)
+            reach = new
+        for d, i in reach.items():
+            while i < len(x) and i + d < len(y) and x[i] == y[i + d]:
+                i += 1
+            reach[d] = i
+        if reach.get(goal, -1) >= len(x):
+            return True
+    return False
+
+
+def near_equal(a: str, b: str, least: int = LEAST_WORDS, words_per_edit: int | None = None) -> bool:
+    """Whether words inserted, deleted or replaced within the shorter line's bound, or none, turn a into b."""
     x, y = a.split(" "), b.split(" ")
-    if abs(len(x) - len(y)) > 1 or min(len(x), len(y)) < least:
+    most = edit_bound(min(len(x), len(y)), words_per_edit)
+    if abs(len(x) - len(y)) > most or min(len(x), len(y)) < least:
         return x == y
+    if most > 1:
+        return within(x, y, most)
     head = 0
     while head < min(len(x), len(y)) and x[head] == y[head]:
         head += 1
@@ -169,15 +395,15 @@ def _ascii_words(line: str) -> str:
     return b" ".join(line.encode().split()).decode()
 
 
-def dropped_lines(docs: DataFrame) -> DataFrame:
+def dropped_lines(docs: DataFrame, words_per_edit: int | None = WORDS_PER_EDIT) -> DataFrame:
     """Rows (doc, pos, near) of the lines to drop; ``near``: not for an equal line but a near-equal one."""
-    lines = settle(lines_of(docs), "lines")
+    lines = settle(lines_of(docs, words_per_edit), "lines")
     firsts = settle(
-        lines.groupBy("h1", "h2").agg(F.min(F.struct("doc", "pos")).alias("first"), F.count("*").alias("n"), F.first("keys").alias("keys"))
-        .select("h1", "h2", F.col("first.doc").alias("fd"), F.col("first.pos").alias("fp"), "n", "keys"),
+        lines.groupBy("h1", "h2").agg(F.min(F.struct("doc", "pos")).alias("first"), F.count("*").alias("n"), F.first("keys").alias("keys"), F.first("runs").alias("runs"))
+        .select("h1", "h2", F.col("first.doc").alias("fd"), F.col("first.pos").alias("fp"), "n", "keys", "runs"),
         "line-firsts",
     )
-    chosen = settle(with_partner_halves(firsts.select("fd", "fp", "keys")).groupBy("fd").agg(F.collect_list("fp").alias("places")), "line-candidates")
+    chosen = settle(with_partners(firsts.select("fd", "fp", "keys", "runs")).groupBy("fd").agg(F.collect_list("fp").alias("places")), "line-candidates")
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -191,30 +417,43 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
     # Texts are joined by shuffle at every size, so that small inputs show what large ones cost.
     candidates = docs.join(chosen.hint("merge"), F.col("doc") == F.col("fd")).select("doc", "places", "text").mapInArrow(pick, "doc long, pos int, line string")
     candidates = settle(candidates.dropDuplicates(["doc", "pos"]), "candidate-lines")
-    dealt = variants(candidates).repartition("v").sortWithinPartitions("v", "gap", "doc", "pos")
+    dealt = variants(candidates, long_from(words_per_edit)).repartition("v").sortWithinPartitions("v", "gap", "doc", "pos")
     pairs = dealt.mapInArrow(_earlier, "doc long, pos int, d2 long, p2 int").distinct()
     other = candidates.select(F.col("doc").alias("d2"), F.col("pos").alias("p2"), F.col("line").alias("line2"))
-    check = F.pandas_udf(lambda a, b: a.combine(b, near_equal).astype(bool), T.BooleanType())
-    met = settle(pairs.join(candidates, ["doc", "pos"]).join(other, ["d2", "p2"]).select("doc", "pos", check("line", "line2").alias("right")), "line-pairs")
-    near = met.where("right").select(F.col("doc").alias("fd"), F.col("pos").alias("fp")).distinct()
+    check = F.pandas_udf(lambda a, b: a.combine(b, lambda x, y: near_equal(x, y, words_per_edit=words_per_edit)).astype(bool), T.BooleanType())
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        return settle(pairs.join(candidates, ["doc", "pos"]).join(other, ["d2", "p2"]).select("doc", "pos", "d2", "p2", check("line", "line2").alias("right")), "line-pairs")
+
+    if words_per_edit:
+        pairs = pairs.unionByName(run_pairs(candidates.withColumn("open", F.lit(True)), words_per_edit, every=False)).distinct()
+    met = verified(pairs)
+    near = met.where("right").select("doc", "pos").distinct()
+    if words_per_edit:
+        # Lines without a near-equal one so far are compared with all others in their bounds.
+        marked = candidates.join(near.withColumn("found", F.lit(True)), ["doc", "pos"], "left").select("doc", "pos", "line", F.col("found").isNull().alias("open"))
+        rest = run_pairs(marked, words_per_edit, every=True).join(met.select("doc", "pos", "d2", "p2"), ["doc", "pos", "d2", "p2"], "left_anti")
+        near = near.unionByName(verified(rest).where("right").select("doc", "pos")).distinct()
+    near = near.select(F.col("doc").alias("fd"), F.col("pos").alias("fp"))
     # Of an equal line all but the first go; the first goes too if an earlier line is near-equal.
     marked = firsts.join(near.withColumn("near", F.lit(True)), ["fd", "fp"], "left").where("n > 1 or near").select("h1", "h2", "fd", "fp", F.coalesce("near", F.lit(False)).alias("near"))
     found = lines.select("doc", "pos", "h1", "h2").join(marked, ["h1", "h2"])
     return found.where("near or doc <> fd or pos <> fp").select("doc", "pos", "near").distinct()
 
 
-def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words_per_edit: int | None = WORDS_PER_EDIT) -> DataFrame:
     """The rows of ``docs`` with the later ones of equal and near-equal lines taken out of the text.
 
     Adds ``n_lines`` (lines with a word), ``n_dropped`` and ``n_near`` (dropped for a near-equal
     line). A line is dropped if any earlier line of any document is equal or near-equal to it,
-    kept or not. Lines without a word stay. A document of which nothing is left stays with
+    kept or not. Lines of n words may differ by n // ``words_per_edit`` words, one at least; with
+    None by one word at every length. Lines without a word stay. A document of which nothing is left stays with
     an empty text; null texts stay null. Rows with a null id are returned as they are. An id
     names one text: repeated rows are one document and keep the same lines. Empty tables give
     no rows. Columns of the same names as the three new ones are replaced.
     """
     inner = docs.where(F.col(id_column).isNotNull()).select(F.col(id_column).cast("long").alias("doc"), F.col(text_column).cast("string").alias("text"))
-    places = dropped_lines(inner).groupBy("doc").agg(F.collect_list("pos").alias("__gone"), F.sum(F.col("near").cast("int")).alias("__near"))
+    places = dropped_lines(inner, words_per_edit).groupBy("doc").agg(F.collect_list("pos").alias("__gone"), F.sum(F.col("near").cast("int")).alias("__near"))
     gone = settle(places.withColumnRenamed("doc", "__doc"), "dropped-lines")
     kept = docs.drop("n_lines", "n_dropped", "n_near")
     has_id = F.col(id_column).isNotNull()

@@ -82,3 +82,74 @@ def test_hot_template_line(spark):
 
 def test_no_documents(spark):
     assert ld.dedup_lines(cases.nothing(spark)).count() == 0
+
+
+def bounded(n, words_per_edit):
+    return max(1, n // words_per_edit)
+
+
+def plain_growing(docs, words_per_edit):
+    seen, out = [], {}
+    for doc, text in sorted(docs):
+        kept = []
+        for line in text.split("\n"):
+            words = line.split()
+            near = any(
+                words == s
+                or (min(len(words), len(s)) >= 5 and abs(len(words) - len(s)) <= bounded(min(len(words), len(s)), words_per_edit) and distance(words, s) <= bounded(min(len(words), len(s)), words_per_edit))
+                for s in seen
+            )
+            seen.append(words)
+            if not near:
+                kept.append(line)
+        out[doc] = "\n".join(kept)
+    return out
+
+
+def edited_often(rng, words, times):
+    for _ in range(times):
+        words = edited(rng, words)
+    return words
+
+
+def test_growing_bound_equals_all_pairs(spark):
+    """Long lines with several changed words, with edits in both halves, go like near-equal short ones."""
+    rng = random.Random(5)
+    for words_per_edit, lengths, letters in ((5, (5, 9, 10, 11, 14, 15, 21), "abcd"), (20, (38, 39, 40, 41, 60, 85, 122), [f"w{i}" for i in range(30)])):
+        pool = [[rng.choice(letters) for _ in range(n)] for n in lengths]
+        texts = []
+        for _ in range(45):
+            lines = []
+            for _ in range(rng.randrange(1, 5)):
+                words = rng.choice(pool)
+                most = len(words) // words_per_edit
+                lines.append(" ".join(edited_often(rng, words, rng.randrange(0, most + 3))))
+            texts.append("\n".join(lines))
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+        rows = ld.dedup_lines(docs, words_per_edit=words_per_edit).collect()
+        assert {r["doc_id"]: r["text"] for r in rows} == plain_growing(list(enumerate(texts)), words_per_edit)
+        one = ld.dedup_lines(docs, words_per_edit=None).collect()
+        assert sum(r["n_near"] for r in rows) > sum(r["n_near"] for r in one)
+
+
+def test_near_equal_within_the_bound():
+    rng = random.Random(9)
+    for _ in range(3_000):
+        a = [rng.choice("abc") for _ in range(rng.randrange(5, 24))]
+        b = edited_often(rng, a, rng.randrange(0, 7))
+        n = min(len(a), len(b))
+        wanted = distance(a, b) <= bounded(n, 5) if n >= 5 else a == b
+        assert ld.near_equal(" ".join(a), " ".join(b), words_per_edit=5) == wanted
+
+
+def test_hot_long_template(spark):
+    """Many long lines that differ in two words far apart: all but the first go."""
+    base = cases.prose(1, 120).split()
+    texts = []
+    for i in range(600):
+        words = list(base)
+        for j, at in enumerate((10, 90)):
+            words[at] = f"x{i}y{j}"
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    assert ld.dedup_lines(docs).where("n_dropped = 0").count() == 1
