@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import decontamination, licenses, line_dedup, packing, quality_rules, secret_scan, simhash, toxicity, url_filters, warc
+from cadenza.llm import (
+    collocations, decontamination, language_id, licenses, line_dedup, packing, periodic_runs, quality_rules, secret_scan, simhash, toxicity,
+    url_filters, warc,
+)
 
 TOKENIZER_FILE, RANKS_FILE = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 # The rules of the query's contract.
@@ -94,6 +97,47 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(F.col("id").alias("doc_id"), F.round("severity", 6).alias("severity"), F.round("p_toxic", 6).alias("p_toxic"), "toxic")
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4))
+    found = language_id.identify(docs, language_id.learn(docs.where(fold != 2)))
+    of_id = F.pmod(F.crc32(F.col("id").cast("string").cast("binary")), F.lit(4))
+    return found.select(
+        F.col("id").alias("doc_id"), F.coalesce(of_id == 2, F.lit(False)).alias("held_out"), F.col("lang").alias("lang_pred"), F.round("score", 6).alias("score")
+    )
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """The contract's rewriting of a tenth of the documents, chosen and shaped by their ids."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    n, g = F.size(words), F.floor(h / 10)
+    a = F.pmod(g, n)
+    p = 1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))
+    rewritten = F.transform(words, lambda w, i: F.when(i < a, w).otherwise(F.get(words, (a + F.pmod(i - a, p)).cast("int"))))
+    return docs.withColumn("text", F.when((F.pmod(h, F.lit(10)) == 0) & (n > 0), F.array_join(rewritten, " ")).otherwise(F.col("text")))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_planted_runs(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic_runs.periodic_runs(docs)
+    # Of two runs the one with the greater length / period comes first, by whole numbers.
+    best = F.expr("""
+        aggregate(runs, CAST(NULL AS struct<start: bigint, length: bigint, period: bigint>), (best, r) ->
+          IF(best IS NULL OR CAST(r.length AS DECIMAL(19)) * best.period > CAST(best.length AS DECIMAL(19)) * r.period, r, best))""")
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period)), "\n")
+    listed = F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise("")
+    sha256 = lambda text: F.sha2(text.cast("binary"), 256)
+    return found.select("id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), sha256(listed).alias("runs"), sha256(F.col("text")).alias("text")).select(
+        F.col("id").alias("doc_id"), "n_runs", "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length DIV best.period").alias("exponent_milli"), F.col("runs").alias("runs_sha256"), F.col("text").alias("collapsed_sha256"),
+    )
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -111,6 +155,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_url_filters": op9_url_filters,
     "op10_toxicity": op10_toxicity,
+    "op11_language_id": op11_language_id,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_collocations": op13_collocations,
     "pipeline": pipeline,
 }
 
@@ -198,5 +245,56 @@ SELECT page_id, host, path, rule, CASE
   WHEN other IS NULL OR other = 'archived pages' THEN 'allow' ELSE 'block' END AS verdict,
   CASE WHEN rule IS NULL THEN other END AS pattern
 FROM judged
+""",
+    "op12_periodic_runs": r"""
+WITH coded AS (
+  SELECT row_number() OVER () AS doc, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words,
+    flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: list_transform(range(8), lambda b: (ascii(c) >> b) & 1))) AS bits
+  FROM documents),
+named AS (
+  SELECT *, len(words) AS n, xor(4294967295, list_reduce(list_prepend(4294967295, bits),
+    lambda c, b: xor(c >> 1, CASE WHEN xor(c, b) & 1 = 1 THEN 3988292384 ELSE 0 END))) AS h FROM coded),
+shaped AS (SELECT *, CASE WHEN n > 0 THEN (h // 10) % n END AS a, 3 + (h // 10) % 8 AS parts FROM named),
+docs AS (
+  SELECT doc, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN
+    list_transform(range(n), lambda i: words[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // parts) END]) ELSE words END AS words FROM shaped),
+placed AS (SELECT doc, n, unnest(range(n)) AS i, unnest(words) AS w FROM docs),
+same AS (
+  SELECT x.doc, x.i, y.i - x.i AS q FROM placed x JOIN placed y ON x.doc = y.doc AND x.w = y.w AND y.i > x.i AND y.i - x.i <= x.n // 4),
+grouped AS (SELECT *, i - row_number() OVER (PARTITION BY doc, q ORDER BY i) AS island FROM same),
+stretched AS (SELECT doc, q, min(i) AS s, count(*) + q AS m FROM grouped GROUP BY doc, q, island HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (SELECT doc, s, m, min(q) AS q FROM stretched GROUP BY doc, s, m),
+best AS (
+  SELECT doc, s, m, q FROM (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY CAST(m AS DECIMAL(38, 18)) / q DESC, s, q) AS place FROM runs) WHERE place = 1),
+listed AS (SELECT doc, count(*) AS n_runs, string_agg(s || ',' || m || ',' || q || chr(10), '' ORDER BY s, q) AS listed FROM runs GROUP BY doc),
+dropped AS (SELECT DISTINCT doc, unnest(range(s + q, s + m)) AS i FROM runs),
+kept AS (
+  SELECT doc, string_agg(w, ' ' ORDER BY i) AS kept FROM placed ANTI JOIN dropped USING (doc, i) GROUP BY doc)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, CAST(s AS BIGINT) AS start, CAST(m AS BIGINT) AS length, CAST(q AS BIGINT) AS period,
+  CAST(1000 * m // q AS BIGINT) AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM docs LEFT JOIN listed USING (doc) LEFT JOIN best USING (doc) LEFT JOIN kept USING (doc)
+""",
+    "op13_collocations": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+split AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS ws FROM pieces),
+starts AS (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM split, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(ws) >= k),
+counts AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, count(*) AS f FROM starts GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS ws FROM counts WHERE k >= 2 AND f >= 30),
+cuts AS (SELECT *, unnest(range(1, k)) AS c FROM candidates),
+scored AS (
+  SELECT cuts.lang, cuts.phrase, a, c, x.f AS l, y.f AS r, CAST(2000000 AS HUGEINT) * a // (x.f + y.f) AS score FROM cuts
+  JOIN counts x ON x.lang = cuts.lang AND x.phrase = array_to_string(ws[:c], ' ')
+  JOIN counts y ON y.lang = cuts.lang AND y.phrase = array_to_string(ws[c + 1:], ' ')),
+cut AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) AS place FROM scored) WHERE place = 1),
+inner_size AS (SELECT lang, ws, k, a AS f, unnest(range(2, k)) AS size FROM candidates),
+inner_place AS (SELECT *, unnest(range(1, k - size + 2)) AS i FROM inner_size),
+longer AS (SELECT lang, array_to_string(ws[i:i + size - 1], ' ') AS phrase, max(f) AS longer FROM inner_place GROUP BY ALL),
+kept AS (
+  SELECT cut.* FROM cut LEFT JOIN longer ON cut.lang = longer.lang AND cut.phrase = longer.phrase WHERE coalesce(100 * longer < 80 * a, true)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """,
 }
