@@ -84,7 +84,7 @@ def cross_parse(text: str, start: dict) -> tuple[int, int]:
 
 @dataclass
 class Languages:
-    """The learned languages: for each its sample's length and automaton."""
+    """The learned languages, that with the most labelled text first: its sample's length and automaton."""
 
     sizes: dict[str, int]
     moves: dict[str, list[dict[str, int]]]
@@ -97,7 +97,7 @@ class Languages:
         """(language, bits of a phrase, start state), the states linked to each other."""
         if self._starts is None:
             self._starts = []
-            for lang in sorted(self.sizes):
+            for lang in self.sizes:
                 states = [dict(m) for m in self.moves[lang]]
                 for state in states:
                     for c, to in state.items():
@@ -106,7 +106,7 @@ class Languages:
         return self._starts
 
     def bits(self, text: str) -> list[float]:
-        """Bits that each language, in order of name, needs for a folded text."""
+        """Bits that each language needs for a folded text."""
         starts = self.starts()
         most = max((bits for _, bits, _ in starts), default=0.0)
         found = []
@@ -116,11 +116,11 @@ class Languages:
         return found
 
     def identify(self, text: str | None) -> tuple[str, float]:
-        """The language and its share of 2 to the power of minus bits; ties go to the smallest name."""
+        """The language and its share of 2 to the power of minus bits; ties go to the most labelled."""
         folded = fold(text or "")
         if not folded or not self.sizes:
             return UNDETERMINED, 0.0
-        bits = self.bits(folded)
+        bits = self.bits(f" {folded} ")
         least = min(bits)
         return self.starts()[bits.index(least)][0], 1.0 / sum(2.0 ** max(least - b, -1000.0) for b in bits)
 
@@ -159,19 +159,19 @@ def learn(
 
     pieces = drawn.mapInArrow(cut, "lang string, piece string, key long").distinct().orderBy("lang", "key", "piece")
     samples: dict[str, list[str]] = {}
-    lengths: dict[str, int] = {}
+    lengths = dict.fromkeys(wanted, 0)
     for row in pieces.toLocalIterator():
-        if lengths.get(row["lang"], 0) < letters:
+        if lengths[row["lang"]] < letters:
             samples.setdefault(row["lang"], []).append(row["piece"])
-            lengths[row["lang"]] = lengths.get(row["lang"], 0) + len(row["piece"])
-    return Languages(lengths, {lang: suffix_automaton(SEAM.join(parts)) for lang, parts in samples.items()})
+            lengths[row["lang"]] += len(row["piece"])
+    return Languages({lang: n for lang, n in lengths.items() if n}, {lang: suffix_automaton(SEAM.join(parts)) for lang, parts in samples.items()})
 
 
 def identify(docs: DataFrame, languages: Languages, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Rows (id, lang, score), one for each document, of its text alone.
 
     ``und`` with score 0 for a null text, one without a letter, and for all texts if no language
-    was learned. A text of letters that no language knows goes to the smallest name. Repeated
+    was learned. A text of letters that no language knows goes to the one with the most labelled text. Repeated
     rows and null ids give a row each. An empty table gives no rows. Other columns do not matter.
     """
     shared = docs.sparkSession.sparkContext.broadcast(languages)

@@ -110,12 +110,16 @@ def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def with_planted_runs(docs: DataFrame) -> DataFrame:
     """The contract's rewriting of a tenth of the documents, chosen and shaped by their ids."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
-    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    n, g = F.size(words), F.floor(h / 10)
-    a = F.pmod(g, n)
-    p = 1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))
-    rewritten = F.transform(words, lambda w, i: F.when(i < a, w).otherwise(F.get(words, (a + F.pmod(i - a, p)).cast("int"))))
-    return docs.withColumn("text", F.when((F.pmod(h, F.lit(10)) == 0) & (n > 0), F.array_join(rewritten, " ")).otherwise(F.col("text")))
+    split = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    # The words are a column of their own, so that they are split once and only where they change.
+    rows = docs.withColumn("__h", h).withColumn("__words", F.when(F.pmod("__h", F.lit(10)) == 0, split)).withColumn("__g", F.floor(F.col("__h") / 10))
+    n = F.size("__words")
+    rows = rows.withColumn("__a", F.when(n > 0, F.pmod("__g", n)).cast("int"))
+    rows = rows.withColumn("__p", (1 + F.floor((n - F.col("__a")) / (3 + F.pmod("__g", F.lit(8))))).cast("int"))
+    period = F.slice("__words", F.col("__a") + 1, F.col("__p"))
+    tail = F.flatten(F.array_repeat(period, F.ceil((n - F.col("__a")) / F.col("__p")).cast("int")))
+    rewritten = F.slice(F.concat(F.slice("__words", F.lit(1), F.col("__a")), tail), F.lit(1), n)
+    return rows.withColumn("text", F.when(F.col("__a").isNotNull(), F.array_join(rewritten, " ")).otherwise(F.col("text"))).select(docs.columns)
 
 
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
