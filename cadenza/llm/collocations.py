@@ -1,14 +1,14 @@
 """Collocations: phrases whose words come together far more often than apart.
 
 Stripes: within a task each prefix keys an associative counter of the words that follow it. The
-stripes are merged entry by entry over the cluster, so no stripe has to fit in one task. A level
-of stripes (prefixes of one, two, three words) gives the counts of the phrases one word longer;
-its prefixes' totals and the greatest entry of a prefix, or of a suffix, come from the same table.
-
-A phrase can only be frequent if its first and its last words without one are. Before a level is
-counted, the frequent phrases of the level below are marked in a bitmap of fixed size; phrases
-that fall on no mark are never counted. A false mark costs a count and changes nothing, as
-entries below the bound are left out after the merge.
+stripes are merged entry by entry over the cluster, so no stripe has to fit in one task. The
+merged table gives the counts of all phrases, and the greatest entry of a prefix or of a suffix.
+
+A phrase can only be frequent if its first and its last words without one are. So level by level
+hashes of phrases are counted first, and the slots of the frequent ones marked in a bitmap of
+fixed size. A phrase of the next level is hashed only if both its parts fall on marks, and
+stripes hold only marked phrases. A false mark costs a count and changes nothing, as entries
+below the bound are left out after the exact merge.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadenza.llm.common import hinted, settle, values
@@ -28,10 +28,12 @@ from cadenza.llm.common import hinted, settle, values
 #: Ends a piece; the byte occurs in no UTF-8 text.
 MARK = b"\xff"
 _SIGNS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", MARK * 10 + b" ")
-#: Bits of the bitmap: 8 MB.
+#: Bits of a bitmap, a power of two: 8 MB.
 SLOTS = 1 << 26
-#: Words of a text that are handled at once, and entries that a task holds before it passes them on.
-CHUNK, ENTRIES = 200_000, 600_000
+#: Words that are handled at once, hashes and entries that a task holds before it passes them on.
+CHUNK, HASHES, ENTRIES = 200_000, 1_500_000, 400_000
+#: Words whose hashes are remembered.
+KNOWN = 500_000
 _ID_BITS = 21
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -42,17 +44,51 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 
 def _hash(lang: str, word: bytes) -> int:
-    return xxhash.xxh64_intdigest(lang.encode() + MARK + word)
+    """A word's hash; 0 is the MARK's."""
+    return xxhash.xxh64_intdigest(lang.encode() + MARK + word) or 1
 
 
-def _slots(hashes: np.ndarray, size: int, slots: int) -> np.ndarray:
-    """The bitmap's slot of each phrase of ``size`` words, from the hashes of words in a row."""
+def _phrases(hashes: np.ndarray, size: int) -> np.ndarray:
+    """The hash of each phrase of ``size`` words, from the hashes of words in a row."""
     n = max(len(hashes) - size + 1, 0)
     mixed = np.zeros(n, np.uint64)
     for i in range(size):
         mixed = (mixed ^ hashes[i : i + n]) * _MIX
         mixed ^= mixed >> np.uint64(29)
-    return (mixed % np.uint64(slots)).astype(np.int64)
+    return mixed
+
+
+def _marked(phrases: np.ndarray, bitmap: np.ndarray, slots: int) -> np.ndarray:
+    at = (phrases & np.uint64(slots - 1)).astype(np.int64)
+    return ((bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool)
+
+
+def _unbroken(words: np.ndarray, size: int) -> np.ndarray:
+    """Where ``size`` words lie in one piece."""
+    n = max(len(words) - size + 1, 0)
+    whole = np.ones(n, bool)
+    for i in range(size):
+        whole &= words[i : i + n] != 0
+    return whole
+
+
+def _stretches(batches: Iterator[pa.RecordBatch], longest: int) -> Iterator[tuple[str, list[bytes]]]:
+    """The words of each language, CHUNK of them and as many more as a phrase may reach beyond."""
+    waiting: dict[str, list[bytes]] = {}
+    for batch in batches:
+        for lang, text in zip(values(batch.column(0)), values(batch.column(1))):
+            words = waiting.setdefault(lang, [])
+            words += words_of(text)
+            words.append(MARK)
+            if len(words) > CHUNK:
+                yield from _cut(lang, waiting.pop(lang), longest)
+    for lang, words in waiting.items():
+        yield from _cut(lang, words, longest)
+
+
+def _cut(lang: str, words: list[bytes], longest: int) -> Iterator[tuple[str, list[bytes]]]:
+    for start in range(0, len(words), CHUNK):
+        yield lang, words[start : start + CHUNK + longest - 1]
 
 
 def _texts(docs: DataFrame, text_column: str, lang_column: str, no_lang: str) -> DataFrame:
@@ -84,20 +120,63 @@ def count_words(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(of_batches, "lang string, word string, f long").groupBy("lang", "word").agg(F.sum("f").alias("f"))
 
 
-def mark_phrases(phrases: DataFrame, slots: int = SLOTS) -> np.ndarray:
-    """The bitmap of phrases (lang, phrase): a fixed number of bytes, whatever the number of rows."""
+class _Hashes(dict):
+    """The hashes of a language's words."""
+
+    def __init__(self, lang: str) -> None:
+        super().__init__({MARK: 0})
+        self.lang = lang
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = found = _hash(self.lang, word)
+        return found
+
+
+def hash_words(words: DataFrame) -> DataFrame:
+    """Rows (key): the hash of each word (lang, word) as a phrase of one."""
 
-    def slots_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [
-                int(_slots(np.array([_hash(lang, w) for w in phrase.encode().split(b" ")], np.uint64), phrase.count(" ") + 1, slots)[0])
-                for lang, phrase in zip(values(batch.column(0)), values(batch.column(1)))
-            ]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], ["slot"])
-
-    slot = phrases.select("lang", "phrase").mapInArrow(slots_of, "slot long").select(F.col("slot") + 1)
-    buckets = slot.toDF("slot").groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
-    bitmap = np.zeros(-(-slots // 32768) * 4096 + 1, np.uint8)
+            found = [_hash(lang, w.encode()) for lang, w in zip(values(batch.column(0)), values(batch.column(1)))]
+            yield pa.RecordBatch.from_arrays([pa.array(_phrases(np.array(found, np.uint64), 1).view(np.int64))], ["key"])
+
+    return words.select("lang", "word").mapInArrow(of_batches, "key long")
+
+
+def hash_phrases(texts: DataFrame, size: int, bitmap: np.ndarray, least: int, slots: int = SLOTS) -> DataFrame:
+    """Rows (key): hashes of phrases of ``size`` words that occur ``least`` times and may be frequent."""
+    shared = texts.sparkSession.sparkContext.broadcast(bitmap)
+
+    def counted(held: list[np.ndarray]) -> pa.RecordBatch:
+        keys, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *held]), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], ["key", "f"])
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, _Hashes] = {}
+        held, total = [], 0
+        for lang, words in _stretches(batches, size):
+            names = known.setdefault(lang, _Hashes(lang))
+            hashes = np.fromiter(map(names.__getitem__, words), np.uint64, len(words))
+            if sum(map(len, known.values())) > KNOWN:
+                known = {}
+            marked = _marked(_phrases(hashes, size - 1), shared.value, slots)
+            keys = _phrases(hashes, size)
+            held.append(keys[marked[: len(keys)] & marked[1 : len(keys) + 1] & _unbroken(hashes, size)])
+            total += len(held[-1])
+            if total > HASHES:
+                yield counted(held)
+                held, total = [], 0
+        yield counted(held)
+
+    found = texts.mapInArrow(of_batches, "key long, f long").groupBy("key").agg(F.sum("f").alias("f"))
+    return found.where(F.col("f") >= least).select("key")
+
+
+def mark(keys: DataFrame, slots: int = SLOTS) -> np.ndarray:
+    """The bitmap of hashes: a fixed number of bytes, whatever the number of rows."""
+    slot = keys.select(F.col("key").bitwiseAND(F.lit(slots - 1)).alias("slot")).select((F.col("slot") + 1).alias("slot"))
+    buckets = slot.groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
+    bitmap = np.zeros(-(-slots // 32768) * 4096, np.uint8)
     for row in buckets.collect():
         at = (row["bucket"] - 1) * 4096
         bitmap[at : at + len(row["bits"])] = np.frombuffer(row["bits"], np.uint8)
@@ -119,92 +198,76 @@ class _Names(dict):
 
 
 class _Stripes:
-    """A task's stripes of one level: a counter of next words for each prefix."""
+    """A task's stripes: for each language and length of phrase a counter of next words for each prefix."""
 
-    def __init__(self, size: int, bitmap: np.ndarray, slots: int) -> None:
-        self.size, self.bitmap, self.slots = size, bitmap, slots
+    def __init__(self, bitmaps: dict[int, np.ndarray], slots: int) -> None:
+        self.bitmaps, self.slots = bitmaps, slots
         self.clear()
 
     def clear(self) -> None:
         self.words, self.hashes = [MARK], array("Q", [0])
         self.names: dict[str, _Names] = {}
-        self.stripes: dict[str, dict[int, dict[int, int]]] = {}
+        self.stripes: dict[tuple[str, int], dict[int, dict[int, int]]] = {}
         self.entries = 0
 
     def full(self) -> bool:
         return self.entries > ENTRIES or len(self.words) > (1 << _ID_BITS) - 2 * CHUNK - 16
 
-    def add(self, lang: str, ids: np.ndarray) -> None:
-        """Count the phrases of a stretch of words, numbered by ``names`` of the language."""
-        size = self.size
-        slots = _slots(np.frombuffer(self.hashes, np.uint64)[ids], size - 1, self.slots)
-        marked = (self.bitmap[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1
-        n = max(len(ids) - size + 1, 0)
-        wanted = (marked[:n] & marked[1 : n + 1]).astype(bool)
-        for i in range(size):
-            wanted &= ids[i : i + n] != 0
-        at = np.flatnonzero(wanted)
-        prefix = ids[at]
-        for i in range(1, size - 1):
-            prefix = (prefix << _ID_BITS) | ids[at + i]
-        stripes = self.stripes.setdefault(lang, {})
-        for p, w in zip(prefix.tolist(), ids[at + size - 1].tolist()):
-            stripe = stripes.get(p)
-            if stripe is None:
-                stripes[p] = {w: 1}
-                self.entries += 1
-            elif w in stripe:
-                stripe[w] += 1
-            else:
-                stripe[w] = 1
-                self.entries += 1
+    def add(self, lang: str, words: list[bytes]) -> None:
+        """Count the marked phrases that start in the first CHUNK words."""
+        names = self.names.setdefault(lang, _Names(lang, self.words, self.hashes))
+        ids = np.fromiter(map(names.__getitem__, words), np.int64, len(words))
+        hashes = np.frombuffer(self.hashes, np.uint64)[ids]
+        for size, bitmap in self.bitmaps.items():
+            wanted = _marked(_phrases(hashes, size), bitmap, self.slots) & _unbroken(ids, size)
+            at = np.flatnonzero(wanted[:CHUNK])
+            prefix = ids[at]
+            for i in range(1, size - 1):
+                prefix = (prefix << _ID_BITS) | ids[at + i]
+            stripes = self.stripes.setdefault((lang, size), {})
+            for p, w in zip(prefix.tolist(), ids[at + size - 1].tolist()):
+                stripe = stripes.get(p)
+                if stripe is None:
+                    stripes[p] = {w: 1}
+                    self.entries += 1
+                elif w in stripe:
+                    stripe[w] += 1
+                else:
+                    stripe[w] = 1
+                    self.entries += 1
 
     def rows(self) -> pa.RecordBatch:
-        langs, prefixes, ends, nexts, counts = [], [], [0], [], []
+        langs, sizes, prefixes, ends, nexts, counts = [], [], [], [0], [], []
         low = (1 << _ID_BITS) - 1
-        for lang, stripes in self.stripes.items():
+        for (lang, size), stripes in self.stripes.items():
             for p, stripe in stripes.items():
                 langs.append(lang)
-                prefixes.append(b" ".join([self.words[(p >> shift) & low] for shift in range((self.size - 2) * _ID_BITS, -1, -_ID_BITS)]).decode())
+                sizes.append(size)
+                prefixes.append(b" ".join([self.words[(p >> shift) & low] for shift in range((size - 2) * _ID_BITS, -1, -_ID_BITS)]).decode())
                 nexts += [self.words[w].decode() for w in stripe]
                 counts += stripe.values()
                 ends.append(len(nexts))
         stripe = pa.MapArray.from_arrays(pa.array(ends, pa.int32()), pa.array(nexts, pa.string()), pa.array(counts, pa.int64()))
-        return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(prefixes, pa.string()), stripe], ["lang", "prefix", "stripe"])
+        columns = [pa.array(langs, pa.string()), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.string()), stripe]
+        return pa.RecordBatch.from_arrays(columns, ["lang", "size", "prefix", "stripe"])
 
 
-def count_stripes(texts: DataFrame, size: int, bitmap: np.ndarray, least: int, slots: int = SLOTS) -> DataFrame:
-    """Rows (lang, prefix, next, f) of the phrases of ``size`` words that occur ``least`` times."""
-    shared = texts.sparkSession.sparkContext.broadcast(bitmap)
+def count_stripes(texts: DataFrame, bitmaps: dict[int, np.ndarray], least: int, slots: int = SLOTS) -> DataFrame:
+    """Rows (lang, size, prefix, next, f) of the phrases that occur ``least`` times; bitmaps by their size."""
+    shared = texts.sparkSession.sparkContext.broadcast(bitmaps)
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stripes = _Stripes(size, shared.value, slots)
-        waiting: dict[str, list[bytes]] = {}
-        for batch in batches:
-            for lang, text in zip(values(batch.column(0)), values(batch.column(1))):
-                words = waiting.setdefault(lang, [])
-                words += words_of(text)
-                words.append(MARK)
-                if len(words) > CHUNK:
-                    yield from _count(stripes, lang, waiting.pop(lang))
-        for lang, words in waiting.items():
-            yield from _count(stripes, lang, words)
+        stripes = _Stripes(shared.value, slots)
+        for lang, words in _stretches(batches, max(shared.value)):
+            stripes.add(lang, words)
+            if stripes.full():
+                yield stripes.rows()
+                stripes.clear()
         yield stripes.rows()
 
-    found = texts.mapInArrow(of_batches, "lang string, prefix string, stripe map<string, long>")
-    entries = found.select("lang", "prefix", F.explode("stripe").alias("next", "f"))
-    return entries.groupBy("lang", "prefix", "next").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
-
-
-def _count(stripes: _Stripes, lang: str, words: list[bytes]) -> Iterator[pa.RecordBatch]:
-    """Add words, a bounded stretch at a time; stretches overlap so that no phrase is lost."""
-    for start in range(0, len(words), CHUNK):
-        part = words[start : start + CHUNK + stripes.size - 1]
-        names = stripes.names.setdefault(lang, _Names(lang, stripes.words, stripes.hashes))
-        stripes.add(lang, np.fromiter(map(names.__getitem__, part), np.int64, len(part)))
-        if stripes.full():
-            yield stripes.rows()
-            stripes.clear()
+    found = texts.mapInArrow(of_batches, "lang string, size int, prefix string, stripe map<string, long>")
+    entries = found.select("lang", "size", "prefix", F.explode("stripe").alias("next", "f"))
+    return entries.groupBy("lang", "size", "prefix", "next").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
 
 
 def collocations(
@@ -223,32 +286,28 @@ def collocations(
     """
     texts = _texts(docs, text_column, lang_column, no_lang)
     words = settle(count_words(texts).where((F.col("f") >= least) | F.col("word").isNull()), "collocation-words")
-    known = words.where("word IS NOT NULL").select("lang", F.col("word").alias("phrase"), "f")
-    level, levels = known, []
+    known = words.where("word IS NOT NULL")
+    bitmaps, marks = {}, mark(hash_words(known), slots)
     for size in range(2, longest + 1):
-        stripes = settle(count_stripes(texts, size, mark_phrases(level, slots), least, slots), f"collocation-{size}")
-        level = stripes.select("lang", F.concat_ws(" ", "prefix", "next").alias("phrase"), "f")
-        known, levels = known.unionByName(level), [*levels, (size, stripes, level)]
-    scored = _scored(levels, known)
-    scored = scored.join(_longer(levels), ["lang", "phrase"], "left").where(F.coalesce(100 * F.col("longer") < subsumed_percent * F.col("a"), F.lit(True)))
+        bitmaps[size] = marks = mark(settle(hash_phrases(texts, size, marks, least, slots), f"collocation-hashes-{size}"), slots)
+    stripes = settle(count_stripes(texts, bitmaps, least, slots), "collocation-stripes")
+    scored = _scored(stripes, known).join(_longer(stripes), ["lang", "phrase"], "left")
+    scored = scored.where(F.coalesce(100 * F.col("longer") < subsumed_percent * F.col("a"), F.lit(True)))
     totals = words.where("word IS NULL").select("lang", F.col("f").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     first = scored.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
     return first.join(hinted(totals), "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
-def _scored(levels: list, known: DataFrame) -> DataFrame:
+def _scored(stripes: DataFrame, words: DataFrame) -> DataFrame:
     """Rows (lang, phrase, a, l, r, score): the lowest-scoring cut of each candidate."""
-    cuts = [
-        level.select("lang", "phrase", F.col("f").alias("a"), F.split("phrase", " ").alias("w"), F.explode(F.sequence(F.lit(1), F.lit(size - 1))).alias("k"))
-        for size, _, level in levels
-    ]
-    rows = cuts[0]
-    for more in cuts[1:]:
-        rows = rows.unionByName(more)
-    part = lambda start, count: F.array_join(F.slice("w", start, count), " ")
-    rows = rows.select("lang", "phrase", "a", "k", part(1, F.col("k")).alias("first"), part(F.col("k") + 1, F.size("w") - F.col("k")).alias("rest"))
-    counts = hinted(settle(known, "collocation-counts"))
+    phrase = F.concat_ws(" ", "prefix", "next")
+    counts = words.select("lang", F.col("word").alias("phrase"), "f").unionByName(stripes.select("lang", phrase.alias("phrase"), "f"))
+    counts = hinted(settle(counts, "collocation-counts"))
+    rows = stripes.select("lang", phrase.alias("phrase"), F.col("f").alias("a"), F.split(phrase, " ").alias("w"), F.explode(F.sequence(F.lit(1), F.col("size") - 1)).alias("k"))
+    first = F.array_join(F.slice("w", F.lit(1), F.col("k")), " ")
+    rest = F.array_join(F.slice("w", F.col("k") + 1, F.size("w") - F.col("k")), " ")
+    rows = rows.select("lang", "phrase", "a", "k", first.alias("first"), rest.alias("rest"))
     rows = rows.join(counts.select("lang", F.col("phrase").alias("first"), F.col("f").alias("l")), ["lang", "first"])
     rows = rows.join(counts.select("lang", F.col("phrase").alias("rest"), F.col("f").alias("r")), ["lang", "rest"])
     score = F.expr("(CAST(2000000 AS DECIMAL(38, 0)) * a) DIV (l + r)").cast("long")
@@ -256,19 +315,11 @@ def _scored(levels: list, known: DataFrame) -> DataFrame:
     return best.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
 
 
-def _longer(levels: list) -> DataFrame:
+def _longer(stripes: DataFrame) -> DataFrame:
     """Rows (lang, phrase, longer): the most occurrences of a phrase with one word more at either end.
 
     A longer phrase that holds the candidate has no more occurrences than one of these.
     """
-    inner: list[tuple[Column, DataFrame]] = []
-    for size, stripes, _ in levels[1:]:
-        inner.append((F.col("prefix"), stripes))
-        inner.append((F.concat_ws(" ", F.substring_index("prefix", " ", 2 - size), "next"), stripes))
-    if not inner:
-        return levels[0][2].select("lang", "phrase", F.col("f").alias("longer")).where("false")
-    rows = None
-    for phrase, stripes in inner:
-        more = stripes.select("lang", phrase.alias("phrase"), "f")
-        rows = more if rows is None else rows.unionByName(more)
-    return rows.groupBy("lang", "phrase").agg(F.max("f").alias("longer"))
+    tail = F.concat_ws(" ", F.expr("substring(prefix, instr(prefix, ' ') + 1)"), "next")
+    held = stripes.where("size > 2").select("lang", F.explode(F.array("prefix", tail)).alias("phrase"), "f")
+    return held.groupBy("lang", "phrase").agg(F.max("f").alias("longer"))

@@ -61,28 +61,35 @@ def test_small_stretches_and_flushes_lose_nothing(spark, monkeypatch):
     rows = [*mixed(2, 150)]
     monkeypatch.setattr(collocations, "CHUNK", 7)
     monkeypatch.setattr(collocations, "ENTRIES", 40)
-    stripes = collocations._Stripes(3, np.full(1 << 16, 255, np.uint8), 1 << 16)
+    everywhere = np.full(1 << 16, 255, np.uint8)
+    stripes = collocations._Stripes({2: everywhere, 3: everywhere}, 1 << 16)
     total, size = Counter(), 0
+
+    def add(batch):
+        for r in batch.to_pylist():
+            assert r["prefix"].count(" ") == r["size"] - 2
+            total.update({(r["lang"], f"{r['prefix']} {w}"): n for w, n in r["stripe"]})
+
     for lang, text in rows:
-        for batch in collocations._count(stripes, lang or "und", [*collocations.words_of(text.encode()), collocations.MARK]):
-            size += 1
-            for r in batch.to_pylist():
-                total.update({(r["lang"], f"{r['prefix']} {w}"): n for w, n in r["stripe"]})
-    for r in stripes.rows().to_pylist():
-        total.update({(r["lang"], f"{r['prefix']} {w}"): n for w, n in r["stripe"]})
+        for part in collocations._cut(lang or "und", [*collocations.words_of(text.encode()), collocations.MARK], 3):
+            stripes.add(*part)
+            if stripes.full():
+                size += 1
+                add(stripes.rows())
+                stripes.clear()
+    add(stripes.rows())
     wanted = Counter()
     for lang, text in rows:
         for piece in b" ".join(collocations.words_of(text.encode())).split(b"\xff"):
-            words = piece.decode().split(" ")
-            words = [w for w in words if w]
-            wanted.update((lang or "und", " ".join(words[i : i + 3])) for i in range(len(words) - 2))
+            words = [w for w in piece.decode().split(" ") if w]
+            wanted.update((lang or "und", " ".join(words[i : i + k])) for k in (2, 3) for i in range(len(words) - k + 1))
     assert total == wanted and size > 1
 
 
 def test_counts_beyond_64_bits(spark):
-    level = spark.createDataFrame([("en", "a b", 9_000_000_000_000)], "lang string, phrase string, f long")
-    known = level.unionByName(spark.createDataFrame([("en", "a", 9_000_000_000_001), ("en", "b", 9_000_000_000_000)], level.schema))
-    assert collocations._scored([(2, None, level)], known).first()["score"] == 999_999
+    stripes = spark.createDataFrame([("en", 2, "a", "b", 9_000_000_000_000)], "lang string, size int, prefix string, next string, f long")
+    words = spark.createDataFrame([("en", "a", 9_000_000_000_001), ("en", "b", 9_000_000_000_000)], "lang string, word string, f long")
+    assert collocations._scored(stripes, words).first()["score"] == 999_999
 
 
 def test_hostile_table(spark):
