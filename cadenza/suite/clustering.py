@@ -16,6 +16,7 @@ from cadenza.functions.values import CENTROID_BANDS, band
 from cadenza.operators import feeds, profiles
 from cadenza.operators.scoring import collect_centroids, nearest_centroid, nearest_to_array, score_songs
 from cadenza.plans import clustering as job
+from cadenza.plans import measures
 from cadenza.plans.centroids import centroid_rows
 from cadenza.schemas import SONG_TO_CLASSIFY
 from cadenza.session import scratch_folder
@@ -283,3 +284,39 @@ def classified_songs(spark, sf_dir):
     _, centroids = _given_centroids(_songs(spark, sf_dir))
     scored = score_songs(classify_requests(spark, sf_dir), centroids)
     return scored.groupBy("song_id", "title", "artist", "cluster_id").agg(F.count("*").alias("n_copies"))
+
+
+MEASURED_KS = (3, 5, 7)
+_CENTRES_FOR = ", ".join(f"({k})" for k in MEASURED_KS)
+
+
+@query(
+    "kmeans_measures",
+    f"""WITH {_SONGS_SQL},
+    cents AS (SELECT line AS cluster_id, {', '.join(f'round(avg({f}), 9) AS {f}' for f in FEATURES)} FROM songs GROUP BY line),
+    a AS (SELECT k, s.song_id, {', '.join(f's.{f}' for f in FEATURES)}, c.cluster_id, {_DISTANCE} AS d2
+          FROM songs s, cents c, (VALUES {_CENTRES_FOR}) v(k) WHERE c.cluster_id <= k
+          QUALIFY row_number() OVER (PARTITION BY k, song_id ORDER BY round({_DISTANCE}, 9), c.cluster_id) = 1),
+    sums AS (SELECT k, cluster_id, count(*) AS n, {', '.join(f'sum({f}) AS s_{f}' for f in FEATURES)},
+                    sum({' + '.join(f'{f} * {f}' for f in FEATURES)}) AS q FROM a GROUP BY k, cluster_id),
+    gaps AS (SELECT a.k, a.song_id, a.cluster_id AS own, c.cluster_id, c.n,
+                    {' + '.join(f'a.{f} * a.{f}' for f in FEATURES)} + q / n - 2 * ({' + '.join(f'a.{f} * s_{f}' for f in FEATURES)}) / n AS gap
+             FROM a JOIN sums c ON a.k = c.k),
+    ab AS (SELECT k, song_id, max(CASE WHEN own = cluster_id AND n > 1 THEN gap * n / (n - 1) END) AS x,
+                  min(CASE WHEN own <> cluster_id THEN gap END) AS y FROM gaps GROUP BY k, song_id),
+    sil AS (SELECT k, avg(coalesce((y - x) / nullif(greatest(x, y), 0), 0)) AS silhouette FROM ab GROUP BY k),
+    costs AS (SELECT k, count(*) AS n_rows, count(DISTINCT cluster_id) AS clusters_found, sum(d2) AS cost FROM a GROUP BY k)
+    SELECT k::BIGINT AS k, n_rows, clusters_found, round(silhouette, 6) AS silhouette, round(cost, 3) AS cost,
+           row_number() OVER (ORDER BY silhouette DESC, cost, k) AS place FROM costs JOIN sil USING (k)""",
+)
+def kmeans_measures(spark, sf_dir):
+    """Silhouette and cost from assignments and centres for every K, ranked."""
+    songs = _songs(spark, sf_dir)
+    _, centres = _given_centroids(songs)
+    found = None
+    for k in MEASURED_KS:
+        chosen = [c for c in centres if c.cluster_id <= k]
+        row = measures.measures(_assign(songs, chosen), FEATURES, chosen, k)
+        found = row if found is None else found.unionByName(row)
+    placed = measures.ranked(_kept(found, "measures"))
+    return placed.withColumns({"silhouette": F.round("silhouette", 6), "cost": F.round("cost", 3)})

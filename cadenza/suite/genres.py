@@ -47,21 +47,21 @@ def genre_mood_gap(spark, sf_dir):
     "genre_hopping",
     f"""WITH {PLAYS_SQL}, {expanded_sql('1 day', '1 day', 1, 'plays')}
     SELECT window_start, window_end, user_id, count(DISTINCT main_genre) AS n_genres, 'genre_hopping' AS anomaly_type
-    FROM e GROUP BY ALL HAVING count(DISTINCT main_genre) > 3""",
+    FROM e GROUP BY ALL HAVING count(DISTINCT main_genre) > 1""",
 )
 def genre_hopping(spark, sf_dir):
-    """Users on more than 3 genres in a day."""
-    return naive(genres.genre_hopping(plays(spark, sf_dir), window=ONE_DAY_TUMBLING, more_than=3))
+    """Users on more than one genre in a day."""
+    return naive(genres.genre_hopping(plays(spark, sf_dir), window=ONE_DAY_TUMBLING, more_than=1))
 
 
 @query(
     "trending_genres",
     f"""WITH {PLAYS_SQL}, {expanded_sql('6 hours', '1 hour', 6, 'plays')}
-    SELECT window_start, window_end, main_genre, count(*) AS play_count FROM e GROUP BY ALL HAVING count(*) > 10""",
+    SELECT window_start, window_end, main_genre, count(*) AS play_count FROM e GROUP BY ALL HAVING count(*) > 6""",
 )
 def trending_genres(spark, sf_dir):
     """Trending per genre."""
-    return naive(windows.trending(plays(spark, sf_dir), ["main_genre"], SIX_HOURS))
+    return naive(windows.trending(plays(spark, sf_dir), ["main_genre"], SIX_HOURS, more_than=6))
 
 
 @query(

@@ -64,7 +64,7 @@ def stream_global_mood(spark, sf_dir):
 @query("stream_trending", batch.TRENDING_SONGS_SQL)
 def stream_trending(spark, sf_dir):
     """A3/B5 as a stream, keyed by window and song."""
-    trends = windows.trending(_play_stream(spark, sf_dir), window=batch.ONE_DAY, more_than=5)
+    trends = windows.trending(_play_stream(spark, sf_dir), window=batch.ONE_DAY, more_than=2)
     return _drain(spark, trends, "trending", ("window_start", "song_id"))
 
 

@@ -113,13 +113,13 @@ def trending(spark, sf_dir):
 
 TRENDING_SONGS_SQL = f"""WITH {PLAYS_SQL}, {expanded_sql('1 day', '6 hours', 4, 'plays')}
     SELECT window_start, window_end, song_id, title, artist, count(*) AS play_count
-    FROM e GROUP BY ALL HAVING count(*) > 5"""
+    FROM e GROUP BY ALL HAVING count(*) > 2"""
 
 
 @query("trending_songs", TRENDING_SONGS_SQL)
 def trending_songs(spark, sf_dir):
-    """A3: 1 day / 6 h plays per song with title and artist, above 5."""
-    return naive(windows.trending(plays(spark, sf_dir), window=ONE_DAY, more_than=5))
+    """A3: 1 day / 6 h plays per song with title and artist, above 2."""
+    return naive(windows.trending(plays(spark, sf_dir), window=ONE_DAY, more_than=2))
 
 
 BOT_SQL = f"""WITH {expanded_sql('1 day', '6 hours', 4, "(SELECT * FROM events WHERE event_type = 'view')")}
