@@ -12,8 +12,10 @@ half is the same. Only lines that share a half with another line go on.
 
 Larger bounds: k edits leave a run of (n - k) / (k + 1) words untouched. Of the word runs in
 every stretch of that length a line emits the one with the least hash, so that near-equal
-lines share one at nearly the same place. Lines that meet there within the bounds of length,
-place and word parity (an edit flips two bits at most) are verified by their edit distance.
+lines share one at nearly the same place; long ones share many, so that the most frequent runs of
+a line, like those of a passage that many lines hold, need not be its keys. Lines that meet
+within the bounds of length, place and word parity (an edit flips two bits at most) are verified
+by their edit distance.
 """
 
 from __future__ import annotations
@@ -35,6 +37,8 @@ LEAST_WORDS = 5
 WORDS_PER_EDIT = 20
 #: Words of a run that is a key, if the untouched runs are long enough.
 RUN_WORDS = 5
+#: Rows of one key that the first round holds at once.
+PIECE = 200_000
 #: Bytes of a run's key, and the neighbours that the first round compares a line with.
 KEY_BYTES, NEIGHBOURS = 5, 32
 
@@ -56,6 +60,19 @@ def run_layout(words_per_edit: int) -> tuple[int, int]:
     return size, stretch - size + 1
 
 
+def least_shared(n: np.ndarray, words_per_edit: int) -> np.ndarray:
+    """Chosen runs, repeats included, that a long line shares with any near-equal one at least.
+
+    An edit touches as many stretches as a stretch has words, and a run is the least of as many
+    stretches as a stretch has runs. The bound is taken at the shortest partner the line can have.
+    """
+    size, window = run_layout(words_per_edit)
+    stretch = size + window - 1
+    shortest = n - n // words_per_edit
+    untouched = shortest - stretch * shortest / words_per_edit - (stretch - 1)
+    return np.maximum(1, np.ceil(untouched / window - 1e-9)).astype(np.int64)
+
+
 def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words))
 
@@ -280,10 +297,13 @@ def run_rows(lines: DataFrame, words_per_edit: int) -> DataFrame:
 RUN_SCHEMA = "key long, n int, off int, s1 long, s2 long, doc long, pos int, open boolean"
 
 
-def _whole_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-    """The columns of a stream sorted by key, in pieces that end between keys."""
+def _whole_keys(batches: Iterator[pa.RecordBatch], most: int | None = None) -> Iterator[list[np.ndarray]]:
+    """The columns of a stream sorted by key, in pieces that end between keys or, beyond ``most`` rows, inside one."""
     kept: list[list[np.ndarray]] = []
     for batch in batches:
+        if most is not None and sum(len(c[0]) for c in kept) >= most:
+            yield [np.concatenate(c) for c in zip(*kept)]
+            kept = []
         new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
         if not batch.num_rows:
             continue
@@ -308,7 +328,7 @@ def _met(words_per_edit: int, every: bool):
     """
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, n, off, s1, s2, doc, pos, is_open in _whole_keys(batches):
+        for key, n, off, s1, s2, doc, pos, is_open in _whole_keys(batches, None if every else PIECE):
             bound = np.maximum(1, n // words_per_edit)
             s1, s2 = s1.view(np.uint64), s2.view(np.uint64)  # of a signed number, the bits of its absolute value would count
             best, partner = np.full(len(key), 256), np.zeros(len(key), dtype=np.int64)
@@ -344,9 +364,47 @@ def _pairs_of(doc: np.ndarray, pos: np.ndarray, later: np.ndarray, earlier: np.n
     return pa.RecordBatch.from_arrays([pa.array(c) for c in (doc[later], pos[later], doc[earlier], pos[earlier])], ["doc", "pos", "d2", "p2"])
 
 
+def rarest_runs(rows: DataFrame, words_per_edit: int) -> DataFrame:
+    """Of each line's runs the rarest, of which two near-equal lines share one.
+
+    Lines that share t of their runs share one of all but t - 1 if both leave out the last in one
+    order of all runs. With the frequent last, a passage that stands in many unrelated lines is no
+    key of a line that must share more than the passage. A repeated run counts as often as it stands;
+    in order of place the first of it that two lines share is the same in both.
+    """
+    counts = rows.groupBy("key").agg(F.count("*").alias("lines"))
+    dealt = rows.join(counts, "key").repartition("doc", "pos").sortWithinPartitions("doc", "pos", "lines", "key", "off")
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for line in _lines(batches):
+            keep = len(line[0]) - least_shared(line[1][:1].astype(np.int64), words_per_edit)[0] + 1
+            if keep > 0:
+                yield pa.RecordBatch.from_arrays([pa.array(c[:keep]) for c in line], ["key", "n", "off", "s1", "s2", "doc", "pos", "open"])
+
+    return dealt.select("key", "n", "off", "s1", "s2", "doc", "pos", "open").mapInArrow(first, RUN_SCHEMA)
+
+
+def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """The columns of a stream sorted by (doc, pos), line by line."""
+    held: list[np.ndarray] | None = None
+    for batch in batches:
+        new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        held = new if held is None else [np.concatenate(c) for c in zip(held, new)]
+        ends = np.flatnonzero((held[5][1:] != held[5][:-1]) | (held[6][1:] != held[6][:-1])) + 1
+        start = 0
+        for end in ends.tolist():
+            yield [c[start:end] for c in held]
+            start = end
+        held = [c[start:] for c in held]
+    if held is not None and len(held[0]):
+        yield held
+
+
 def run_pairs(lines: DataFrame, words_per_edit: int, every: bool) -> DataFrame:
-    dealt = run_rows(lines, words_per_edit).repartition("key").sortWithinPartitions("key", "n", "doc", "pos")
-    return dealt.mapInArrow(_met(words_per_edit, every), "doc long, pos int, d2 long, p2 int").distinct()
+    rows, order = run_rows(lines, words_per_edit), ("key", "n", "doc", "pos")
+    # The first round only looks at neighbours, so a key of many rows may be cut anywhere.
+    dealt = rarest_runs(settle(rows, "line-runs"), words_per_edit).repartition("key") if every else rows.repartitionByRange(*order)
+    return dealt.sortWithinPartitions(*order).mapInArrow(_met(words_per_edit, every), "doc long, pos int, d2 long, p2 int").distinct()
 
 
 def within(x: list[str], y: list[str], most: int) -> bool:

@@ -153,3 +153,35 @@ def test_hot_long_template(spark):
         texts.append(" ".join(words))
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
     assert ld.dedup_lines(docs).where("n_dropped = 0").count() == 1
+
+
+def test_common_passage_in_unrelated_lines(spark):
+    """Unrelated long lines that hold one passage do not meet under it; every step stays linear."""
+    passage = cases.prose(2, 60)
+    rows = [(i, f"{cases.prose(10 + i, 470, 5000)} {passage} {cases.prose(9000 + i, 470, 5000)}") for i in range(400)]
+    near = rows[7][1].split()
+    for at in (3, 200, 500, 720, 990):
+        near[at] = "changed"
+    rows.append((400, " ".join(near)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    lines = docs.selectExpr("doc_id AS doc", "0 AS pos", "text AS line", "true AS open")
+    assert ld.run_pairs(lines, 20, every=False).count() <= 10 * len(rows)  # one for each run of the passage
+    assert [tuple(r) for r in ld.run_pairs(lines, 20, every=True).collect()] == [(400, 0, 7, 0)]
+    kept = {r["doc_id"]: r["n_dropped"] for r in ld.dedup_lines(docs).collect()}
+    assert kept == {i: int(i == 400) for i in range(401)}
+
+
+def test_very_long_lines_equal_all_pairs(spark):
+    """Beyond the words at which the parities tell nothing; with periodic and repetitive lines."""
+    rng = random.Random(12)
+    pool = [cases.prose(i, n, 300).split() for i, n in enumerate((400, 700, 1300))]
+    pool += [["a", "b", "c", "d"] * 120, [rng.choice("ab") for _ in range(500)]]
+    rows = []
+    for i in range(40):
+        words = rng.choice(pool)
+        rows.append((i, " ".join(edited_often(rng, words, rng.choice([0, 1, len(words) // 20 - 1, len(words) // 20, len(words) // 10])))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {r["doc_id"]: r["n_dropped"] for r in ld.dedup_lines(docs).collect()}
+    for i, text in rows:
+        wanted = any(ld.within(*sorted((text.split(), other.split()), key=len), max(1, min(len(text.split()), len(other.split())) // 20)) for _, other in rows[:i])
+        assert found[i] == int(wanted), i
