@@ -273,7 +273,10 @@ def _pair_batch(pairs: list[tuple]) -> pa.RecordBatch:
 
 
 def run_rows(lines: DataFrame, words_per_edit: int) -> DataFrame:
-    """Rows (key, n, off, s1, s2, doc, pos, open): the chosen runs of each long line, and its word parities."""
+    """Rows (key, n, off, s1, s2, doc, pos, open, times): the chosen runs of each long line, and its word parities.
+
+    A run that stands in several places of a line is one row, with -1 for its place.
+    """
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -284,17 +287,27 @@ def run_rows(lines: DataFrame, words_per_edit: int) -> DataFrame:
                 if not len(at):
                     continue
                 words = [word_hashes(split[i]) for i in at]
-                line, off, key = chosen_runs(words, words_per_edit)
+                line, off, key, times = _once(*chosen_runs(words, words_per_edit))
                 sides = np.array([parities(w) for w in words], dtype=np.int64)
                 n = np.array([len(w) for w in words], dtype=np.int32)
                 doc, pos, is_open = (piece.column(i).to_numpy(zero_copy_only=False)[at][line] for i in (0, 1, 3))
-                columns = (key.astype(np.int64), n[line], off.astype(np.int32), sides[line, 0], sides[line, 1], doc, pos, is_open)
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "n", "off", "s1", "s2", "doc", "pos", "open"])
+                columns = (key.astype(np.int64), n[line], off.astype(np.int32), sides[line, 0], sides[line, 1], doc, pos, is_open, times)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], RUN_COLUMNS)
 
     return lines.select("doc", "pos", "line", "open").mapInArrow(of_batches, RUN_SCHEMA)
 
 
-RUN_SCHEMA = "key long, n int, off int, s1 long, s2 long, doc long, pos int, open boolean"
+RUN_SCHEMA = "key long, n int, off int, s1 long, s2 long, doc long, pos int, open boolean, times int"
+RUN_COLUMNS = [c.split()[0] for c in RUN_SCHEMA.split(", ")]
+
+
+def _once(line: np.ndarray, off: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Each run of a line once, with the times it stands there; its place is -1 if there are several."""
+    order = np.lexsort((key, line))
+    line, off, key = line[order], off[order], key[order]
+    first = np.flatnonzero(np.concatenate(([True], (line[1:] != line[:-1]) | (key[1:] != key[:-1]))))
+    times = np.diff(np.concatenate((first, [len(key)])))
+    return line[first], np.where(times > 1, -1, off[first]), key[first], times.astype(np.int32)
 
 
 def _whole_keys(batches: Iterator[pa.RecordBatch], most: int | None = None) -> Iterator[list[np.ndarray]]:
@@ -328,7 +341,7 @@ def _met(words_per_edit: int, every: bool):
     """
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, n, off, s1, s2, doc, pos, is_open in _whole_keys(batches, None if every else PIECE):
+        for key, n, off, s1, s2, doc, pos, is_open, _ in _whole_keys(batches, None if every else PIECE):
             bound = np.maximum(1, n // words_per_edit)
             s1, s2 = s1.view(np.uint64), s2.view(np.uint64)  # of a signed number, the bits of its absolute value would count
             best, partner = np.full(len(key), 256), np.zeros(len(key), dtype=np.int64)
@@ -336,7 +349,7 @@ def _met(words_per_edit: int, every: bool):
             while (every or lag <= NEIGHBOURS) and len(rows := rows[rows < len(key) - lag]):
                 rows = rows[(key[rows] == key[rows + lag]) & (n[rows + lag] - n[rows] <= bound[rows])]
                 a, b = rows, rows + lag
-                near = np.abs(off[a] - off[b]) <= bound[a]
+                near = (np.abs(off[a] - off[b]) <= bound[a]) | (off[a] < 0) | (off[b] < 0)
                 a, b = a[near], b[near]
                 flips = np.bitwise_count(s1[a] ^ s1[b]).astype(np.int64) + np.bitwise_count(s2[a] ^ s2[b])
                 near = (flips <= 2 * bound[a]) & ((doc[a] != doc[b]) | (pos[a] != pos[b]))
@@ -369,19 +382,18 @@ def rarest_runs(rows: DataFrame, words_per_edit: int) -> DataFrame:
 
     Lines that share t of their runs share one of all but t - 1 if both leave out the last in one
     order of all runs. With the frequent last, a passage that stands in many unrelated lines is no
-    key of a line that must share more than the passage. A repeated run counts as often as it stands;
-    in order of place the first of it that two lines share is the same in both.
+    key of a line that must share more than the passage. A repeated run counts as often as it stands.
     """
     counts = rows.groupBy("key").agg(F.count("*").alias("lines"))
-    dealt = rows.join(counts, "key").repartition("doc", "pos").sortWithinPartitions("doc", "pos", "lines", "key", "off")
+    dealt = rows.join(counts, "key").repartition("doc", "pos").sortWithinPartitions("doc", "pos", "lines", "key")
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for line in _lines(batches):
-            keep = len(line[0]) - least_shared(line[1][:1].astype(np.int64), words_per_edit)[0] + 1
-            if keep > 0:
-                yield pa.RecordBatch.from_arrays([pa.array(c[:keep]) for c in line], ["key", "n", "off", "s1", "s2", "doc", "pos", "open"])
+            before = np.cumsum(line[8]) - line[8]
+            kept = before <= line[8].sum() - least_shared(line[1][:1].astype(np.int64), words_per_edit)[0]
+            yield pa.RecordBatch.from_arrays([pa.array(c[kept]) for c in line], RUN_COLUMNS)
 
-    return dealt.select("key", "n", "off", "s1", "s2", "doc", "pos", "open").mapInArrow(first, RUN_SCHEMA)
+    return dealt.select(*RUN_COLUMNS).mapInArrow(first, RUN_SCHEMA)
 
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:

@@ -185,3 +185,13 @@ def test_very_long_lines_equal_all_pairs(spark):
     for i, text in rows:
         wanted = any(ld.within(*sorted((text.split(), other.split()), key=len), max(1, min(len(text.split()), len(other.split())) // 20)) for _, other in rows[:i])
         assert found[i] == int(wanted), i
+
+
+def test_repeated_word_in_unrelated_lines(spark):
+    """Lines full of one word meet under its run once for each pair of lines, not of places."""
+    rows = [(i, f"{'so ' * 300}{cases.prose(i, 150 + i, 5000)}") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lines = docs.selectExpr("doc_id AS doc", "0 AS pos", "text AS line", "true AS open")
+    keys = ld.run_rows(lines, 20).groupBy("doc", "key").count()
+    assert keys.where("count > 1").count() == 0
+    assert ld.dedup_lines(docs).where("n_dropped > 0").count() == 0
