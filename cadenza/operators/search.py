@@ -43,11 +43,13 @@ class FieldIndex:
     vocabulary: DataFrame
     stats: DataFrame
     analyzer: Analyzer
+    # Rows (key, term, df) of ``deletion_keys``, if they are written.
+    deletions: DataFrame | None = None
 
     @staticmethod
     def read(spark: SparkSession, path: str, analyzer: Analyzer) -> FieldIndex:
-        parts = [spark.read.parquet(f"{path}/{name}") for name in ("occurrences", "vocabulary", "stats")]
-        return FieldIndex(*parts, analyzer)
+        parts = [spark.read.parquet(f"{path}/{name}") for name in ("occurrences", "vocabulary", "stats", "deletions")]
+        return FieldIndex(*parts[:3], analyzer, parts[3])
 
 
 def analysed_documents(documents: DataFrame, doc_id: str, text: str, analyzer: Analyzer) -> DataFrame:
@@ -98,6 +100,8 @@ def write_index(documents: DataFrame, doc_id: str, text: str, analyzer: Analyzer
     terms = index.vocabulary.repartitionByRange("term").sortWithinPartitions("term")
     terms.write.parquet(f"{path}/vocabulary")
     index.stats.write.parquet(f"{path}/stats")
+    keys = deletion_keys(spark.read.parquet(f"{path}/vocabulary")).repartitionByRange("key").sortWithinPartitions("key")
+    keys.write.parquet(f"{path}/deletions")
     return FieldIndex.read(spark, path, analyzer)
 
 
@@ -141,36 +145,50 @@ def auto_edits(term: str) -> int:
     return 0 if len(term) < 3 else 1 if len(term) <= 5 else 2
 
 
+def deletion_keys(vocabulary: DataFrame) -> DataFrame:
+    """Rows (key, term, df): each half of a term, whole and without one letter, with the term's length.
+
+    Of two words within two edits one half is within one edit, and words within one edit share
+    what is left of them without at most one letter. So a term has about as many keys as letters.
+    """
+    half = F.floor(F.length("term") / 2).cast("int")
+    size = F.length("term").cast("string")
+    halves = {"<": F.substr(F.col("term"), F.lit(1), half), ">": F.substr(F.col("term"), half + 1)}
+    named = [F.transform(F.concat(F.array(part), _without_one(part)), lambda v, s=side: F.concat(size, F.lit(s), v)) for side, part in halves.items()]
+    return vocabulary.select(F.explode(F.array_distinct(F.concat(*named))).alias("key"), "term", "df")
+
+
+def _without_one(word: Column) -> Column:
+    places = F.filter(F.sequence(F.lit(0), F.length(word)), lambda i: i > 0)
+    return F.transform(places, lambda i: F.concat(F.substr(word, F.lit(1), i - 1), F.substr(word, i + 1)))
+
+
+def _query_keys(term: str, edits: int) -> set[str]:
+    """The keys under which a word within ``edits`` of the term stands."""
+    keys = set()
+    for size in range(max(1, len(term) - edits), len(term) + edits + 1):
+        for side, whole in (("<", size // 2), (">", size - size // 2)):
+            for n in range(max(0, whole - 1), min(len(term), whole + 1) + 1):
+                part = term[:n] if side == "<" else term[len(term) - n :]
+                keys |= {f"{size}{side}{v}" for v in (part, *(part[:i] + part[i + 1 :] for i in range(n)))}
+    return keys
+
+
 def fuzzy_expansions(index: FieldIndex, terms: Sequence[str]) -> DataFrame:
     """Q3: every vocabulary term within the edit distance of a query term.
 
-    One pass over the vocabulary against the literal query terms; no join.
+    An equality lookup: the keys of the query's own deletions, a few hundred at most for a word, are
+    a filter that the scan of the sorted key table can use. What is found is verified by distance.
     """
-    wanted = F.array(
-        *[
-            F.struct(F.lit(i).alias("query_pos"), F.lit(t).alias("query_term"), F.lit(auto_edits(t)).alias("k"))
-            for i, t in enumerate(terms)
-        ]
-    )
-    near = F.filter(
-        F.transform(
-            wanted,
-            lambda q: F.struct(
-                q["query_pos"].alias("query_pos"),
-                q["query_term"].alias("query_term"),
-                F.levenshtein(F.col("term"), q["query_term"]).alias("edits"),
-                q["k"].alias("k"),
-            ),
-        ),
-        lambda q: q["edits"] <= q["k"],
-    )
-    # A length check spares most of the vocabulary the edit-distance work.
-    lengths = sorted({n for t in terms for n in range(len(t) - auto_edits(t), len(t) + auto_edits(t) + 1)})
-    return (
-        index.vocabulary.filter(F.length("term").isin(*lengths))
-        .select("term", "df", F.explode(near).alias("q"))
-        .select("term", "df", "q.query_pos", "q.query_term", "q.edits")
-    )
+    deletions = index.deletions if index.deletions is not None else deletion_keys(index.vocabulary)
+    found = None
+    for i, q in enumerate(terms):
+        k = auto_edits(q)
+        edits = F.levenshtein(F.col("term"), F.lit(q), k)
+        near = deletions.filter(F.col("key").isin(sorted(_query_keys(q, k)))).select("term", "df").distinct()
+        near = near.select("term", "df", F.lit(i).alias("query_pos"), F.lit(q).alias("query_term"), edits.alias("edits")).filter("edits >= 0")
+        found = near if found is None else found.unionByName(near)
+    return found
 
 
 def _words_with(occurrences: DataFrame, weights: DataFrame) -> DataFrame:

@@ -11,6 +11,8 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cadenza.operators.latest import latest_per_key
 
@@ -31,6 +33,15 @@ class KeyedTable:
         """Every revision with its batch."""
         return spark.read.option("basePath", self.path).parquet(f"{self.path}/{BATCH}=*")
 
+    def before(self, spark: SparkSession, batch_id: int, schema: StructType, all_rows: bool = False) -> DataFrame:
+        """The last revision of each key, or every row, as batches before ``batch_id`` left them."""
+        # The first batch finds no folder yet.
+        if batch_id == 0:
+            return spark.createDataFrame([], schema)
+        rows = self.history(spark).filter(F.col(BATCH) < batch_id)
+        found = rows if all_rows else latest_per_key(rows, self.keys, [BATCH, *self.order])
+        return found.select(*schema.names)
+
     def current(self, spark: SparkSession) -> DataFrame:
         """The last revision of each key."""
         revisions = self.history(spark)

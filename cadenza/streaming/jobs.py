@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cadenza.functions.features import FEATURES
-from cadenza.functions.text import Analyzer
+from cadenza.functions.text import Analyzer, tokens
+from cadenza.operators.genres import mood_gap
 from cadenza.operators.latest import latest_per_key, newest_run
 from cadenza.operators.scoring import collect_centroids, score_songs, unscored_songs
-from cadenza.operators.search import analysed_documents, indexable, words_of
+from cadenza.operators.search import FieldIndex, analysed_documents, indexable, words_of
 from cadenza.sinks.upsert import BATCH, KeyedTable, Sink, fan_out, unique_by
 from cadenza.sources.messages import json_objects
 from cadenza.sources.snapshots import is_recorded, record_snapshot, snapshot_path
@@ -89,6 +90,89 @@ def live_occurrences(spark: SparkSession, documents: KeyedTable, occurrences: Ke
     return occurrences.history(spark).join(last, ["doc_id", BATCH], "left_semi").drop(BATCH)
 
 
+def index_changes(messages: DataFrame, checkpoint: str, documents: KeyedTable, occurrences: KeyedTable, changes: KeyedTable,
+                  totals: KeyedTable, text: str, analyzer: Analyzer, every: str | None = None, order: Sequence[str] = ()) -> StreamingQuery:
+    """K6: a searchable index kept up by signed changes.
+
+    Beside documents and words each batch writes how it changes the corpus: +1 for each document
+    with a term, -1 for each that held the term in the version it replaces, and the same for the
+    number of documents and words. Document frequencies and the average length are sums of
+    these, so no batch counts history again; only the replaced documents' last versions are read.
+    """
+
+    def index(rows: DataFrame, batch_id: int) -> None:
+        spark = rows.sparkSession
+        rows.persist()
+        try:
+            new = unique_by(["doc_id"], order)(indexable(rows)).persist()
+            old = documents.before(spark, batch_id, new.schema).join(new.select("doc_id"), "doc_id", "left_semi")
+            signed = new.select("doc_id", text, F.lit(1).alias("sign")).unionByName(old.select("doc_id", text, F.lit(-1).alias("sign")))
+            words = signed.select("doc_id", "sign", tokens(F.col(text), analyzer).alias("tokens"))
+            terms = words.select("sign", F.explode_outer(F.array_distinct(F.transform("tokens", lambda t: t["term"]))).alias("term"))
+            changed = terms.filter(F.col("term").isNotNull()).groupBy("term").agg(F.sum("sign").alias("df")).filter("df <> 0")
+            changes.write(changed, batch_id)
+            n = F.size("tokens")
+            total = words.filter(n > 0).agg(F.coalesce(F.sum("sign"), F.lit(0)).alias("n_docs"), F.coalesce(F.sum(F.col("sign") * n), F.lit(0)).alias("n_words"))
+            totals.write(total, batch_id)
+            occurrences.write(words_of(analysed_documents(new, "doc_id", text, analyzer)), batch_id)
+            documents.write(new, batch_id)
+            new.unpersist()
+        finally:
+            rows.unpersist()
+
+    return run(messages, checkpoint, index, "append", every)
+
+
+def live_index(spark: SparkSession, documents: KeyedTable, occurrences: KeyedTable, changes: KeyedTable, totals: KeyedTable,
+               analyzer: Analyzer) -> FieldIndex:
+    """The index that ``index_changes`` keeps up, ready for the search functions."""
+    vocabulary = changes.history(spark).groupBy("term").agg(F.sum("df").alias("df")).filter("df > 0")
+    summed = totals.history(spark).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_words").alias("n_words"))
+    stats = summed.select("n_docs", F.try_divide("n_words", "n_docs").alias("avg_len"))
+    return FieldIndex(live_occurrences(spark, documents, occurrences), vocabulary, stats, analyzer)
+
+
+def split_late(events: DataFrame, checkpoint: str, kept: KeyedTable, late: KeyedTable, delay: str, ts: str = "timestamp",
+               every: str | None = None) -> StreamingQuery:
+    """Rows behind the watermark go to a side table, as rows; all others to ``kept``.
+
+    The watermark of a batch is the greatest time of all batches before it less ``delay``, so it
+    follows from the data and not from the clock, and a batch that runs again splits the same way.
+    Rows without a time are kept. The first batch has no late rows.
+    """
+
+    def split(rows: DataFrame, batch_id: int) -> None:
+        spark = rows.sparkSession
+        before = [t.before(spark, batch_id, rows.schema, all_rows=True).agg(F.max(ts).alias("t")) for t in (kept, late)]
+        newest = before[0].unionByName(before[1]).agg(F.max("t")).first()[0]
+        bound = F.lit(newest).cast("timestamp") - F.expr(f"INTERVAL {delay}")
+        is_late = F.coalesce(F.col(ts) < bound, F.lit(False)) if newest is not None else F.lit(False)
+        rows.persist()
+        try:
+            late.write(rows.filter(is_late), batch_id)
+            kept.write(rows.filter(~is_late), batch_id)
+        finally:
+            rows.unpersist()
+
+    return run(events, checkpoint, split, "append", every)
+
+
+def follow_gap(live: DataFrame, checkpoint: str, table: KeyedTable, profile: Callable[[SparkSession], DataFrame],
+               every: str | None = None) -> StreamingQuery:
+    """Live mood windows against the genre profile that is newest when their batch runs.
+
+    ``profile`` returns all versions of the profile (genre, expected_mood, version). A window that
+    a later batch revises is compared again, with the profile of that batch.
+    """
+
+    def compare(rows: DataFrame, batch_id: int) -> None:
+        versions = profile(rows.sparkSession)
+        newest = versions.filter(F.col("version") == versions.agg(F.max("version")).scalar())
+        table.write(mood_gap(rows, newest).withColumn("version", F.lit(versions.agg(F.max("version")).first()[0])), batch_id)
+
+    return run(live, checkpoint, compare, "update", every)
+
+
 def snapshot_topic(messages: DataFrame, checkpoint: str, root: str, run_id: str) -> StreamingQuery:
     """New messages to an immutable snapshot, then its history entry.
 

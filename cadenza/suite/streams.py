@@ -12,13 +12,14 @@ from cadenza.functions.text import STANDARD
 from cadenza.operators import windows
 from cadenza.operators.lookup import lookup_join
 from cadenza.operators.profiles import profile_signals
+from cadenza.operators.search import match_scores
 from cadenza.schemas import PROFILE_SIGNAL
 from cadenza.session import scratch_folder
 from cadenza.sinks.tables import to_messages
 from cadenza.sinks.upsert import KeyedTable
 from cadenza.sources.messages import parse
 from cadenza.sources.snapshots import index_path, read_snapshots
-from cadenza.sources.tables import PLAY_TYPE, event_stream, songs, stream_path, table
+from cadenza.sources.tables import PLAY_TYPE, event_stream, listening, songs, stream_path, table
 from cadenza.streaming import jobs
 from cadenza.suite import clustering as given
 from cadenza.suite import search as texts
@@ -136,3 +137,116 @@ def stream_index(spark, sf_dir):
     live = jobs.live_occurrences(spark, documents, occurrences)
     freqs = live.groupBy("doc_id", "term").agg(F.count("*").alias("freq"))
     return freqs.withColumn("doc_id", F.col("doc_id").cast("bigint"))
+
+
+def _arrive(rows, path, start):
+    """Add rows to the folder of a stream and run the stream to its end: one batch, then a stop.
+
+    The next call starts it again from its checkpoint.
+    """
+    rows.write.mode("append").parquet(path)
+    start().awaitTermination()
+
+
+def _file_stream(spark, path, schema):
+    return spark.readStream.schema(schema).parquet(path)
+
+
+WEEK = 7 * 86400
+_WEEK_OF = F.least(F.floor((F.unix_timestamp(F.col("ts").cast("timestamp")) - F.unix_timestamp(F.lit("2024-01-01 00:00:00").cast("timestamp"))) / WEEK), F.lit(3))
+
+
+@query("stream_mood_restarted", batch.MOOD_BY_ARTIST_SQL)
+def stream_mood_restarted(spark, sf_dir):
+    """Four batches in order of time, the stream stopped and started again after each."""
+    root = scratch_folder(spark, "mood-restarted")
+    events = table(spark, sf_dir, "events")
+    mood = KeyedTable(f"{root}/mood", ("window_start", "artist"))
+    catalogue = songs(table(spark, sf_dir, "part"))
+
+    def start():
+        rows = listening(_file_stream(spark, f"{root}/events", events.schema)).filter(F.col("event_type") == PLAY_TYPE)
+        stream = windows.mood_by(lookup_join(rows, catalogue, "song_id", spread_by=["event_id"]))
+        return jobs.upsert_windows(stream, f"{root}/checkpoint", mood)
+
+    for week in range(4):
+        _arrive(events.filter(_WEEK_OF == week), f"{root}/events", start)
+    return naive(_rounded(mood.current(spark)))
+
+
+@query(
+    "late_events",
+    """WITH arrived AS (SELECT event_id, ts, least(date_diff('day', DATE '2024-01-01', ts::DATE) + event_id % 10, 39) // 10 AS batch FROM events),
+    newest AS (SELECT batch, max(ts) AS newest FROM arrived GROUP BY batch),
+    bounds AS (SELECT a.batch, max(b.newest) - INTERVAL 3 DAY AS bound FROM newest a LEFT JOIN newest b ON b.batch < a.batch GROUP BY a.batch)
+    SELECT event_id, batch::BIGINT AS batch, coalesce(ts < bound, false) AS late FROM arrived JOIN bounds USING (batch)""",
+)
+def late_events(spark, sf_dir):
+    """Events that arrive up to nine days late; those behind the watermark end in the side table."""
+    root = scratch_folder(spark, "late")
+    events = table(spark, sf_dir, "events")
+    day = F.date_diff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date"))
+    arrived = events.withColumn("batch", F.floor(F.least(day + F.col("event_id") % 10, F.lit(39)) / 10).cast("bigint"))
+    kept, late = (KeyedTable(f"{root}/{name}", ("event_id",)) for name in ("kept", "late"))
+
+    def start():
+        stream = _file_stream(spark, f"{root}/events", arrived.schema).withColumn("timestamp", F.col("ts").cast("timestamp"))
+        return jobs.split_late(stream, f"{root}/checkpoint", kept, late, "3 days")
+
+    for part in range(4):
+        _arrive(arrived.filter(F.col("batch") == part), f"{root}/events", start)
+    parts = [t.history(spark).select("event_id", "batch", F.lit(is_late).alias("late")) for t, is_late in ((kept, False), (late, True))]
+    return parts[0].unionByName(parts[1])
+
+
+@query(
+    "stream_mood_gap",
+    f"""WITH {batch.PLAYS_SQL}, {batch.expanded_sql('6 hours', '1 hour', 6, 'plays')},
+    profile AS (SELECT p_type AS main_genre, avg(p_size) / 50 AS expected FROM part GROUP BY p_type),
+    live AS (SELECT window_start, main_genre, 0.5 * avg(valence) + 0.5 * avg(energy) AS mood, max(ts) >= TIMESTAMP '2024-01-15' AS again FROM e GROUP BY ALL)
+    SELECT window_start, main_genre, round(mood, 9) AS mood_score, CASE WHEN again THEN 2 ELSE 1 END AS version,
+           round(mood - CASE WHEN again THEN expected / 2 ELSE expected END, 9) AS mood_gap
+    FROM live LEFT JOIN profile USING (main_genre)""",
+)
+def stream_mood_gap(spark, sf_dir):
+    """X2 as a stream: the profile changes between two batches; each window has that of its last batch."""
+    root = scratch_folder(spark, "mood-gap")
+    events = table(spark, sf_dir, "events")
+    catalogue = songs(table(spark, sf_dir, "part"))
+    profile = catalogue.groupBy("main_genre").agg(F.avg("energy").alias("expected_mood"))
+    gaps = KeyedTable(f"{root}/gaps", ("window_start", "main_genre"))
+    part = F.when(F.col("ts") >= F.lit("2024-01-15").cast("timestamp_ntz"), 2).otherwise(1)
+
+    def start():
+        rows = listening(_file_stream(spark, f"{root}/events", events.schema)).filter(F.col("event_type") == PLAY_TYPE)
+        live = windows.mood_by(lookup_join(rows, catalogue, "song_id", spread_by=["event_id"]), ["main_genre"], batch.SIX_HOURS)
+        return jobs.follow_gap(live, f"{root}/checkpoint", gaps, lambda s: s.read.parquet(f"{root}/profile"))
+
+    for version in (1, 2):
+        profile.withColumns({"expected_mood": F.col("expected_mood") / version, "version": F.lit(version)}).write.mode("append").parquet(f"{root}/profile")
+        _arrive(events.filter(part == version), f"{root}/events", start)
+    found = gaps.current(spark).withColumns({c: r9(c) for c in ("mood_score", "mood_gap")})
+    return naive(found.select("window_start", "main_genre", "mood_score", F.col("version").cast("int").alias("version"), "mood_gap"))
+
+
+LAST_TEXT_SQL = "CASE WHEN doc_id % 3 = 1 THEN 'the ' || source || ' the erer' WHEN doc_id % 3 = 2 THEN '' ELSE text END"
+
+
+@query("stream_search", texts.MATCH_SQL.replace("lower(text)", f"lower({LAST_TEXT_SQL})"))
+def stream_search(spark, sf_dir):
+    """K6/Q2: documents replaced by later batches, then BM25 over their last versions."""
+    root = scratch_folder(spark, "search-stream")
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("song_id"), "text", "source")
+    third = F.col("song_id").cast("bigint") % 3
+    names = {"documents": ("doc_id",), "occurrences": ("doc_id", "term", "pos"), "changes": ("term",), "totals": ()}
+    tables = [KeyedTable(f"{root}/{name}", keys) for name, keys in names.items()]
+
+    def start():
+        return jobs.index_changes(_file_stream(spark, f"{root}/docs", docs.schema), f"{root}/checkpoint", *tables, "text", STANDARD)
+
+    # Two thirds get a new text, and one of these another one that is empty.
+    _arrive(docs, f"{root}/docs", start)
+    _arrive(docs.filter(third > 0).withColumn("text", F.concat_ws(" ", F.lit("the"), "source", F.lit("the erer"))), f"{root}/docs", start)
+    _arrive(docs.filter(third == 2).withColumn("text", F.lit("")), f"{root}/docs", start)
+    scores = match_scores(jobs.live_index(spark, *tables, STANDARD), ["the", "erer", "tionre"])
+    return scores.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.round("score", 6).alias("score"))
