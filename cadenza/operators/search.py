@@ -154,10 +154,14 @@ def deletion_keys(vocabulary: DataFrame) -> DataFrame:
     half = F.floor(F.length("term") / 2).cast("int")
     size = F.length("term").cast("string")
     halves = {"<": F.substr(F.col("term"), F.lit(1), half), ">": F.substr(F.col("term"), half + 1)}
-    named = [F.transform(F.concat(F.array(part), _without_one(part)), lambda v, s=side: F.concat(size, F.lit(s), v)) for side, part in halves.items()]
+    named = [_tagged(F.concat(size, F.lit(side)), F.concat(F.array(part), _without_one(part))) for side, part in halves.items()]
     return vocabulary.select(F.explode(F.array_distinct(F.concat(*named))).alias("key"), "term", "df")
 
 
+def _tagged(tag: Column, parts: Column) -> Column:
+    return F.transform(parts, lambda part: F.concat(tag, part))
+
+
 def _without_one(word: Column) -> Column:
     places = F.filter(F.sequence(F.lit(0), F.length(word)), lambda i: i > 0)
     return F.transform(places, lambda i: F.concat(F.substr(word, F.lit(1), i - 1), F.substr(word, i + 1)))
