@@ -20,7 +20,8 @@ HEADLINE = (
     "dedup_latest", "clamp_norm", "artist_lookup", "hot_key_lookup", "tag_enrichment", "pk_fk_audit",
     "normalised_songs", "nearest_centroid_songs", "nearest_centroid", "cluster_top_genres",
     "profile_signals", "kmeans_sweep", "bm25_match", "phrase_match", "fuzzy_match", "facet_terms",
-    "snapshot_union", "stream_mood", "stream_trending", "stream_classify",
+    "snapshot_union", "stream_mood", "stream_trending", "stream_classify", "kmeans_measures", "lyrics_sentiment",
+    "recommend_given", "stream_search",
 )
 
 

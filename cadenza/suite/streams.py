@@ -152,8 +152,10 @@ def _file_stream(spark, path, schema):
     return spark.readStream.schema(schema).parquet(path)
 
 
-WEEK = 7 * 86400
-_WEEK_OF = F.least(F.floor((F.unix_timestamp(F.col("ts").cast("timestamp")) - F.unix_timestamp(F.lit("2024-01-01 00:00:00").cast("timestamp"))) / WEEK), F.lit(3))
+def _week_of(ts):
+    """0 to 3: the week of a time in the tables' month, the last days with the fourth."""
+    seconds = F.unix_timestamp(F.col(ts).cast("timestamp")) - F.unix_timestamp(F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    return F.least(F.floor(seconds / (7 * 86400)), F.lit(3))
 
 
 @query("stream_mood_restarted", batch.MOOD_BY_ARTIST_SQL)
@@ -170,7 +172,7 @@ def stream_mood_restarted(spark, sf_dir):
         return jobs.upsert_windows(stream, f"{root}/checkpoint", mood)
 
     for week in range(4):
-        _arrive(events.filter(_WEEK_OF == week), f"{root}/events", start)
+        _arrive(events.filter(_week_of("ts") == week), f"{root}/events", start)
     return naive(_rounded(mood.current(spark)))
 
 

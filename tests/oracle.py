@@ -49,5 +49,7 @@ def difference(con, frame, sql) -> str | None:
         return f"columns {s_cols} != {d_cols}"
     if len(s_rows) != len(d_rows):
         return f"row counts {len(s_rows)} != {len(d_rows)}"
+    if not s_rows:
+        return "no rows on either side"
     wrong = [(a, b) for a, b in zip(s_rows, d_rows) if a != b]
     return f"{len(wrong)} rows differ, e.g. {wrong[0]}" if wrong else None
