@@ -26,3 +26,12 @@ def test_driver_contract(spark):
 
     assert set(contract.oracle_sql()) <= set(contract.queries())
     assert contract.entry(spark).count() > 0
+
+
+def test_contract_imports_without_a_session():
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    done = subprocess.run([sys.executable, "-c", "import __spark_entry__"], cwd=Path(__file__).parents[1], capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr
