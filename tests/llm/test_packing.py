@@ -2,6 +2,7 @@ import zlib
 
 import cases
 import numpy as np
+import pyarrow as pa
 import pytest
 import public_tokenizers
 from tokenizers import Tokenizer
@@ -9,23 +10,35 @@ from tokenizers import Tokenizer
 from cadenza.llm import packing
 from cadenza.llm.suite import tokenizer_paths
 
-TEXTS = ["", "plain words, and more.", "two  blanks \n and\ttabs ", " leading", "trailing ", "ünïcode ßtraße ñandú 漢字 😀", "a<|endoftext|>b", "it's we'll", "x\0y", "a b  c", "no break   wide", "1234 56\r\n78", "ǅ İ"]
+TEXTS = ["", "plain words, and more.", "two  blanks \n and\ttabs ", " leading", "trailing ", "ünïcode ßtraße ñandú 漢字 😀", "a<|endoftext|>b", "<|endoftext|>", "<|endoftext|>x and y<|endoftext|>", "one <|endoftext|> two <|endoftext|><|endoftext|>  three", "cut <|endof text|>", "it's we'll", "x\0y", "a b  c", "no break   wide", "1234 56\r\n78", "ǅ İ"]
 
 
 @pytest.fixture(scope="module")
 def plain():
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
 def test_known_words_give_the_tokenizers_ids(spark, plain):
     encode = packing.WordTokenizer(*tokenizer_paths()).encode
-    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()
-    for text in [*TEXTS, *(t or "" for t in cases.texts()), *(r[0] for r in rows)]:
+    for text in [*TEXTS, *(t or "" for t in cases.texts())]:
         assert np.frombuffer(encode(text), "<u4").tolist() == plain(text)
 
 
+def test_ids_of_every_document_are_the_tokenizers(spark):
+    def differing(batches):
+        tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+        encode = packing.WordTokenizer(*tokenizer_paths()).encode
+        for batch in batches:
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            same = [encode(t) == np.array(tokenizer.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+            yield pa.RecordBatch.from_pydict({"n": [len(same)], "same": [sum(same)]}, pa.schema([("n", pa.int64()), ("same", pa.int64())]))
+
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("text").repartition(8)
+    n, same = docs.mapInArrow(differing, "n long, same long").groupBy().sum("n", "same").first()
+    assert n == same > 9_000
+
+
 @pytest.mark.parametrize("group", [1 << 20, 3_000])
 def test_pieces_cover_every_document_once(spark, plain, group):
     docs = cases.documents(spark, [*cases.texts(), *TEXTS]).repartition(3)
