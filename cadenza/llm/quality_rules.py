@@ -201,8 +201,8 @@ def learn_from(counts: DataFrame, labels: DataFrame, id_column: str = "doc_id",
     known = labels.where(F.col(label_column).isNotNull() & F.col(id_column).isNotNull()).select(F.col(id_column).cast("long").alias("id"), F.col(label_column).alias("label"))
     chosen = threshold_sample(known, "id", limit).dropDuplicates(["id"])
     names = statistics()
-    rows = counts.where(~base_failed()).join(F.broadcast(chosen), "id").select(F.struct("id", "label", *(x.alias(k) for k, x in names.items())).alias("row")).select("row.*").toPandas()
-    rows = rows.drop_duplicates("id").sort_values("id")
+    rows = counts.where(~base_failed()).join(F.broadcast(chosen), "id").select(F.struct("id", "label", *(x.alias(k) for k, x in names.items())).alias("row")).select("row.*").dropDuplicates(["id"]).toPandas()
+    rows = rows.sort_values("id")
     table = {k: rows[k].to_numpy(dtype=float) for k in names}
     return learn(table, (rows["label"] == 0).to_numpy(), rows["id"].to_numpy())
 
