@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import ascii_lower, settle
+from cadenza.llm.common import ascii_lower, hinted, settle
 
 #: What stands between words, after A-Z have been lower-cased.
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -54,6 +54,15 @@ def _run(words: Column, start: Column, most: int, count: Column | None = None) -
     return F.concat_ws(" ", *(w if count is None else F.when(count > k, w) for k, w in enumerate(here)))
 
 
+def row_key(id_column: str, text_column: str) -> Column:
+    """What names a row in the join: its id, or for a null id the digest of its text.
+
+    The digest's key begins with a NUL character, so it is no printed id.
+    """
+    digest = F.sha2(F.coalesce(F.col(text_column).cast("string"), F.lit("")).cast("binary"), 256)
+    return F.coalesce(F.col(id_column).cast("string"), F.concat(F.lit("\0"), digest))
+
+
 # The arrays below are exploded in the outer form on purpose: for the inner form the optimizer adds a
 # filter on the array's size and moves it below the projections, where the array's inputs are
 # computed anew for every element. Rows for empty arrays hold nulls, which no join keeps.
@@ -83,24 +92,27 @@ def decontaminate(
     shingle: int = 5,
     share: int = 20,
 ) -> DataFrame:
-    """Rows (doc, n_words, n_hit, items, contaminated) for every document.
+    """Rows (doc, key, n_words, n_hit, items, contaminated) for every document.
 
     ``n_hit`` counts the document's words inside any occurrence of a window; ``items`` is the
     sorted list of items with an occurring window; a document is contaminated if it has a hit
     word and at least one in ``share`` of its words is hit. Null and empty texts have no words
-    and no hits; items without words have no window; an item with a null id is left out.
-    Repeated document rows give repeated result rows; an id names one text. Empty tables on
-    either side are fine. Equal windows of several items, or of one, count once in a document.
+    and no hits; items without words have no window. The windows of an item with a null id hit
+    words like any other, but ``items`` cannot name it. A document with a null id is judged by
+    its text; ``key`` (see row_key) tells such documents apart. Repeated document rows give
+    repeated result rows; an id names one text. Empty tables on either side are fine. Equal
+    windows of several items, or of one, count once in a document.
     """
-    docs = docs.select(F.col(id_column).alias("doc"), F.col(text_column).cast("string").alias("text"))
-    windows = settle(benchmark_windows(items.where(F.col(item_column).isNotNull()), item_column, item_text_column, window), "windows")
+    named_docs = docs.select(F.col(id_column).alias("id"), row_key(id_column, text_column).alias("doc"), F.col(text_column).cast("string").alias("text"))
+    docs = named_docs.select("doc", "text")
+    windows = settle(benchmark_windows(items, item_column, item_text_column, window), "windows")
     texts = windows.select("wid", "window").distinct()
     texts = texts.withColumn("words", F.split("window", " "))
     sizes = [r[0] for r in texts.select(F.least(F.size("words"), F.lit(shingle)).alias("s")).distinct().orderBy("s").collect()]
-    base = docs.select("doc", F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
+    base = named_docs.select("id", "doc", F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
     none = F.array().cast("array<string>")
     if not sizes:
-        return base.select("doc", "n_words", F.lit(0).cast("long").alias("n_hit"), none.alias("items"), F.lit(False).alias("contaminated"))
+        return base.select(F.col("id").alias("doc"), F.col("doc").alias("key"), "n_words", F.lit(0).cast("long").alias("n_hit"), none.alias("items"), F.lit(False).alias("contaminated"))
 
     hashed = [
         texts.where(F.least(F.size("words"), F.lit(shingle)) == size)
@@ -128,7 +140,9 @@ def decontaminate(
     # One row for a document: its candidates cannot outnumber its words times the windows of one shingle.
     by_doc = candidates.distinct().groupBy("doc").agg(F.collect_list(F.struct("start", "len", "wid")).alias("candidates"))
     by_doc = settle(by_doc, "candidates")
-    read = docs.join(by_doc, "doc").dropDuplicates(["doc"]).select("candidates", "doc", words_of(F.col("text")).alias("words"))
+    # Few texts hold candidates: their keys decide which texts are shuffled at all.
+    held = docs.join(hinted(by_doc.select(F.col("doc").alias("held"))), F.col("doc") == F.col("held"), "left_semi")
+    read = held.join(by_doc, "doc").dropDuplicates(["doc"]).select("candidates", "doc", words_of(F.col("text")).alias("words"))
     cut = F.transform("candidates", lambda c: F.struct(c["start"].alias("start"), c["len"].alias("len"), c["wid"].alias("wid"), _run(F.col("words"), c["start"], window, c["len"]).alias("here")))
     occurs = read.select("doc", F.explode_outer(cut).alias("c")).select("doc", "c.*").join(texts.select("wid", "window"), "wid").where("here = window").select("doc", "start", "len", "wid")
     occurs = settle(occurs, "occurrences")
@@ -142,7 +156,8 @@ def decontaminate(
     found = settle(hits.join(listed, "doc", "left"), "hits")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     return base.join(found, "doc", "left").select(
-        "doc",
+        F.col("id").alias("doc"),
+        F.col("doc").alias("key"),
         "n_words",
         n_hit.alias("n_hit"),
         F.coalesce("items", none).alias("items"),

@@ -3,7 +3,7 @@ import re
 
 import cases
 
-from cadenza.llm.decontamination import decontaminate
+from cadenza.llm.decontamination import decontaminate, row_key
 
 
 def words_of(text):
@@ -22,16 +22,18 @@ def plain(docs, items):
                 for i in range(len(words) - len(window) + 1):
                     if words[i : i + len(window)] == window:
                         hit |= set(range(i, i + len(window)))
-                        named.add(str(item))
-        out[doc] = (len(words), len(hit), sorted(named), bool(hit) and 20 * len(hit) >= len(words))
+                        named |= {str(item)} - {"None"}
+        out[doc, text if doc is None else None] = (len(words), len(hit), sorted(named), bool(hit) and 20 * len(hit) >= len(words))
     return out
 
 
 def check(spark, docs, items):
     found = decontaminate(docs, spark.createDataFrame(items, "item_id long, text string"))
-    wanted = plain([(r["doc_id"], r["text"]) for r in docs.collect()], [i for i in items if i[0] is not None])
+    wanted = plain([(r["doc_id"], r["text"]) for r in docs.collect()], items)
     rows = found.collect()
-    assert {r["doc"]: (r["n_words"], r["n_hit"], r["items"], r["contaminated"]) for r in rows} == wanted
+    texts = {r["key"]: r["text"] for r in docs.where("doc_id is null").select(row_key("doc_id", "text").alias("key"), "text").collect()}
+    assert {(r["doc"], texts.get(r["key"])): (r["n_words"], r["n_hit"], r["items"], r["contaminated"]) for r in rows} == wanted
+    assert len(rows) == docs.count()
     return rows
 
 
@@ -56,6 +58,15 @@ def test_windows_whole_short_cut_and_overlapping(spark):
     assert sum(r["contaminated"] for r in rows) >= 5
 
 
+def test_null_ids_on_both_sides(spark):
+    long_item = cases.prose(1000, 40)
+    docs = cases.documents(spark).select("doc_id", "text")
+    nameless = spark.createDataFrame([(None, t) for t in (long_item, long_item, None, "clean words only", "ends with b1")] + [(99, "b1"), (98, long_item)], docs.schema)
+    rows = check(spark, docs.unionByName(nameless), [(None, "b1"), (7, long_item), (None, long_item)])
+    assert sum(r["contaminated"] for r in rows if r["doc"] is None) == 3
+    assert [r["items"] for r in rows if r["doc"] == 99] == [[]] and [r["n_hit"] for r in rows if r["doc"] == 99] == [1]
+
+
 def test_no_items_and_no_documents(spark):
     assert not any(r["n_hit"] for r in check(spark, cases.documents(spark), []))
     check(spark, cases.nothing(spark), [(1, "a b c")])
