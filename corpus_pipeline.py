@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.llm import decontamination, line_dedup, packing, simhash, toxicity
-from cadenza.llm.common import settle
+from cadenza.llm.common import hinted, settle
 from cadenza.llm.suite import tokenizer_paths, toxicity_model
 
 #: No SQL for the learned first stage and the tokens of the last.
@@ -30,17 +30,30 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id stays; null ids stay."""
-    found = settle(simhash.near_duplicates(docs), "near-duplicates")
-    others = found.where("id <> component").select(F.col("id").alias("__id")).distinct()
-    return docs.join(others, F.col("doc_id") == F.col("__id"), "left_anti").select(docs.columns)
+    """One row of each group of near-duplicates stays: one of those with the smallest id.
+
+    Repeated rows of one id are copies and leave one. Rows with a null id take part under a hash
+    of their text, behind all ids (which must be below 2 ** 62).
+    """
+    hashed = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(1 << 62)) + F.lit(1 << 62)
+    keyed = docs.withColumn("__key", F.coalesce("doc_id", hashed))
+    found = settle(simhash.near_duplicates(keyed, "__key"), "near-duplicates")
+    others = found.where("id <> component").select(F.col("id").alias("__key")).distinct()
+    kept = keyed.join(others, "__key", "left_anti")
+    repeated = settle(found.where("id = component").groupBy("id").count().where("count > 1").select(F.col("id").alias("__key")), "repeated")
+    if not repeated.isEmpty():
+        # Only the texts of repeated rows are shuffled.
+        again = kept.join(hinted(repeated), "__key", "left_semi").dropDuplicates(["__key"])
+        kept = kept.join(hinted(repeated), "__key", "left_anti").unionByName(again)
+    return kept.select(docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with enough words inside benchmark windows go."""
+    """Documents with enough words inside benchmark windows go, those with a null id too."""
     found = decontamination.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    bad = settle(found.where("contaminated").select(F.col("doc").alias("__id")).distinct(), "contaminated")
-    return docs.join(bad, F.col("doc_id") == F.col("__id"), "left_anti").select(docs.columns)
+    bad = settle(found.where("contaminated").select(F.col("key").alias("__key")).distinct(), "contaminated")
+    keyed = docs.withColumn("__key", decontamination.row_key("doc_id", "text"))
+    return keyed.join(bad, "__key", "left_anti").select(docs.columns)
 
 
 def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
