@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cadenza.operators.selection import ONE_TASK_ROWS, smallest
+
 
 def in_range(rows: DataFrame, ts: str, after, before, **equal) -> DataFrame:
     """Time range open on both ends, and equality on named columns."""
@@ -79,15 +81,15 @@ def outcome_counts(rows: DataFrame, outcome: Column) -> DataFrame:
     return rows.groupBy(outcome.alias("outcome")).agg(F.count("*").alias("n"))
 
 
-def first_rows(rows: DataFrame, order: Sequence[str], n: int | None) -> DataFrame:
+def first_rows(rows: DataFrame, order: Sequence[str], n: int | None, most: int = ONE_TASK_ROWS) -> DataFrame:
     """L1: optional input cap, in id order so that it repeats."""
-    return rows if not n or n <= 0 else rows.orderBy(*order).limit(n)
+    return rows if not n or n <= 0 else smallest(rows, order, n, most)
 
 
-def fixed_size_sample(rows: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
+def fixed_size_sample(rows: DataFrame, key: str, n: int, seed: int = 42, most: int = ONE_TASK_ROWS) -> DataFrame:
     """Exactly ``n`` rows (all, if fewer), chosen by a seeded hash of the key."""
     draw = F.md5(F.concat_ws(":", F.lit(seed), F.col(key).cast("string")))
-    return rows.orderBy(draw, key).limit(n)
+    return smallest(rows, [draw, key], n, most)
 
 
 def bernoulli_sample(rows: DataFrame, fraction: float, seed: int = 42) -> DataFrame:

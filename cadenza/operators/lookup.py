@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cadenza.session import scratch_folder
+
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROWS_PER_PIECE = 2_000_000
@@ -66,7 +68,11 @@ def count_hot_keys(rows: DataFrame, key: str, rows_per_piece: int = ROWS_PER_PIE
     There are at most as many as the rows divided by that number. Should they not fit a
     broadcast, pieces are made larger until they do.
     """
-    counts = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
+    counted = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > rows_per_piece)
+    # The counts of hot keys are asked for at every step and by both sides of the join.
+    path = scratch_folder(rows.sparkSession, "hot-keys")
+    counted.write.parquet(path)
+    counts = rows.sparkSession.read.schema(counted.schema).parquet(path)
     while True:
         pieces = F.ceil(F.col("n") / rows_per_piece).cast("int").alias("pieces")
         hot = counts.filter(F.col("n") > rows_per_piece).select(key, pieces)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,11 +39,20 @@ CLASSIFY_COLUMNS = (
 )
 
 
-def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+def has_broken_lines(spark: SparkSession, path: str) -> bool:
+    """True if a line of the files has an odd number of quotes: some value holds a line break."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+
+
+def read_csv(spark: SparkSession, path: str, multiline: bool | None = None) -> DataFrame:
     """Header CSV with doubled quotes, every column as text.
 
-    ``multiline`` allows line breaks inside quotes, at the price of one task per file.
+    ``multiline`` allows line breaks inside quotes, at the price of one task per file. Unless
+    it is given, a look at the lines decides.
     """
+    if multiline is None:
+        multiline = has_broken_lines(spark, path)
     return spark.read.csv(path, header=True, quote='"', escape='"', multiLine=multiline)
 
 
@@ -147,14 +156,17 @@ def songs_to_classify(catalogue: DataFrame) -> DataFrame:
     )
 
 
-def enrich(songs: DataFrame, track_info: DataFrame, artist_info: DataFrame, **join_options) -> DataFrame:
+def enrich(songs: DataFrame, track_info: DataFrame, artist_info: DataFrame, row_key: Sequence[str] = (), **join_options) -> DataFrame:
     """Tags and counters from supplied tables, artist tags as the fallback.
 
     ``songs``: song_id, title, artist. ``track_info``: song_id, info (JSON text).
-    ``artist_info``: artist, artist_tags, similar_artists. Adds an ``outcome`` column.
+    ``artist_info``: artist, artist_tags, similar_artists. Adds an ``outcome`` column: enriched, fallback (no
+    tags of the track), not_found, or errors for an answer that is no JSON. ``row_key`` names
+    columns that tell rows of one song apart: title and artist do not, so without them a hot
+    song stays in one piece.
     """
-    with_track = lookup_join(songs, track_info, "song_id", spread_by=["title", "artist"], **join_options)
-    joined = lookup_join(with_track, artist_info, "artist", spread_by=["song_id"], **join_options)
+    with_track = lookup_join(songs, track_info, "song_id", spread_by=[*row_key, "title", "artist"], **join_options)
+    joined = lookup_join(with_track, artist_info, "artist", spread_by=[*row_key, "song_id"], **join_options)
     tag_list = F.from_json(
         F.get_json_object("info", "$.toptags.tag"), "array<struct<name string>>"
     )
@@ -165,7 +177,8 @@ def enrich(songs: DataFrame, track_info: DataFrame, artist_info: DataFrame, **jo
     def counter(path: str) -> Column:
         return safe_count(F.get_json_object("info", path))
 
-    outcome = F.when(found & has_tags, "enriched").when(found, "fallback").otherwise("not_found")
+    broken = found & F.try_parse_json("info").isNull()
+    outcome = F.when(broken, "errors").when(found & has_tags, "enriched").when(found, "fallback").otherwise("not_found")
     return joined.select(
         "song_id",
         "title",

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.operators.latest import first_per_key
@@ -17,7 +19,17 @@ class SnapshotIndexError(RuntimeError):
 
 
 def snapshot_path(root: str, run_id: str) -> str:
-    return f"{root.rstrip('/')}/snapshots/{DATASET}-{run_id}.jsonl"
+    safe = quote(run_id, safe="").replace("~", "%7E").replace("%", "~")
+    return f"{root.rstrip('/')}/snapshots/{DATASET}-{safe}.jsonl"
+
+
+def folder_name(run: Column) -> Column:
+    """A run id as a folder name that no file system changes: other characters as ~ and their code."""
+    text = run.cast("string")
+    name = F.url_encode(text)
+    for char, code in (("%", "~"), ("+", "~20"), ("*", "~2A")):
+        name = F.replace(name, F.lit(char), F.lit(code))
+    return F.when(text.isNull(), "~null").when(text == "", "~empty").otherwise(name)
 
 
 def entries_path(root: str) -> str:
@@ -49,15 +61,18 @@ def record_snapshot(spark: SparkSession, root: str, run_id: str, record_count: i
 
 
 def write_runs(rows: DataFrame, root: str, run: str = "run_id") -> None:
-    """K4/K5: many runs at once (a backfill), one snapshot and one history entry per run."""
+    """K4/K5: many runs at once (a backfill), one snapshot and one history entry per run.
+
+    Rows without a run id are a run of their own, whose entry has a null id.
+    """
     base = f"{root.rstrip('/')}/snapshots"
     # Rebalancing gives each run few files and still splits a run that holds most rows.
-    rows.hint("rebalance", run).write.partitionBy(run).mode("errorifexists").json(base)
+    rows.withColumn(run, folder_name(F.col(run))).hint("rebalance", run).write.partitionBy(run).mode("errorifexists").json(base)
     rows.groupBy(F.col(run).alias("run_id")).agg(F.count("*").alias("record_count")).select(
         "run_id",
         F.current_timestamp().cast("string").alias("created_at_utc"),
         "record_count",
-        F.concat(F.lit(f"{base}/{run}="), "run_id").alias("snapshot_path"),
+        F.concat(F.lit(f"{base}/{run}="), folder_name(F.col("run_id"))).alias("snapshot_path"),
     ).write.mode("append").json(entries_path(root))
     export_index(rows.sparkSession, root)
 
@@ -73,6 +88,12 @@ def is_recorded(spark: SparkSession, root: str, run_id: str) -> bool:
     return bool(history.filter(F.col("run_id") == run_id).take(1))
 
 
+def read_history(spark: SparkSession, root: str) -> DataFrame:
+    """The history as a table, one row per run: its first entry."""
+    entries = spark.read.schema(SNAPSHOT_ENTRY).json(entries_path(root))
+    return first_per_key(entries, ["run_id"], ["created_at_utc", "snapshot_path"])
+
+
 def export_index(spark: SparkSession, root: str) -> None:
     """One JSON object with the history in run order (one short entry per run)."""
     history = spark.read.schema(SNAPSHOT_ENTRY).json(entries_path(root))

@@ -20,7 +20,7 @@ from cadenza.operators.scoring import collect_centroids, score_songs, unscored_s
 from cadenza.operators.search import FieldIndex, analysed_documents, indexable, words_of
 from cadenza.sinks.upsert import BATCH, KeyedTable, Sink, fan_out, unique_by
 from cadenza.sources.messages import json_objects
-from cadenza.sources.snapshots import is_recorded, record_snapshot, snapshot_path
+from cadenza.sources.snapshots import export_index, is_recorded, record_snapshot, snapshot_path
 
 
 def run(stream: DataFrame, checkpoint: str, sink: Sink, mode: str, every: str | None = None) -> StreamingQuery:
@@ -178,12 +178,13 @@ def snapshot_topic(messages: DataFrame, checkpoint: str, root: str, run_id: str)
 
     The checkpoint is the committed offset. An empty batch leaves no snapshot. Batch ``n``
     is run ``<run_id>-<n>``; when it runs again after a failure, a run already in the history
-    stays as it is and only an unrecorded leftover is replaced.
+    stays as it is, its index is exported again, and only an unrecorded leftover is replaced.
     """
 
     def snapshot(rows: DataFrame, batch_id: int) -> None:
         spark, run_n = rows.sparkSession, f"{run_id}-{batch_id}"
         if is_recorded(spark, root, run_n):
+            export_index(spark, root)  # the failure may have come between entry and index
             return
         rows.persist()
         try:

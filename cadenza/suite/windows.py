@@ -206,6 +206,17 @@ def json_props(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", song_key(F.col("props")).alias("song_id"))
 
 
+@query(
+    "event_cap",
+    """SELECT event_id, user_id, value FROM events
+       ORDER BY value NULLS FIRST, event_id LIMIT (SELECT count(*) // 10 FROM events)""",
+)
+def event_cap(spark, sf_dir):
+    """L1: the tenth of all events with the smallest values, selected without a single task."""
+    rows = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
+    return feeds.first_rows(rows, ["value", "event_id"], rows.count() // 10, most=500)
+
+
 @query(
     "event_fixed_sample",
     """SELECT event_id, user_id, event_type FROM events

@@ -123,6 +123,51 @@ def test_enrichment_falls_back_to_artist_tags(spark):
     assert rows["1"].similar_artists == ["Z"] and rows["3"].similar_artists == []
 
 
+def test_broken_answers_are_errors(spark):
+    songs = spark.createDataFrame([("1", "t", "A"), ("2", "t", "A")], "song_id string, title string, artist string")
+    tracks = spark.createDataFrame([("1", "{no json"), ("2", "{}")], "song_id string, info string")
+    artists = spark.createDataFrame([("A", ["soul"], [])], "artist string, artist_tags array<string>, similar_artists array<string>")
+    rows = {r.song_id: r for r in cat.enrich(songs, tracks, artists).collect()}
+    assert (rows["1"].outcome, rows["2"].outcome) == ("errors", "fallback")
+    assert rows["1"].lastfm_tags == ["soul"] and rows["1"].lastfm_playcount == 0
+
+
+def test_a_hot_song_is_spread_by_its_rows(spark):
+    plays = spark.range(3_000).select(F.lit("s").alias("song_id"), F.lit("t").alias("title"), F.lit("A").alias("artist"), F.col("id").alias("event_id"))
+    tracks = spark.createDataFrame([("s", '{"playcount": "5"}')], "song_id string, info string")
+    artists = spark.createDataFrame([("A", ["soul"], [])], "artist string, artist_tags array<string>, similar_artists array<string>")
+    options = {"broadcast": False, "rows_per_piece": 100}
+    split = cat.enrich(plays, tracks, artists, row_key=["event_id"], **options)
+    assert split.count() == 3_000 and split.where("lastfm_playcount <> 5 or outcome <> 'fallback'").isEmpty()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        spread = split.groupBy(F.spark_partition_id()).count().collect()
+        lumped = cat.enrich(plays, tracks, artists, **options).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert max(r["count"] for r in spread) < 2_000 and max(r["count"] for r in lumped) == 3_000
+
+
+def test_line_breaks_inside_quotes(spark, tmp_path):
+    path = tmp_path / "songs.csv"
+    path.write_text('id,name,energy\n1,"two\nlines ""quoted""",0.5\n2,plain,0.25\n')
+    assert {(r.id, r.name, r.energy) for r in cat.load_songs(spark, str(path)).collect()} == {("1", 'two\nlines "quoted"', 0.5), ("2", "plain", 0.25)}
+    path.write_text('id,name\n1,"a ""b"" c"\n')
+    assert not cat.has_broken_lines(spark, str(path))
+
+
+def test_any_run_id_finds_its_snapshot(spark, tmp_path):
+    runs = [None, "", "a:b/c", "x y*~%7E", "~null", "2024-01-01T10:00:00", "plain"]
+    rows = spark.createDataFrame([(r, str(i)) for i, r in enumerate(runs)], "run_id string, song_id string")
+    snap.write_runs(rows, str(tmp_path))
+    read = snap.read_snapshots(spark, snap.index_path(str(tmp_path)), schema="song_id string")
+    assert sorted(r.song_id for r in read.collect()) == [str(i) for i in range(len(runs))]
+    assert {r.run_id for r in snap.read_history(spark, str(tmp_path)).collect()} == set(runs)
+    for run in ("a:b", "a~3Ab"):
+        snap.record_snapshot(spark, str(tmp_path / "o"), run, 1, snap.write_snapshot(rows.limit(1), str(tmp_path / "o"), run))
+    assert snap.read_snapshots(spark, snap.index_path(str(tmp_path / "o")), schema="song_id string").count() == 2
+
+
 def index_file(tmp_path, content):
     path = tmp_path / "index.json"
     path.write_text(content)

@@ -129,6 +129,25 @@ def test_only_objects_are_snapshot_and_an_empty_run_leaves_nothing(spark, tmp_pa
     assert spark.read.json(f"{root}/history").count() == 1
 
 
+def test_a_crash_between_entry_and_index_loses_nothing(spark, tmp_path, topic, monkeypatch):
+    path = topic("1.json", ['{"song_id": "1"}'])
+    root, check = str(tmp_path / "root"), str(tmp_path / "check")
+
+    def crash(*_):
+        raise OSError("index not written")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(snap, "export_index", crash)
+        with pytest.raises(Exception, match="index not written"):
+            jobs.snapshot_topic(msg.follow_files(spark, path), check, root, "r").awaitTermination()
+    topic("2.json", ['{"song_id": "2"}'])
+    for _ in range(2):
+        jobs.snapshot_topic(msg.follow_files(spark, path), check, root, "r").awaitTermination()
+    rows = snap.read_snapshots(spark, snap.index_path(root)).collect()
+    assert sorted(r.song_id for r in rows) == ["1", "2"]
+    assert snap.read_history(spark, root).count() == 2
+
+
 def signals(run, at, centres):
     names = "danceability energy acousticness instrumentalness valence speechiness liveness loudness_norm tempo_norm".split()
     return [
