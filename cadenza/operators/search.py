@@ -13,7 +13,7 @@ document frequency among them.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -295,6 +295,25 @@ def search(documents: DataFrame, index: FieldIndex, query: str, mode: str = MATC
     )
 
 
+def write_field_indexes(documents: DataFrame, path: str, doc_id: str = "song_id",
+                        fields: Mapping[str, Analyzer] = FIELD_ANALYZERS) -> dict[str, FieldIndex]:
+    """Q6: one written index for each searchable field, each with its own analysis."""
+    return {name: write_index(documents, doc_id, name, analyzer, f"{path}/{name}") for name, analyzer in fields.items()}
+
+
+def read_field_indexes(spark: SparkSession, path: str, fields: Mapping[str, Analyzer] = FIELD_ANALYZERS) -> dict[str, FieldIndex]:
+    """Q6: the indexes that ``write_field_indexes`` left below ``path``."""
+    return {name: FieldIndex.read(spark, f"{path}/{name}", analyzer) for name, analyzer in fields.items()}
+
+
+def search_field(documents: DataFrame, indexes: Mapping[str, FieldIndex], query: str, field: str = "lyrics",
+                 mode: str = MATCH, genre: str | None = None, size: int = 10) -> DataFrame:
+    """Q6/Q8: ``search`` in one named field; a field without an index has no hits."""
+    if field not in indexes:
+        field, query = next(iter(indexes)), ""
+    return search(documents, indexes[field], query, mode, genre, size)
+
+
 def document_by_id(documents: DataFrame, doc_id: str, key: str = "song_id") -> DataFrame:
     """One document, or an empty frame."""
     return documents.filter(F.col(key) == F.lit(doc_id))

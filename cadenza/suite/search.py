@@ -169,10 +169,8 @@ def document_lookup(spark, sf_dir):
     return found.select("doc_id", "lang", "source", "n_chars", F.md5("text").alias("text_md5"))
 
 
-@query("english_search")
-def english_search(spark, sf_dir):
-    """Q1-Q8 end to end: stemmed lyrics, fuzzy match, result shape."""
-    docs = texts(spark, sf_dir, "doc_id", "source", "text", "lang", "n_chars").select(
+def _songs_with_lyrics(spark, sf_dir):
+    return texts(spark, sf_dir, "doc_id", "source", "text", "lang", "n_chars").select(
         F.col("doc_id").cast("string").alias("song_id"),
         F.col("source").alias("title"),
         F.col("source").alias("primary_artist"),
@@ -183,6 +181,45 @@ def english_search(spark, sf_dir):
         F.col("n_chars").cast("int").alias("popularity"),
         F.lit(2000).alias("year"),
     )
+
+
+def _page(hits):
+    return hits.select("song_id", "score", "title", "genre", F.col("popularity").cast("bigint").alias("popularity"))
+
+
+_PAGE_SQL = """SELECT CAST(doc_id AS VARCHAR) AS song_id, round(score, 2) AS score, coalesce(source, '') AS title,
+    coalesce(lang, '') AS genre, coalesce(n_chars, 0) AS popularity FROM m JOIN documents USING (doc_id)"""
+
+
+@query(
+    "search_page",
+    f"""WITH m AS ({FUZZY_SQL}) {_PAGE_SQL} WHERE lang = 'en'
+    ORDER BY m.score DESC, coalesce(n_chars, 0) DESC, song_id LIMIT 25""",
+)
+def search_page(spark, sf_dir):
+    """Q5/Q8: one page of misspelt words in a genre, as the search call returns it."""
+    index = _written_index(spark, sf_dir)
+    return _page(s.search(_songs_with_lyrics(spark, sf_dir), index, "Therre haand", genre="en", size=25))
+
+
+@query(
+    "search_by_artist",
+    f"""WITH n AS (SELECT count(*) AS n_docs, count(*) FILTER (source = 'src7') AS df FROM documents WHERE source <> ''),
+    m AS (SELECT doc_id, {IDF_SQL.format(df="df")} AS score FROM documents, n WHERE source = 'src7') {_PAGE_SQL}
+    ORDER BY coalesce(n_chars, 0) DESC, song_id LIMIT 25""",
+)
+def search_by_artist(spark, sf_dir):
+    """Q6/Q8: the artist field, where only whole values match; each field has its written index."""
+    docs = _songs_with_lyrics(spark, sf_dir)
+    fields = {name: s.FIELD_ANALYZERS[name] for name in ("title", "primary_artist")}
+    indexes = s.write_field_indexes(docs, scratch_folder(spark, "field-indexes"), fields=fields)
+    return _page(s.search_field(docs, indexes, "src7", "primary_artist", s.PHRASE, size=25))
+
+
+@query("english_search")
+def english_search(spark, sf_dir):
+    """Q1-Q8 end to end: stemmed lyrics, fuzzy match, result shape."""
+    docs = _songs_with_lyrics(spark, sf_dir)
     path = scratch_folder(spark, "english-index")
     index = s.write_index(docs, "song_id", "lyrics", ENGLISH, path)
     return s.search(docs, index, "relational thinkings", size=25)

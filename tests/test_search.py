@@ -184,3 +184,19 @@ def test_search_documents_from_raw_rows(spark):
 def test_indexable_takes_either_id(spark):
     rows = spark.createDataFrame([("1", None, "a"), (None, "2", "b"), ("", None, "c")], "song_id string, songId string, title string")
     assert {tuple(r) for r in s.indexable(rows).collect()} == {("1", "a"), ("2", "b")}
+
+
+def test_fields_have_their_own_analysis(spark, tmp_path):
+    rows = [("1", "Red Door", "The Who", "painting doors"), ("2", "door", "Who", "the who sang"), ("3", None, "", "nothing")]
+    docs = spark.createDataFrame(rows, "song_id string, title string, primary_artist string, lyrics string")
+    docs = docs.selectExpr("*", "array(primary_artist) AS artists", "'rock' AS genre", "array('x') AS niche_genres", "1 AS popularity", "2000 AS year")
+    s.write_field_indexes(docs, str(tmp_path))
+    indexes = s.read_field_indexes(spark, str(tmp_path))
+
+    def found(query, field, **options):
+        return [r.song_id for r in s.search_field(docs, indexes, query, field, **options).collect()]
+
+    assert sorted(found("door", "title")) == ["1", "2"] and found("red doorr", "title", mode=s.PHRASE) == []
+    assert found("who", "primary_artist", mode=s.PHRASE) == [] and found("Who", "primary_artist", mode=s.PHRASE) == ["2"]
+    assert found("painted door", "lyrics", mode=s.PHRASE) == ["1"]
+    assert found("door", "no such field") == [] and found("  ", "title") == [] and found("door", "title", genre="pop") == []
