@@ -56,6 +56,11 @@ PROFILE_SIGNAL = f"""
     source_topic string, cluster_id int, cluster_size bigint, top_genres_json string,
     centroid_features struct<{CENTROID_STRUCT}>, model_name string, model_version string
 """
+ASSIGNMENT_SIGNAL = f"""
+    signal_type string, schema_version int, run_id string, produced_at_utc string,
+    source_topic string, song_id string, main_genre string, genres array<string>,
+    cluster_id int, features struct<{CENTROID_STRUCT}>, model_name string, model_version string
+"""
 TOP_GENRES = "array<struct<genre string, genre_count bigint, genre_ratio double>>"
 
 # --- clustering results ---------------------------------------------------------------
@@ -65,6 +70,10 @@ BATCH_RUN = """
     recommended_k int, final_k int, final_silhouette double,
     final_training_cost double, notes string
 """
+ASSIGNMENT = f"""
+    run_id string, song_id string, main_genre string, genres_json string, cluster_id int,
+    {CENTROID_STRUCT}, assigned_at timestamp
+"""
 CLUSTER_METRIC = """
     run_id string, evaluation_scope string, k int, silhouette double,
     training_cost double, num_clusters_found int, evaluated_on_rows bigint,

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cadenza.functions import values as v
+from cadenza.functions.declared import declared, declared_json
 from cadenza.functions.features import all_measured, loudness_norm, tempo_norm, unit_clamp
 
 
@@ -100,3 +101,12 @@ def test_measured(spark):
 def test_hour(spark):
     row = spark.sql("select timestamp_ntz'2024-01-01 23:59:59' t").select(v.hour_of_day(F.col("t"))).first()
     assert row[0] == 23
+
+
+def test_declared_columns_take_names_order_and_types(spark):
+    rows = spark.createDataFrame([("x", 2, None)], "b string, a int, extra string")
+    found = rows.select(*declared("a bigint, b string, c double", {"c": F.lit(None)}))
+    assert found.schema.simpleString() == "struct<a:bigint,b:string,c:double>" and tuple(found.first()) == (2, "x", None)
+    assert rows.select(declared_json("b string, c double", {"c": F.lit(None)})).first()[0] == '{"b":"x"}'
+    with pytest.raises(ValueError):
+        declared("a bigint", {"z": F.lit(1)})
