@@ -81,7 +81,9 @@ def parts(url: Column) -> tuple[Column, Column, Column]:
 
 
 def rule_table(spark: SparkSession, rules: tuple[PatternRule, ...]) -> DataFrame:
-    return spark.createDataFrame([(r.rule, r.action, r.rank, list(r.tokens), r.pattern) for r in rules], RULE_SCHEMA)
+    """Rules as literals of the plan, for lists that are kept in code; longer lists come as a table."""
+    rows = [F.struct(*map(F.lit, (r.rule, r.action, r.rank)), F.array(*map(F.lit, r.tokens)), F.lit(r.pattern)) for r in rules]
+    return spark.range(1).select(F.inline(F.array(*rows).cast(f"array<struct<{RULE_SCHEMA}>>")))
 
 
 def judge(pages: DataFrame, rules: DataFrame, id_column: str = "page_id", url_column: str = "url", default: str = "allow") -> DataFrame:
@@ -104,11 +106,13 @@ def judge(pages: DataFrame, rules: DataFrame, id_column: str = "page_id", url_co
 
     spread = rules.where("pattern is not null").select("*", F.explode(F.when(F.size("tokens") > 0, F.col("tokens")).otherwise(F.array(F.lit("")))).alias("token"))
     wanted = spread.select("token").distinct()
-    counts = asked.join(F.broadcast(wanted), "token").groupBy("token").agg(F.count("*").alias("n"))
+    held = F.length("pattern") + F.length("rule") + F.coalesce(F.length(F.array_join("tokens", "")), F.lit(0)) + 64
+    size = rules.agg(F.coalesce(F.sum(held), F.lit(0))).first()[0]
+    near = F.broadcast if size <= BROADCAST_BYTES else lambda frame: frame
+    counts = asked.join(near(wanted), "token").groupBy("token").agg(F.count("*").alias("n"))
     rarest = F.min_by("token", F.struct(F.coalesce("n", F.lit(0)), F.col("token"))).alias("token")
     index = settle(spread.join(counts, "token", "left").groupBy("rule", "action", "rank", "pattern").agg(rarest), "rule-index")
-    size = rules.agg(F.coalesce(F.sum(F.length("pattern") + F.length("rule") + 64), F.lit(0))).first()[0]
-    fetched = asked.join(F.broadcast(index) if size <= BROADCAST_BYTES else index, "token")
+    fetched = asked.join(near(index), "token")
     matched = fetched.where(F.expr("normal rlike pattern"))
     best = matched.groupBy("url").agg(F.max(F.struct("rank", "rule", "action")).alias("best"))
     return rows.join(best, "url", "left").select(
