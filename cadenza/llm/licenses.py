@@ -26,7 +26,8 @@ SHINGLE = 5
 PASS_SHINGLES = 200_000
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
-# Notices and first sentences of well-known public licenses.
+# Notices and telling sentences of well-known public licenses. A text under BSD-3-Clause
+# holds the conditions of BSD-2-Clause too, so both are named; one under BSD-2-Clause names it alone.
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
@@ -36,7 +37,12 @@ TEMPLATES = (
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("MIT", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("BSD-2-Clause", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at"),
 )
 
@@ -184,7 +190,8 @@ def scan(docs: DataFrame, templates=TEMPLATES, id_column: str = "doc_id", text_c
     shingles. Null and empty texts match nothing. A template of fewer than five words is one
     shingle, found only in a text of just these words. Repeated rows give repeated results;
     an empty table or catalogue gives rows without licenses. ``templates`` are pairs (license,
-    text) of any number: each pass over the texts carries PASS_SHINGLES of them.
+    text) of any number: each row meets all of them in one task, PASS_SHINGLES at a time, so
+    tables of the whole catalogue are in each worker's memory (some 150 bytes a shingle).
     """
     known = catalogue(templates)
     passes: list[list[Template]] = [[]]
@@ -193,13 +200,7 @@ def scan(docs: DataFrame, templates=TEMPLATES, id_column: str = "doc_id", text_c
             passes.append([])
         passes[-1].append(t)
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
-    found = [rows.mapInArrow(_searcher(p, containment), "id long, licenses array<string>, matches long, best double") for p in passes]
-    if len(found) == 1:
-        return found[0]
-    whole = found[0]
-    for more in found[1:]:
-        whole = whole.unionByName(more)
-    return whole.groupBy("id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("licenses")))).alias("licenses"), F.sum("matches").alias("matches"), F.max("best").alias("best"))
+    return rows.mapInArrow(_searcher(passes, containment), "id long, licenses array<string>, matches long, best double")
 
 
 def _group(texts: Iterator, most: int = 2_000_000) -> list:
@@ -213,19 +214,20 @@ def _group(texts: Iterator, most: int = 2_000_000) -> list:
     return group
 
 
-def _searcher(templates: list[Template], containment: float):
+def _searcher(passes: list[list[Template]], containment: float):
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(templates, containment)
+        scanners = [Scanner(templates, containment) for templates in passes]
         for batch in batches:
             texts = values(batch.column(1))
-            found = []
+            found: list[list[tuple[str, float]]] = []
             while group := _group(texts):
-                found += scanner.find(group)
+                by_pass = [s.find(group) for s in scanners]
+                found += [[(s.templates[m[0]].license, m[3]) for s, f in zip(scanners, by_pass) for m in f[i]] for i in range(len(group))]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0),
-                pa.array([sorted({templates[m[0]].license for m in f}) for f in found], pa.list_(pa.string())),
+                pa.array([sorted({name for name, _ in f}) for f in found], pa.list_(pa.string())),
                 pa.array([len(f) for f in found], pa.int64()),
-                pa.array([max((m[3] for m in f), default=0.0) for f in found], pa.float64()),
+                pa.array([max((share for _, share in f), default=0.0) for f in found], pa.float64()),
             ], ["id", "licenses", "matches", "best"])
 
     return of_batches
