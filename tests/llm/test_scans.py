@@ -133,3 +133,82 @@ def test_index_finds_what_trying_every_rule_finds(spark):
 @pytest.mark.parametrize("name", sorted(suite.SQL))
 def test_query_equals_sql(spark, sf_dir, name):
     assert oracle.difference(oracle.connect(sf_dir), suite.QUERIES[name](spark, sf_dir), suite.SQL[name]) is None
+
+
+def plain_spans(text):
+    """Every place is tried: values behind a credential's name first, then long runs apart from them."""
+    import re
+
+    named, at = [], 0
+    while at < len(text):
+        lead = re.search(r"(?i)(token|secret|password|passwd|key|apikey|credential|auth|bearer|pwd)s?[\"']?[ \t]*\Z", text[max(0, at - 24) : at], re.ASCII)
+        if text[at] in ":=" and lead:
+            rest = text[at + 1 :].lstrip(" \t")
+            start = len(text) - len(rest)
+            if rest[:1] in ("'", '"'):
+                inside = rest[1:].split("\n")[0]
+                value, start = (inside.split(rest[0])[0] if rest[0] in inside else ""), start + 1
+            else:
+                value = re.split(r"[\s\"']", rest)[0].rstrip(",;)]}")
+            if len(value) >= 4:
+                named.append((start, start + len(value)))
+                at = start + len(value)
+                continue
+        at += 1
+    runs = [m.span() for m in re.finditer(r"[A-Za-z0-9_+/=.@-]{16,}", text)]
+    return sorted([r for r in runs if all(r[1] <= a or b <= r[0] for a, b in named)] + named)
+
+
+SECRETS = [
+    "password: hunter2", "my_password = 'p#ss w!rd$', next", "pwd=abc", "pwd=abcd;", 'api_key : "unclosed value', "key=\"\" key=''",
+    "x" * 40, 'TOKEN="' + "0f" * 20 + '"', "keys == 'abcdefgh'", "secret=token=abcdefgh", "no name: value", "auth:\nnextline", "passwd:", "",
+    "f(password=hunter22) and monkey: banana", '{"data": "password: hunter2"}', "a" * 30 + "=secret=" + "b" * 30,
+]
+
+
+@pytest.mark.parametrize("text", [*SECRETS, " | ".join(SECRETS), "\n".join(SECRETS)])
+def test_candidates_equal_plain_search(text):
+    assert secret_scan.spans(text) == plain_spans(text)
+
+
+def test_short_values_of_credentials_are_candidates():
+    found = {text[a:b] for text in SECRETS for a, b in secret_scan.spans(text)}
+    assert {"hunter2", "p#ss w!rd$", "abcd", "hunter22", "banana"} <= found and "abc" not in found
+
+
+def test_features_equal_plain_counts():
+    rng = random.Random(3)
+    transitions = np.log(np.arange(1, len(secret_scan.ALPHABET) ** 2 + 1).reshape(len(secret_scan.ALPHABET), -1) / 9e6)
+    for _ in range(200):
+        value = "".join(rng.choice("abXY019_=#é ") for _ in range(rng.randrange(4, 40)))
+        got = dict(zip(secret_scan.PLAIN, secret_scan.describe(value, "my token = '", "' end", transitions, frozenset(["ab", "ba"]))))
+        lowered = value.lower()
+        place = [secret_scan.ALPHABET.find(c) if c in secret_scan.ALPHABET else len(secret_scan.ALPHABET) - 1 for c in lowered]
+        steps = [transitions[a][b] for a, b in zip(place, place[1:])]
+        assert got["length"] == len(value) and abs(got["transition"] - sum(steps) / len(steps)) < 1e-9
+        shares = {c: value.count(c) / len(value) for c in set(value)}
+        assert abs(got["entropy"] + sum(p * np.log2(p) for p in shares.values())) < 1e-9
+        assert got["quoted"] == got["assigned"] == got["credential_near"] == 1 and got["mail_like"] == 0
+
+
+def test_weights_of_paths_and_words():
+    paths = ["src/config/prod.env"] * 6 + ["tests/data/sample.json"] * 6 + ["src/rare.txt"]
+    labels = [1.0] * 6 + [0.0] * 6 + [0.0]
+    known = secret_scan.weights(paths, labels, secret_scan.parts)
+    assert set(known) == {"src", "config", "prod", ".env", "tests", "data", "sample", ".json"}
+    assert abs(known[".env"] - np.log((7 / 8) / (1 / 9))) < 1e-12 and abs(known["tests"] - np.log((1 / 8) / (7 / 9))) < 1e-12
+    assert secret_scan.mean_weight("x/unknown.bin", secret_scan.parts, known) == 0
+    assert secret_scan.mean_weight("prod/tests", secret_scan.parts, known) == (known["prod"] + known["tests"]) / 2
+
+
+def test_repeated_rows_repeat_under_a_large_catalogue(spark, monkeypatch):
+    docs = cases.documents(spark, license_texts()[:20])
+    whole = sorted(map(str, licenses.scan(docs).collect()))
+    monkeypatch.setattr(licenses, "PASS_SHINGLES", 60)
+    assert sorted(map(str, licenses.scan(docs).collect())) == whole and len(whole) == docs.count()
+
+
+def test_variants_of_a_license_are_told_apart(spark):
+    opening, binary, clause = (t for n, t in licenses.TEMPLATES if n.startswith("BSD"))
+    rows = spark.createDataFrame([(0, f"{opening}:\n{binary}"), (1, f"{opening}:\n{binary}\n{clause}")], "doc_id long, text string")
+    assert {r["id"]: r["licenses"] for r in licenses.scan(rows).collect()} == {0: ["BSD-2-Clause"], 1: ["BSD-2-Clause", "BSD-3-Clause"]}
