@@ -60,3 +60,35 @@ def test_hostile_rows(spark):
     assert t.score(cases.documents(spark), model).count() == len(cases.texts()) + 2
     assert t.score(cases.nothing(spark), model).count() == 0
     assert t.train(cases.documents(spark), spark.createDataFrame([], "doc_id long, grade int")).weights == {}
+
+
+def test_fit_equals_plain_descent():
+    """Weights, thresholds and severity of 200 texts as steepest descent with numeric slopes finds them."""
+    rows = made(200, 8)
+    # A tenth of the grades are wrong, so no threshold lies in a gap, where the loss is flat.
+    texts, grades = [t.features_of(x) for _, x, _ in rows], np.array([(g + (i % 10 == 0)) % 3 for i, _, g in rows])
+    model = t.fit(texts, grades, rounds=400)
+    words = sorted(model.weights)
+    assert {"vile", "rotten"} <= set(words)
+    x = np.array([[np.log2(1 + c[w]) for w in words] for c in texts])
+
+    def loss(p):
+        above = 1 / (1 + np.exp(p[len(words) :] - (x @ p[: len(words)])[:, None]))
+        over = np.column_stack([np.ones(len(x)), above, np.zeros(len(x))])
+        share = over[np.arange(len(x)), grades] - over[np.arange(len(x)), grades + 1]
+        return np.inf if share.min() <= 0 else -np.log(share).sum() + 0.05 * (p[: len(words)] ** 2).sum()
+
+    p, step = np.concatenate([np.zeros(len(words)), [1.0, 2.0]]), 0.01
+    for _ in range(6000):
+        slope = np.array([(loss(p + h) - loss(p - h)) / 2e-5 for h in np.eye(len(p)) * 1e-5])
+        while loss(p - step * slope) > loss(p) and step > 1e-9:
+            step /= 2
+        p, step = p - step * slope, step * 1.5
+        if np.abs(slope).max() < 1e-3:
+            break
+    found = np.array([*(model.weights[w] for w in words), *model.thresholds])
+    assert loss(found) - loss(p) < 1e-3
+    assert np.allclose([model.weights[w] for w in words], p[: len(words)], atol=0.05)
+    assert np.allclose(model.thresholds, p[len(words) :], atol=0.05)
+    plain = (1 / (1 + np.exp(p[len(words) :] - (x @ p[: len(words)])[:, None]))).sum(1)
+    assert np.allclose([model.odds(text).sum() for _, text, _ in rows], plain, atol=0.02)
