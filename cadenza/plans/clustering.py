@@ -7,8 +7,9 @@ centres, one metrics row per candidate and the run row.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
@@ -20,16 +21,26 @@ from pyspark.sql import functions as F
 
 from cadenza.functions.features import FEATURES, RAW_OF, all_measured, model_feature
 from cadenza.functions.values import genre_or_unknown
+from cadenza.operators.audit import audit
 from cadenza.operators.feeds import bernoulli_sample, first_rows
 from cadenza.operators.latest import latest_per_key
 from cadenza.operators.profiles import (
     SOURCE_TOPIC, assignment_signals, assignments, by_genre, cluster_profiles, profile_signals,
 )
 from cadenza.schemas import BATCH_RUN, CLUSTER_METRIC
+from cadenza.sinks.tables import replace_run
 
 VECTOR = "features_vec"
 # Rows of a training frame for one task.
 ROWS_PER_TASK = 250_000
+# Result tables, parents first: field of ClusteringResult and primary key.
+RESULT_TABLES = {
+    "runs": ("run", ("run_id",)),
+    "metrics": ("metrics", ("run_id", "evaluation_scope", "k")),
+    "centroids": ("centroids", ("run_id", "cluster_id")),
+    "profiles": ("profiles", ("run_id", "cluster_id")),
+    "assignments": ("assignments", ("run_id", "song_id")),
+}
 
 
 @dataclass(frozen=True)
@@ -221,3 +232,36 @@ def run_clustering(metadata: DataFrame, config: ClusteringConfig) -> ClusteringR
         profile_signals=profile_signals(profiles, centroids, config.source_topic),
         cached=cached,
     )
+
+
+def write_results(result: ClusteringResult, folder: str) -> dict[str, DataFrame]:
+    """K1: the five tables by run below ``folder``, as they read back.
+
+    A run that is there already is replaced, so a job that is tried again leaves no row twice.
+    """
+    written = {}
+    for name, (attribute, _) in RESULT_TABLES.items():
+        rows, path = getattr(result, attribute), f"{folder}/{name}"
+        replace_run(rows, path)
+        # The declared schema keeps a run id of digits a string.
+        written[name] = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    return written
+
+
+def audit_results(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Z3: keys, missing values and parents of the result tables, one row per check.
+
+    Everything belongs to a recorded run, profiles and assignments to a centre of their run.
+    """
+    centre = F.concat_ws(":", "run_id", "cluster_id")
+    of_centres = tables["centroids"].select(centre.alias("centre"))
+    found = []
+    for name, (_, keys) in RESULT_TABLES.items():
+        rows, parents = tables[name], []
+        if name != "runs":
+            parents.append(("run_id", tables["runs"], "run_id"))
+        if name in ("profiles", "assignments"):
+            rows = rows.withColumn("centre", centre)
+            parents.append(("centre", of_centres, "centre"))
+        found.append(audit(rows, name, keys, keys, parents))
+    return reduce(DataFrame.unionByName, found)

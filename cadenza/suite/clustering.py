@@ -260,6 +260,31 @@ def kmeans_invariants(spark, sf_dir):
     return spark.createDataFrame([row], ", ".join(f"{name} bigint" for name in row))
 
 
+@query(
+    "clustering_outputs_audit",
+    f"""WITH {_SONGS_SQL},
+    t(table_name, n_rows) AS (VALUES ('runs', 1), ('metrics', 3), ('centroids', 5), ('profiles', 5)
+                              UNION ALL SELECT 'assignments', count(*) FROM songs)
+    SELECT table_name, n_rows::BIGINT AS n_rows, 0::BIGINT AS n_findings FROM t""",
+)
+def clustering_outputs_audit(spark, sf_dir):
+    """K1/Z3: the batch job's five tables, written by run twice, read back and audited."""
+    config = job.ClusteringConfig(run_id="audit", candidate_ks=(3, 5), final_k=5, parallelism=2)
+    result = job.run_clustering(track_metadata(spark, sf_dir), config)
+    folder = scratch_folder(spark, "clustering-tables")
+    try:
+        job.write_results(result, folder)
+        tables = job.write_results(result, folder)
+    finally:
+        result.release()
+    sizes = None
+    for name, rows in tables.items():
+        size = rows.agg(F.lit(name).alias("table_name"), F.count("*").alias("n_rows"))
+        sizes = size if sizes is None else sizes.unionByName(size)
+    findings = job.audit_results(tables).groupBy("table_name").agg(F.sum("n_findings").alias("n_findings"))
+    return sizes.join(findings, "table_name")
+
+
 def classify_requests(spark, sf_dir):
     """Songs with their raw features as classification requests."""
     raw = F.struct(*[F.col(RAW_OF[f]).alias(RAW_OF[f]) for f in FEATURES])

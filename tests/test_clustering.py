@@ -192,3 +192,22 @@ def test_written_out_and_folded_distances_agree(spark, monkeypatch):
     assert [r.d2 for r in written[-2:]] == [None, None]
     expected = [min((sum((p[i] - c.values[i]) ** 2 for i in range(4)), c.cluster_id) for c in centres)[1] for p in points.limit(50).collect()]
     assert [r.cluster_id for r in written[:50]] == expected
+
+
+def test_result_tables_replace_a_run_and_audits_find_what_is_broken(spark, result, tmp_path):
+    folder = str(tmp_path)
+    job.write_results(result, folder)
+    tables = job.write_results(result, folder)
+    assert tables["assignments"].count() == 120 and tables["runs"].count() == 1
+    assert job.audit_results(tables).filter("n_findings > 0").count() == 0
+    lost = tables["assignments"].filter("cluster_id = 0").count()
+    broken = tables | {
+        "centroids": tables["centroids"].filter("cluster_id > 0"),
+        "metrics": tables["metrics"].unionByName(tables["metrics"].filter("is_final")),
+    }
+    found = {(r.table_name, r.check_name): r.n_findings for r in job.audit_results(broken).filter("n_findings > 0").collect()}
+    assert found == {
+        ("metrics", "unique(run_id,evaluation_scope,k)"): 1,
+        ("profiles", "foreign_key(centre)"): 1,
+        ("assignments", "foreign_key(centre)"): lost,
+    }
