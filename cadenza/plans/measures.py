@@ -2,20 +2,26 @@
 
 The silhouette for squared Euclidean distance has a closed form: the mean squared distance of a
 point x to a cluster of n points with sum S and sum of squared norms Q is
-|x|^2 + Q / n - 2 x.S / n. So one aggregate gives (n, S, Q) of each cluster, and a second one,
-with those K rows written into the plan, the mean silhouette and the cost. There are no pairs.
+|x|^2 + Q / n - 2 x.S / n. So one aggregate gives (n, S, Q) of each cluster, and a second pass
+takes the points in batches against those K rows, as products of small matrices, and sums up
+silhouettes and costs. There are no pairs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.operators.scoring import MAX_CENTROIDS, Centroid
 
+# Distances that are held at once: points times clusters.
+CELLS = 1_000_000
+
 
 def cluster_sums(assigned: DataFrame, features: Sequence[str]) -> DataFrame:
     """One row for each cluster: its points, the sum of each feature, the sum of squared norms."""
@@ -39,31 +45,47 @@ def measures(assigned: DataFrame, features: Sequence[str], centres: Sequence[Cen
     clusters = cluster_sums(assigned, features).filter(F.col("cluster_id").isNotNull()).take(MAX_CENTROIDS + 1)
     if len(clusters) > MAX_CENTROIDS:
         raise ValueError(f"more than {MAX_CENTROIDS} clusters")
-    values = [F.col(f).cast("double") for f in features]
-    norm = _dot(values, values)
-
-    def gap(c) -> Column:
-        return norm + F.lit(c["squares"] / c["n"]) - 2 * _dot(values, [F.lit(s / c["n"]) for s in c["sums"]])
-
-    own, other = F.lit(None).cast("double"), F.lit(None).cast("double")
-    alone = F.lit(True)
-    for c in clusters:
-        here = F.col("cluster_id") == c["cluster_id"]
-        if c["n"] > 1:
-            own = F.when(here, gap(c) * F.lit(c["n"] / (c["n"] - 1))).otherwise(own)
-            alone = F.when(here, F.lit(False)).otherwise(alone)
-        other = F.least(other, F.when(~here, gap(c)))
-    both = assigned.filter(F.col("cluster_id").isNotNull()).select("cluster_id", *features, own.alias("own"), other.alias("other"), alone.alias("alone"))
-    width = F.nullif(F.greatest("own", "other"), F.lit(0.0))
-    silhouette = F.when(F.col("alone") | F.col("other").isNull(), 0.0).otherwise(F.coalesce((F.col("other") - F.col("own")) / width, F.lit(0.0)))
-    cost = F.lit(None).cast("double")
-    for c in centres:
-        gaps = [v - F.lit(x) for v, x in zip(values, c.values, strict=True)]
-        cost = F.when(F.col("cluster_id") == c.cluster_id, _dot(gaps, gaps)).otherwise(cost)
-    found = both.agg(F.count("*").alias("n_rows"), F.avg(silhouette).alias("silhouette"), F.sum(cost).alias("cost"), F.count(cost).alias("costed"))
+    clusters.sort(key=lambda c: c["cluster_id"])
+    given = {c.cluster_id: c.values for c in centres}
+    ids = np.array([c["cluster_id"] for c in clusters])
+    n = np.array([c["n"] for c in clusters], dtype=np.float64)
+    means = np.array([[s / c["n"] for s in c["sums"]] for c in clusters]).reshape(-1, len(features))
+    squares = np.array([c["squares"] / c["n"] for c in clusters])
+    own_centre = np.array([given.get(c["cluster_id"], [np.nan] * len(features)) for c in clusters], dtype=np.float64).reshape(-1, len(features))
+    with_centre = np.array([c["cluster_id"] in given for c in clusters], dtype=bool)
+    step = max(1, CELLS // max(1, len(clusters)))
+
+    def scores(rows: pa.RecordBatch) -> list[float]:
+        """Rows, the sum of their silhouettes, the sum of their costs and the rows that have one."""
+        at = np.searchsorted(ids, rows.column(0).to_numpy(zero_copy_only=False))
+        known = np.logical_and.reduce([c.is_valid().to_numpy(zero_copy_only=False) for c in rows.columns])
+        points = np.column_stack([c.to_numpy(zero_copy_only=False) for c in rows.columns[1:]])
+        each = np.arange(len(at))
+        gaps = (points * points).sum(1)[:, None] + squares - 2 * points @ means.T
+        own = gaps[each, at] * n[at] / np.maximum(n[at] - 1, 1)
+        gaps[each, at] = np.inf
+        other = gaps.min(1)
+        width = np.maximum(own, other)
+        counted = known & (n[at] > 1) & (width != 0) & ~np.isposinf(other)
+        costed = known & with_centre[at]
+        distances = points[costed] - own_centre[at[costed]]
+        return [len(at), ((other - own)[counted] / width[counted]).sum(), (distances * distances).sum(), costed.sum()]
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(4)
+        for batch in batches:
+            for start in range(0, batch.num_rows, step):
+                total += scores(batch.slice(start, step))
+        arrays = [pa.array([int(total[0])]), pa.array([total[1]]), pa.array([total[2]]), pa.array([int(total[3])])]
+        yield pa.RecordBatch.from_arrays(arrays, ["n", "silhouettes", "cost", "costed"])
+
+    rows = assigned.filter(F.col("cluster_id").isNotNull()).select("cluster_id", *[F.col(f).cast("double").alias(f) for f in features])
+    sums = rows.mapInArrow(of_batches, "n long, silhouettes double, cost double, costed long")
+    found = sums.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums.columns])
+    whole = (F.col("costed") == F.col("n")) & (F.col("n") > 0)
     return found.select(
-        F.lit(k if k is not None else len(centres)).cast("long").alias("k"), "n_rows", F.lit(len(clusters)).cast("long").alias("clusters_found"),
-        "silhouette", F.when(F.col("costed") == F.col("n_rows"), F.col("cost")).alias("cost"),
+        F.lit(k if k is not None else len(centres)).cast("long").alias("k"), F.col("n").alias("n_rows"), F.lit(len(clusters)).cast("long").alias("clusters_found"),
+        F.try_divide("silhouettes", "n").alias("silhouette"), F.when(whole, F.col("cost")).alias("cost"),
     )
 
 
