@@ -33,12 +33,18 @@ class KeyedTable:
         """Every revision with its batch."""
         return spark.read.option("basePath", self.path).parquet(f"{self.path}/{BATCH}=*")
 
-    def before(self, spark: SparkSession, batch_id: int, schema: StructType, all_rows: bool = False) -> DataFrame:
-        """The last revision of each key, or every row, as batches before ``batch_id`` left them."""
+    def batch(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """The rows of one written batch."""
+        return spark.read.parquet(f"{self.path}/{BATCH}={batch_id}")
+
+    def before(self, spark: SparkSession, batch_id: int, schema: StructType, all_rows: bool = False, of: DataFrame | None = None) -> DataFrame:
+        """The last revision of each key (of those in ``of``), or every row, as batches before ``batch_id`` left them."""
         # The first batch finds no folder yet.
         if batch_id == 0:
             return spark.createDataFrame([], schema)
         rows = self.history(spark).filter(F.col(BATCH) < batch_id)
+        if of is not None:
+            rows = rows.join(of, list(self.keys), "left_semi")
         found = rows if all_rows else latest_per_key(rows, self.keys, [BATCH, *self.order])
         return found.select(*schema.names)
 

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cadenza.functions.features import FEATURES
 from cadenza.functions.text import Analyzer, tokens
+from cadenza.llm.common import hinted, settle
 from cadenza.operators.genres import mood_gap
 from cadenza.operators.latest import latest_per_key, newest_run
 from cadenza.operators.scoring import collect_centroids, score_songs, unscored_songs
@@ -70,24 +71,30 @@ def index_documents(messages: DataFrame, checkpoint: str, documents: KeyedTable,
     """
 
     def index(rows: DataFrame, batch_id: int) -> None:
-        rows.persist()
-        try:
-            valid = unique_by(["doc_id"], order)(indexable(rows))
-            documents.write(valid, batch_id)
-            occurrences.write(words_of(analysed_documents(valid, "doc_id", text, analyzer)), batch_id)
-            ids = [F.coalesce(F.col(c), F.lit("")) == "" for c in ("song_id", "songId") if c in rows.columns]
-            missing = ids[0] if len(ids) == 1 else ids[0] & ids[1]
-            rows.filter(missing).write.mode("overwrite").parquet(f"{rejects_path}/{BATCH}={batch_id}")
-        finally:
-            rows.unpersist()
+        documents.write(unique_by(["doc_id"], order)(indexable(rows)), batch_id)
+        # Read back, so that the versions are not chosen a second time for their words.
+        valid = documents.batch(rows.sparkSession, batch_id)
+        occurrences.write(words_of(analysed_documents(valid, "doc_id", text, analyzer)), batch_id)
+        ids = [F.coalesce(F.col(c), F.lit("")) == "" for c in ("song_id", "songId") if c in rows.columns]
+        missing = ids[0] if len(ids) == 1 else ids[0] & ids[1]
+        rows.filter(missing).write.mode("overwrite").parquet(f"{rejects_path}/{BATCH}={batch_id}")
 
     return run(messages, checkpoint, index, "append", every)
 
 
 def live_occurrences(spark: SparkSession, documents: KeyedTable, occurrences: KeyedTable) -> DataFrame:
-    """Words of each document's last revision only."""
-    last = documents.history(spark).groupBy("doc_id").agg(F.max(BATCH).alias(BATCH))
-    return occurrences.history(spark).join(last, ["doc_id", BATCH], "left_semi").drop(BATCH)
+    """Words of each document's last revision only.
+
+    Only documents with several revisions are looked up; where there are none, no word is
+    shuffled. Batches whose documents are not written yet do not count.
+    """
+    revisions = documents.history(spark)
+    of_document = revisions.groupBy("doc_id").agg(F.min(BATCH).alias("first"), F.max(BATCH).alias("last"))
+    revised = settle(of_document.filter("last > first").select("doc_id", "last"), "revised")
+    live = occurrences.history(spark).join(F.broadcast(revisions.select(BATCH).distinct()), BATCH, "left_semi")
+    if not revised.isEmpty():
+        live = live.join(hinted(revised), "doc_id", "left").filter(F.coalesce(F.col("last") == F.col(BATCH), F.lit(True))).drop("last")
+    return live.drop(BATCH).select("term", "doc_id", "pos", "doc_len")
 
 
 def index_changes(messages: DataFrame, checkpoint: str, documents: KeyedTable, occurrences: KeyedTable, changes: KeyedTable,
@@ -102,23 +109,23 @@ def index_changes(messages: DataFrame, checkpoint: str, documents: KeyedTable, o
 
     def index(rows: DataFrame, batch_id: int) -> None:
         spark = rows.sparkSession
-        rows.persist()
+        new = unique_by(["doc_id"], order)(indexable(rows)).persist()
         try:
-            new = unique_by(["doc_id"], order)(indexable(rows)).persist()
-            old = documents.before(spark, batch_id, new.schema).join(new.select("doc_id"), "doc_id", "left_semi")
-            signed = new.select("doc_id", text, F.lit(1).alias("sign")).unionByName(old.select("doc_id", text, F.lit(-1).alias("sign")))
-            words = signed.select("doc_id", "sign", tokens(F.col(text), analyzer).alias("tokens"))
-            terms = words.select("sign", F.explode_outer(F.array_distinct(F.transform("tokens", lambda t: t["term"]))).alias("term"))
-            changed = terms.filter(F.col("term").isNotNull()).groupBy("term").agg(F.sum("sign").alias("df")).filter("df <> 0")
-            changes.write(changed, batch_id)
-            n = F.size("tokens")
-            total = words.filter(n > 0).agg(F.coalesce(F.sum("sign"), F.lit(0)).alias("n_docs"), F.coalesce(F.sum(F.col("sign") * n), F.lit(0)).alias("n_words"))
-            totals.write(total, batch_id)
+            old = documents.before(spark, batch_id, new.schema, of=new.select("doc_id"))
+            signed = new.select(text, F.lit(1).alias("sign")).unionByName(old.select(text, F.lit(-1).alias("sign")))
+            words = signed.select("sign", tokens(F.col(text), analyzer).alias("tokens"))
+            # A document's first term also stands for the document, so that texts are analysed once for all sums.
+            names = F.array_distinct("tokens.term")
+            terms = words.select("sign", F.size("tokens").alias("n"), F.posexplode_outer(names).alias("at", "term")).filter(F.col("term").isNotNull())
+            first = F.when(F.col("at") == 0, F.col("sign"))
+            summed = terms.groupBy("term").agg(F.sum("sign").alias("df"), F.sum(first).alias("n_docs"), F.sum(first * F.col("n")).alias("n_words"))
+            summed = settle(summed, "changes")
+            changes.write(summed.select("term", "df").filter("df <> 0"), batch_id)
+            totals.write(summed.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_docs", "n_words")]), batch_id)
             occurrences.write(words_of(analysed_documents(new, "doc_id", text, analyzer)), batch_id)
             documents.write(new, batch_id)
-            new.unpersist()
         finally:
-            rows.unpersist()
+            new.unpersist()
 
     return run(messages, checkpoint, index, "append", every)
 

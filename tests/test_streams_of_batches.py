@@ -76,6 +76,43 @@ def test_signed_changes_equal_a_rebuilt_index(spark, tmp_path):
         assert scores[0] == scores[1]
 
 
+def test_only_revised_documents_are_looked_up(spark, tmp_path):
+    docs, words = KeyedTable(f"{tmp_path}/docs", ("doc_id",)), KeyedTable(f"{tmp_path}/words", ("doc_id", "term", "pos"))
+
+    def write(batch, rows):
+        words.write(spark.createDataFrame([(t, d, 0, 1) for d, t in rows], "term string, doc_id string, pos int, doc_len int"), batch)
+
+    def plan():
+        return jobs.live_occurrences(spark, docs, words)._jdf.queryExecution().executedPlan().toString()
+
+    for batch, rows in enumerate([[("1", "a"), ("2", "b")], [("3", "c")]]):
+        write(batch, rows)
+        docs.write(spark.createDataFrame(rows, "doc_id string, text string"), batch)
+    # The words of batch 2 are there before its documents.
+    write(2, [("2", "d")])
+    assert "doc_id" not in "".join(line for line in plan().splitlines() if "Join" in line)
+    assert sorted(r["term"] for r in jobs.live_occurrences(spark, docs, words).collect()) == ["a", "b", "c"]
+    docs.write(spark.createDataFrame([("2", "d")], "doc_id string, text string"), 2)
+    assert sorted(r["term"] for r in jobs.live_occurrences(spark, docs, words).collect()) == ["a", "c", "d"]
+    schema = docs.batch(spark, 0).schema
+    asked = spark.createDataFrame([("2",), ("9",)], "doc_id string")
+    assert [tuple(r) for r in docs.before(spark, 3, schema, of=asked).collect()] == [("2", "d")]
+
+
+def test_texts_are_analysed_once_for_all_sums(spark, tmp_path, monkeypatch):
+    made, plain = [], jobs.tokens
+    monkeypatch.setattr(jobs, "settle", lambda rows, name, keep=jobs.settle: made.append(name) or keep(rows, name))
+    monkeypatch.setattr(jobs, "tokens", lambda *a: made.append("tokens") or plain(*a))
+    schema, names = "song_id string, text string", {"documents": ("doc_id",), "occurrences": ("doc_id", "term", "pos"), "changes": ("term",), "totals": ()}
+    tables = [KeyedTable(f"{tmp_path}/{n}", k) for n, k in names.items()]
+    start = lambda: jobs.index_changes(stream(spark, f"{tmp_path}/in", schema), f"{tmp_path}/check", *tables, "text", STANDARD)
+    for rows in ([("1", "a b a"), ("2", "")], [("1", ""), ("2", "c")], [("1", None), ("2", "c c")]):
+        arrive(spark, rows, schema, f"{tmp_path}/in", start)
+    assert made == ["tokens", "changes"] * 3
+    assert [tuple(r) for r in tables[3].history(spark).orderBy("batch_id").select("n_docs", "n_words").collect()] == [(1, 3), (0, -2), (0, 1)]
+    assert sorted(tuple(r) for r in tables[2].history(spark).collect()) == [("a", -1, 1), ("a", 1, 0), ("b", -1, 1), ("b", 1, 0), ("c", 1, 1)]
+
+
 def test_gap_takes_the_profile_of_its_batch(spark, tmp_path):
     gaps = KeyedTable(f"{tmp_path}/gaps", ("window_start", "artist"))
 
