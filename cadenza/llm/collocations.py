@@ -1,14 +1,18 @@
 """Collocations: phrases whose words come together far more often than apart.
 
-Stripes: within a task each prefix keys an associative counter of the words that follow it. The
-stripes are merged entry by entry over the cluster, so no stripe has to fit in one task. The
-merged table gives the counts of all phrases, and the greatest entry of a prefix or of a suffix.
-
-A phrase can only be frequent if its first and its last words without one are. So level by level
-hashes of phrases are counted first, and the slots of the frequent ones marked in a bitmap of
-fixed size. A phrase of the next level is hashed only if both its parts fall on marks, and
-stripes hold only marked phrases. A false mark costs a count and changes nothing, as entries
-below the bound are left out after the exact merge.
+Stripes: each prefix keys an associative counter of the words that follow it. A task makes the
+entries of its stripes from hashes, and they are merged entry by entry over the cluster, so no
+stripe has to fit in one task. The merged table gives the counts of all phrases, and the greatest
+entry of a prefix or of a suffix. An entry goes by 64 bits of its phrase and 32 of its prefix.
+
+A phrase can only be frequent if its first and its last words without one are. So entries are
+counted level by level, and the slots of the frequent ones marked in a bitmap of fixed size. A
+phrase of the next level is hashed only if both its parts fall on marks. A false mark costs a
+count and changes nothing, as entries below the bound are left out after the merge.
+
+Only frequent entries get words. Each text has a ticket, a small hash, and an entry keeps the
+least ticket of the texts that hold it. The words are read from texts with that ticket alone, so
+an entry is named about once and not by every task that meets it.
 """
 
 from __future__ import annotations
@@ -16,6 +20,7 @@ from __future__ import annotations
 from array import array
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +37,10 @@ _SIGNS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", MARK * 10 + b" ")
 SLOTS = 1 << 26
 #: Words that are handled at once, hashes and entries that a task holds before it passes them on.
 CHUNK, HASHES, ENTRIES = 200_000, 1_500_000, 400_000
-#: Words whose hashes are remembered.
+#: Words whose hashes or numbers are remembered.
 KNOWN = 500_000
+#: Bits of a ticket, and where they lie in a slot.
+TICKET_BITS, TICKET_AT = 16, 10
 _ID_BITS = 21
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -48,21 +55,45 @@ def _hash(lang: str, word: bytes) -> int:
     return xxhash.xxh64_intdigest(lang.encode() + MARK + word) or 1
 
 
+def _mixed(mixed: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """The hashes of phrases, from those of all words but the last and of the last."""
+    mixed = (mixed ^ hashes) * _MIX
+    return mixed ^ (mixed >> np.uint64(29))
+
+
 def _phrases(hashes: np.ndarray, size: int) -> np.ndarray:
     """The hash of each phrase of ``size`` words, from the hashes of words in a row."""
     n = max(len(hashes) - size + 1, 0)
     mixed = np.zeros(n, np.uint64)
     for i in range(size):
-        mixed = (mixed ^ hashes[i : i + n]) * _MIX
-        mixed ^= mixed >> np.uint64(29)
+        mixed = _mixed(mixed, hashes[i : i + n])
     return mixed
 
 
+def _checks(prefixes: np.ndarray) -> np.ndarray:
+    """32 bits of the hashes of prefixes."""
+    return (prefixes >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
+def _ticket(text: bytes | None) -> int:
+    """The ticket of a text: the same wherever and whenever it is read."""
+    return xxhash.xxh32_intdigest(text or b"") & ((1 << TICKET_BITS) - 1)
+
+
 def _marked(phrases: np.ndarray, bitmap: np.ndarray, slots: int) -> np.ndarray:
     at = (phrases & np.uint64(slots - 1)).astype(np.int64)
     return ((bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool)
 
 
+def _named_here(phrases: np.ndarray, tickets: np.ndarray, bitmap: np.ndarray, slots: int) -> np.ndarray:
+    """Where both slots of a phrase and its text's ticket are marked; see ``mark_tickets``."""
+    tickets = tickets.astype(np.uint64) << np.uint64(TICKET_AT)
+    found = _marked(phrases ^ tickets, bitmap, slots)
+    at = np.flatnonzero(found)
+    found[at] = _marked((phrases[at] >> np.uint64(32)) ^ tickets[at], bitmap, slots)
+    return found
+
+
 def _unbroken(words: np.ndarray, size: int) -> np.ndarray:
     """Where ``size`` words lie in one piece."""
     n = max(len(words) - size + 1, 0)
@@ -72,23 +103,30 @@ def _unbroken(words: np.ndarray, size: int) -> np.ndarray:
     return whole
 
 
-def _stretches(batches: Iterator[pa.RecordBatch], longest: int) -> Iterator[tuple[str, list[bytes]]]:
-    """The words of each language, CHUNK of them and as many more as a phrase may reach beyond."""
-    waiting: dict[str, list[bytes]] = {}
+def _stretches(batches: Iterator[pa.RecordBatch], longest: int) -> Iterator[tuple[str, list[bytes], np.ndarray]]:
+    """The words of each language and their texts' tickets, CHUNK of them and as many more as a phrase may reach beyond."""
+    waiting: dict[str, tuple[list[bytes], list[int], list[int]]] = {}
+
+    def cut(lang: str) -> Iterator[tuple[str, list[bytes], np.ndarray]]:
+        words, tickets, ends = waiting.pop(lang)
+        return _cut(lang, words, longest, np.repeat(np.array(tickets, np.int32), np.diff(ends, prepend=0)))
+
     for batch in batches:
         for lang, text in zip(values(batch.column(0)), values(batch.column(1))):
-            words = waiting.setdefault(lang, [])
+            words, tickets, ends = waiting.setdefault(lang, ([], [], []))
             words += words_of(text)
             words.append(MARK)
+            tickets.append(_ticket(text))
+            ends.append(len(words))
             if len(words) > CHUNK:
-                yield from _cut(lang, waiting.pop(lang), longest)
-    for lang, words in waiting.items():
-        yield from _cut(lang, words, longest)
+                yield from cut(lang)
+    for lang in [*waiting]:
+        yield from cut(lang)
 
 
-def _cut(lang: str, words: list[bytes], longest: int) -> Iterator[tuple[str, list[bytes]]]:
+def _cut(lang: str, words: list[bytes], longest: int, *beside: np.ndarray) -> Iterator[tuple]:
     for start in range(0, len(words), CHUNK):
-        yield lang, words[start : start + CHUNK + longest - 1]
+        yield lang, *(x[start : start + CHUNK + longest - 1] for x in (words, *beside))
 
 
 def _texts(docs: DataFrame, text_column: str, lang_column: str, no_lang: str) -> DataFrame:
@@ -144,32 +182,42 @@ def hash_words(words: DataFrame) -> DataFrame:
 
 
 def hash_phrases(texts: DataFrame, size: int, bitmap: np.ndarray, least: int, slots: int = SLOTS) -> DataFrame:
-    """Rows (key): hashes of phrases of ``size`` words that occur ``least`` times and may be frequent."""
+    """Rows (key, check, f, ticket) of the phrases of ``size`` words that occur ``least`` times: the
+    entries of the stripes, by the hash of the phrase and bits of its prefix's."""
     shared = texts.sparkSession.sparkContext.broadcast(bitmap)
-
-    def counted(held: list[np.ndarray]) -> pa.RecordBatch:
-        keys, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *held]), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], ["key", "f"])
+    names = ["key", "check", "f", "ticket"]
+
+    def counted(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        empty = (np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32))
+        keys, checks, tickets = map(np.concatenate, zip(empty, *held))
+        order = np.argsort(keys)
+        keys, checks, tickets = keys[order], checks[order], tickets[order]
+        starts = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (checks[1:] != checks[:-1]))[: len(keys)])
+        least_tickets = np.minimum.reduceat(tickets, starts) if len(starts) else tickets
+        columns = [keys[starts].view(np.int64), checks[starts], np.diff(starts, append=len(keys)), least_tickets]
+        return pa.RecordBatch.from_arrays([*map(pa.array, columns)], names)
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, _Hashes] = {}
         held, total = [], 0
-        for lang, words in _stretches(batches, size):
-            names = known.setdefault(lang, _Hashes(lang))
-            hashes = np.fromiter(map(names.__getitem__, words), np.uint64, len(words))
+        for lang, words, tickets in _stretches(batches, size):
+            known_here = known.setdefault(lang, _Hashes(lang))
+            hashes = np.fromiter(map(known_here.__getitem__, words), np.uint64, len(words))
             if sum(map(len, known.values())) > KNOWN:
                 known = {}
-            marked = _marked(_phrases(hashes, size - 1), shared.value, slots)
-            keys = _phrases(hashes, size)
-            held.append(keys[marked[: len(keys)] & marked[1 : len(keys) + 1] & _unbroken(hashes, size)])
-            total += len(held[-1])
+            prefixes = _phrases(hashes, size - 1)
+            marked = _marked(prefixes, shared.value, slots)
+            n = max(len(hashes) - size + 1, 0)
+            at = np.flatnonzero(marked[:n] & marked[1 : n + 1] & _unbroken(hashes, size))
+            held.append((_mixed(prefixes[at], hashes[at + size - 1]), _checks(prefixes[at]), tickets[at]))
+            total += len(at)
             if total > HASHES:
                 yield counted(held)
                 held, total = [], 0
         yield counted(held)
 
-    found = texts.mapInArrow(of_batches, "key long, f long").groupBy("key").agg(F.sum("f").alias("f"))
-    return found.where(F.col("f") >= least).select("key")
+    found = texts.mapInArrow(of_batches, "key long, check int, f long, ticket int")
+    return found.groupBy("key", "check").agg(F.sum("f").alias("f"), F.min("ticket").alias("ticket")).where(F.col("f") >= least)
 
 
 def mark(keys: DataFrame, slots: int = SLOTS) -> np.ndarray:
@@ -183,6 +231,13 @@ def mark(keys: DataFrame, slots: int = SLOTS) -> np.ndarray:
     return bitmap
 
 
+def mark_tickets(entries: DataFrame, slots: int = SLOTS) -> np.ndarray:
+    """The bitmap of entries with their tickets, two slots each."""
+    ticket = F.shiftleft(F.col("ticket").cast("long"), TICKET_AT)
+    both = F.array(F.col("key").bitwiseXOR(ticket), F.shiftrightunsigned("key", 32).bitwiseXOR(ticket))
+    return mark(entries.select(F.explode(both).alias("key")), slots)
+
+
 class _Names(dict):
     """Numbers of a language's words, given as they come; number 0 is the MARK."""
 
@@ -211,16 +266,20 @@ class _Stripes:
         self.entries = 0
 
     def full(self) -> bool:
-        return self.entries > ENTRIES or len(self.words) > (1 << _ID_BITS) - 2 * CHUNK - 16
+        return self.entries > ENTRIES or len(self.words) > min(KNOWN, (1 << _ID_BITS) - 2 * CHUNK - 16)
 
-    def add(self, lang: str, words: list[bytes]) -> None:
-        """Count the marked phrases that start in the first CHUNK words."""
+    def add(self, lang: str, words: list[bytes], tickets: np.ndarray | None = None) -> None:
+        """Count the marked phrases that start in the first CHUNK words; with tickets, those named here."""
         names = self.names.setdefault(lang, _Names(lang, self.words, self.hashes))
         ids = np.fromiter(map(names.__getitem__, words), np.int64, len(words))
         hashes = np.frombuffer(self.hashes, np.uint64)[ids]
         for size, bitmap in self.bitmaps.items():
-            wanted = _marked(_phrases(hashes, size), bitmap, self.slots) & _unbroken(ids, size)
-            at = np.flatnonzero(wanted[:CHUNK])
+            phrases = _phrases(hashes, size)
+            if tickets is None:
+                wanted = _marked(phrases, bitmap, self.slots)
+            else:
+                wanted = _named_here(phrases, tickets[: len(phrases)], bitmap, self.slots)
+            at = np.flatnonzero((wanted & _unbroken(ids, size))[:CHUNK])
             prefix = ids[at]
             for i in range(1, size - 1):
                 prefix = (prefix << _ID_BITS) | ids[at + i]
@@ -237,37 +296,57 @@ class _Stripes:
                     self.entries += 1
 
     def rows(self) -> pa.RecordBatch:
+        """A row for each prefix: its stripe, the bits of its hash and the hashes of the phrases, in the stripe's order."""
         langs, sizes, prefixes, ends, nexts, counts = [], [], [], [0], [], []
-        low = (1 << _ID_BITS) - 1
+        checks, keys = [np.zeros(0, np.int32)], [np.zeros(0, np.uint64)]
+        hashes, low = np.array(self.hashes, np.uint64), (1 << _ID_BITS) - 1
         for (lang, size), stripes in self.stripes.items():
-            for p, stripe in stripes.items():
+            hashed = np.zeros(len(stripes), np.uint64)
+            numbers = [[(p >> shift) & low for p in stripes] for shift in range((size - 2) * _ID_BITS, -1, -_ID_BITS)]
+            for column in numbers:
+                hashed = _mixed(hashed, hashes[np.array(column, np.int64)])
+            after = np.array([w for stripe in stripes.values() for w in stripe], np.int64)
+            checks.append(_checks(hashed))
+            keys.append(_mixed(np.repeat(hashed, [*map(len, stripes.values())]), hashes[after]))
+            for words, stripe in zip(zip(*numbers), stripes.values()):
                 langs.append(lang)
                 sizes.append(size)
-                prefixes.append(b" ".join([self.words[(p >> shift) & low] for shift in range((size - 2) * _ID_BITS, -1, -_ID_BITS)]).decode())
+                prefixes.append(b" ".join([self.words[w] for w in words]).decode())
                 nexts += [self.words[w].decode() for w in stripe]
                 counts += stripe.values()
                 ends.append(len(nexts))
-        stripe = pa.MapArray.from_arrays(pa.array(ends, pa.int32()), pa.array(nexts, pa.string()), pa.array(counts, pa.int64()))
-        columns = [pa.array(langs, pa.string()), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.string()), stripe]
-        return pa.RecordBatch.from_arrays(columns, ["lang", "size", "prefix", "stripe"])
+        ends = pa.array(ends, pa.int32())
+        stripe = pa.MapArray.from_arrays(ends, pa.array(nexts, pa.string()), pa.array(counts, pa.int64()))
+        key = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(keys).view(np.int64)))
+        columns = [pa.array(langs, pa.string()), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.string()), stripe, pa.array(np.concatenate(checks)), key]
+        return pa.RecordBatch.from_arrays(columns, ["lang", "size", "prefix", "stripe", "check", "keys"])
 
 
-def count_stripes(texts: DataFrame, bitmaps: dict[int, np.ndarray], least: int, slots: int = SLOTS) -> DataFrame:
-    """Rows (lang, size, prefix, next, f) of the phrases that occur ``least`` times; bitmaps by their size."""
+def task_stripes(texts: DataFrame, bitmaps: dict[int, np.ndarray], slots: int = SLOTS) -> DataFrame:
+    """Rows (lang, size, prefix, stripe, check, keys): the stripes in words, each entry from texts with
+    its ticket; bitmaps of tickets by the size of phrases."""
     shared = texts.sparkSession.sparkContext.broadcast(bitmaps)
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stripes = _Stripes(shared.value, slots)
-        for lang, words in _stretches(batches, max(shared.value)):
-            stripes.add(lang, words)
+        for stretch in _stretches(batches, max(shared.value)):
+            stripes.add(*stretch)
             if stripes.full():
                 yield stripes.rows()
                 stripes.clear()
         yield stripes.rows()
 
-    found = texts.mapInArrow(of_batches, "lang string, size int, prefix string, stripe map<string, long>")
-    entries = found.select("lang", "size", "prefix", F.explode("stripe").alias("next", "f"))
-    return entries.groupBy("lang", "size", "prefix", "next").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
+    return texts.mapInArrow(of_batches, "lang string, size int, prefix string, stripe map<string, long>, check int, keys array<long>")
+
+
+def count_stripes(texts: DataFrame, entries: dict[int, DataFrame], slots: int = SLOTS) -> DataFrame:
+    """Rows (lang, size, prefix, next, f) of the merged entries, given by the size of phrases."""
+    found = task_stripes(texts, {size: mark_tickets(rows, slots) for size, rows in entries.items()}, slots)
+    found = found.select("lang", "size", "prefix", "check", "keys", F.posexplode(F.map_keys("stripe")).alias("at", "next"))
+    found = found.withColumn("key", F.col("keys")[F.col("at")]).drop("keys", "at")
+    counts = [rows.select(F.lit(size).alias("size"), "key", "check", "f") for size, rows in entries.items()]
+    named = found.dropDuplicates(["lang", "size", "prefix", "next"]).join(reduce(DataFrame.unionByName, counts), ["size", "key", "check"])
+    return named.select("lang", "size", "prefix", "next", "f")
 
 
 def collocations(
@@ -287,10 +366,12 @@ def collocations(
     texts = _texts(docs, text_column, lang_column, no_lang)
     words = settle(count_words(texts).where((F.col("f") >= least) | F.col("word").isNull()), "collocation-words")
     known = words.where("word IS NOT NULL")
-    bitmaps, marks = {}, mark(hash_words(known), slots)
+    entries, marks = {}, mark(hash_words(known), slots)
     for size in range(2, longest + 1):
-        bitmaps[size] = marks = mark(settle(hash_phrases(texts, size, marks, least, slots), f"collocation-hashes-{size}"), slots)
-    stripes = settle(count_stripes(texts, bitmaps, least, slots), "collocation-stripes")
+        entries[size] = settle(hash_phrases(texts, size, marks, least, slots), f"collocation-hashes-{size}")
+        if size < longest:
+            marks = mark(entries[size], slots)
+    stripes = settle(count_stripes(texts, entries, slots), "collocation-stripes")
     scored = _scored(stripes, known).join(_longer(stripes), ["lang", "phrase"], "left")
     scored = scored.where(F.coalesce(100 * F.col("longer") < subsumed_percent * F.col("a"), F.lit(True)))
     totals = words.where("word IS NULL").select("lang", F.col("f").alias("n"))

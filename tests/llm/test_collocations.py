@@ -105,3 +105,22 @@ def test_top_and_ties(spark):
     rows = [("en", "b c. a b. c d. ")] * 30 + [("fr", "b c")] * 30
     found = collocations.collocations(table(spark, rows), top=2).collect()
     assert sorted(map(tuple, found)) == plain(rows, top=2) and len(found) == 3
+
+
+def test_one_task_names_a_phrase_that_all_meet(spark):
+    """Each of 16 tasks made a row of every prefix before: 3,184 rows."""
+    words = [f"w{i}" for i in range(200)]
+    rows = [("en", " ".join(words) + f". x{i}") for i in range(64)]
+    texts = collocations._texts(table(spark, rows).repartition(16), "text", "lang", "und")
+    known = collocations.count_words(texts).where("word IS NOT NULL AND f >= 30")
+    entries = {2: collocations.hash_phrases(texts, 2, collocations.mark(collocations.hash_words(known)), 30)}
+    made = collocations.task_stripes(texts, {2: collocations.mark_tickets(entries[2])})
+    assert made.count() == 199
+    found = {(r["prefix"], r["next"], r["f"]) for r in collocations.count_stripes(texts, entries).collect()}
+    assert found == {(a, b, 64) for a, b in zip(words, words[1:])}
+
+
+def test_copies_and_tickets_in_many_parts_lose_no_phrase(spark):
+    rows = [*mixed(3, 200)] + [("en", "only in copies, only in copies")] * 40
+    found = collocations.collocations(table(spark, rows).repartition(13), least=20)
+    assert sorted(map(tuple, found.collect())) == plain(rows, least=20)
