@@ -103,8 +103,11 @@ def _unbroken(words: np.ndarray, size: int) -> np.ndarray:
     return whole
 
 
-def _stretches(batches: Iterator[pa.RecordBatch], longest: int) -> Iterator[tuple[str, list[bytes], np.ndarray]]:
-    """The words of each language and their texts' tickets, CHUNK of them and as many more as a phrase may reach beyond."""
+def _stretches(batches: Iterator[pa.RecordBatch], longest: int, kept: np.ndarray | None = None) -> Iterator[tuple[str, list[bytes], np.ndarray]]:
+    """The words of each language and their texts' tickets, CHUNK of them and as many more as a phrase may reach beyond.
+
+    If the bitmap of the tickets that entries keep is given, other texts are left out, as they name nothing.
+    """
     waiting: dict[str, tuple[list[bytes], list[int], list[int]]] = {}
 
     def cut(lang: str) -> Iterator[tuple[str, list[bytes], np.ndarray]]:
@@ -113,10 +116,13 @@ def _stretches(batches: Iterator[pa.RecordBatch], longest: int) -> Iterator[tupl
 
     for batch in batches:
         for lang, text in zip(values(batch.column(0)), values(batch.column(1))):
+            ticket = _ticket(text)
+            if kept is not None and not kept[ticket >> 3] >> (ticket & 7) & 1:
+                continue
             words, tickets, ends = waiting.setdefault(lang, ([], [], []))
             words += words_of(text)
             words.append(MARK)
-            tickets.append(_ticket(text))
+            tickets.append(ticket)
             ends.append(len(words))
             if len(words) > CHUNK:
                 yield from cut(lang)
@@ -322,14 +328,17 @@ class _Stripes:
         return pa.RecordBatch.from_arrays(columns, ["lang", "size", "prefix", "stripe", "check", "keys"])
 
 
-def task_stripes(texts: DataFrame, bitmaps: dict[int, np.ndarray], slots: int = SLOTS) -> DataFrame:
+def task_stripes(texts: DataFrame, entries: dict[int, DataFrame], slots: int = SLOTS) -> DataFrame:
     """Rows (lang, size, prefix, stripe, check, keys): the stripes in words, each entry from texts with
-    its ticket; bitmaps of tickets by the size of phrases."""
-    shared = texts.sparkSession.sparkContext.broadcast(bitmaps)
+    its ticket; entries by the size of phrases."""
+    tickets = reduce(DataFrame.unionByName, [rows.select(F.col("ticket").cast("long").alias("key")) for rows in entries.values()])
+    kept = mark(tickets, 1 << TICKET_BITS)
+    shared = texts.sparkSession.sparkContext.broadcast(({size: mark_tickets(rows, slots) for size, rows in entries.items()}, kept))
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stripes = _Stripes(shared.value, slots)
-        for stretch in _stretches(batches, max(shared.value)):
+        bitmaps, kept = shared.value
+        stripes = _Stripes(bitmaps, slots)
+        for stretch in _stretches(batches, max(bitmaps), kept):
             stripes.add(*stretch)
             if stripes.full():
                 yield stripes.rows()
@@ -341,8 +350,7 @@ def task_stripes(texts: DataFrame, bitmaps: dict[int, np.ndarray], slots: int =
 
 def count_stripes(texts: DataFrame, entries: dict[int, DataFrame], slots: int = SLOTS) -> DataFrame:
     """Rows (lang, size, prefix, next, f) of the merged entries, given by the size of phrases."""
-    found = task_stripes(texts, {size: mark_tickets(rows, slots) for size, rows in entries.items()}, slots)
-    found = found.select("lang", "size", "prefix", "check", "keys", F.posexplode(F.map_keys("stripe")).alias("at", "next"))
+    found = task_stripes(texts, entries, slots).select("lang", "size", "prefix", "check", "keys", F.posexplode(F.map_keys("stripe")).alias("at", "next"))
     found = found.withColumn("key", F.col("keys")[F.col("at")]).drop("keys", "at")
     counts = [rows.select(F.lit(size).alias("size"), "key", "check", "f") for size, rows in entries.items()]
     named = found.dropDuplicates(["lang", "size", "prefix", "next"]).join(reduce(DataFrame.unionByName, counts), ["size", "key", "check"])
