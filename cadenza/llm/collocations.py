@@ -3,7 +3,8 @@
 Stripes: each prefix keys an associative counter of the words that follow it. A task makes the
 entries of its stripes from hashes, and they are merged entry by entry over the cluster, so no
 stripe has to fit in one task. The merged table gives the counts of all phrases, and the greatest
-entry of a prefix or of a suffix. An entry goes by 64 bits of its phrase and 32 of its prefix.
+entry of a prefix or of a suffix. An entry goes by 64 bits of its phrase and 32 more of its
+prefix, a word by 64 bits.
 
 A phrase can only be frequent if its first and its last words without one are. So entries are
 counted level by level, and the slots of the frequent ones marked in a bitmap of fixed size. A
@@ -42,7 +43,7 @@ KNOWN = 500_000
 #: Bits of a ticket, and where they lie in a slot.
 TICKET_BITS, TICKET_AT = 16, 10
 _ID_BITS = 21
-_MIX = np.uint64(0x9E3779B97F4A7C15)
+_MIX, _OTHER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -70,9 +71,12 @@ def _phrases(hashes: np.ndarray, size: int) -> np.ndarray:
     return mixed
 
 
-def _checks(prefixes: np.ndarray) -> np.ndarray:
-    """32 bits of the hashes of prefixes."""
-    return (prefixes >> np.uint64(32)).astype(np.uint32).view(np.int32)
+def _checks(hashes: list[np.ndarray]) -> np.ndarray:
+    """32 bits of prefixes, from the hashes of their words; prefixes of one hash in ``_phrases`` differ here."""
+    total = np.zeros(len(hashes[0]), np.uint64)
+    for column in hashes:
+        total = (total + column) * _OTHER
+    return (total >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def _ticket(text: bytes | None) -> int:
@@ -215,7 +219,7 @@ def hash_phrases(texts: DataFrame, size: int, bitmap: np.ndarray, least: int, sl
             marked = _marked(prefixes, shared.value, slots)
             n = max(len(hashes) - size + 1, 0)
             at = np.flatnonzero(marked[:n] & marked[1 : n + 1] & _unbroken(hashes, size))
-            held.append((_mixed(prefixes[at], hashes[at + size - 1]), _checks(prefixes[at]), tickets[at]))
+            held.append((_mixed(prefixes[at], hashes[at + size - 1]), _checks([hashes[at + i] for i in range(size - 1)]), tickets[at]))
             total += len(at)
             if total > HASHES:
                 yield counted(held)
@@ -309,10 +313,11 @@ class _Stripes:
         for (lang, size), stripes in self.stripes.items():
             hashed = np.zeros(len(stripes), np.uint64)
             numbers = [[(p >> shift) & low for p in stripes] for shift in range((size - 2) * _ID_BITS, -1, -_ID_BITS)]
-            for column in numbers:
-                hashed = _mixed(hashed, hashes[np.array(column, np.int64)])
+            columns = [hashes[np.array(column, np.int64)] for column in numbers]
+            for column in columns:
+                hashed = _mixed(hashed, column)
             after = np.array([w for stripe in stripes.values() for w in stripe], np.int64)
-            checks.append(_checks(hashed))
+            checks.append(_checks(columns))
             keys.append(_mixed(np.repeat(hashed, [*map(len, stripes.values())]), hashes[after]))
             for words, stripe in zip(zip(*numbers), stripes.values()):
                 langs.append(lang)

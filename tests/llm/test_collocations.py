@@ -123,3 +123,11 @@ def test_copies_and_tickets_in_many_parts_lose_no_phrase(spark):
     rows = [*mixed(3, 200)] + [("en", "only in copies, only in copies")] * 40
     found = collocations.collocations(table(spark, rows).repartition(13), least=20)
     assert sorted(map(tuple, found.collect())) == plain(rows, least=20)
+
+
+def test_prefixes_of_one_hash_stay_apart():
+    first = np.array([5, 9], np.uint64)
+    second = collocations._phrases(first[:1], 1)[0] ^ collocations._phrases(first[1:], 1)[0] ^ np.uint64(7)
+    hashes = [first, np.array([7, second], np.uint64)]
+    pairs = [collocations._phrases(np.array(pair, np.uint64), 2)[0] for pair in zip(*hashes)]
+    assert pairs[0] == pairs[1] and len(set(collocations._checks(hashes).tolist())) == 2
