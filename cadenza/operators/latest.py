@@ -13,12 +13,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def latest_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+def latest_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str] = (), numbered: bool = True) -> DataFrame:
     """Keep the row with the greatest ``order`` for each key.
 
     The remaining columns break ties, so the kept row does not depend on arrival order.
+    ``numbered=False`` shuffles by the keys alone, for a layout that goes by them.
     """
-    return _extreme(rows, keys, order, F.max)
+    return _extreme(rows, keys, order, F.max, numbered)
 
 
 def first_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
@@ -27,12 +28,12 @@ def first_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str] = (
 
 
 def _extreme(rows: DataFrame, keys: Sequence[str], order: Sequence[str],
-             pick: Callable[[Column], Column]) -> DataFrame:
+             pick: Callable[[Column], Column], numbered: bool = True) -> DataFrame:
     rest = [c for c in rows.columns if c not in keys and c not in order]
     if not order and not rest:
         return rows.distinct()
     # Rows are sorted by key for this; a number in front decides nearly every comparison.
-    number = [F.xxhash64(*keys)] if keys else []
+    number = [F.xxhash64(*keys)] if keys and numbered else []
     kept = rows.groupBy(*number, *keys).agg(pick(F.struct(*order, *rest)).alias("kept"))
     return kept.select(*keys, "kept.*").select(*rows.columns)
 

@@ -1,7 +1,7 @@
 """Batch clustering of songs: normalise, choose K, fit, profile.
 
-One cached frame, laid out by id, feeds every fit. Only K-sized results reach the driver:
-centres, one metrics row per candidate and the run row.
+One frame, laid out by id, is written once; its features, kept as packed points, feed every fit. Only K-sized results reach the driver: centres, one metrics row per candidate and
+the run row.
 """
 
 from __future__ import annotations
@@ -10,12 +10,8 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
-from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.functions import array_to_vector
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,12 +23,17 @@ from cadenza.operators.latest import latest_per_key
 from cadenza.operators.profiles import (
     SOURCE_TOPIC, assignment_signals, assignments, by_genre, cluster_profiles, profile_signals,
 )
+from cadenza.operators.scoring import Centroid, nearest_centroid
+from cadenza.plans.kmeans import PLACE, fit_all, packed, placed
 from cadenza.schemas import BATCH_RUN, CLUSTER_METRIC
-from cadenza.sinks.tables import replace_run
+from cadenza.session import scratch_folder
+from cadenza.sinks.tables import FREED_SHUFFLES, replace_run, settings, write_once
 
-VECTOR = "features_vec"
 # Rows of a training frame for one task.
 ROWS_PER_TASK = 250_000
+# Points that a task reads in a pass, and pieces of a scan that make up a task.
+POINTS_PER_TASK = 2_000_000
+SCANS_PER_TASK = 4
 # Result tables, parents first: field of ClusteringResult and primary key.
 RESULT_TABLES = {
     "runs": ("run", ("run_id",)),
@@ -58,15 +59,14 @@ class ClusteringConfig:
     source_topic: str = SOURCE_TOPIC
     # Fixed width of the training frame: fits repeat only with the same layout.
     partitions: int | None = None
-    # Fits of the sweep at the same time; more than one pays off on small data only, since
-    # each keeps its own rows in memory.
+    # Fits of the sweep at the same time: they share their passes over the points.
     parallelism: int = 1
 
 
 @dataclass(frozen=True)
 class Fit:
     k: int
-    model: KMeansModel
+    centres: Sequence[Sequence[float]]
     silhouette: float
     cost: float | None
     clusters_found: int
@@ -94,10 +94,10 @@ def parse_ks(text: str, fallback: Sequence[int] = (6, 8, 10, 12)) -> tuple[int,
     return tuple(sorted(k for k in found if k > 1)) or tuple(fallback)
 
 
-def normalise_songs(metadata: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+def normalise_songs(metadata: DataFrame, order: Sequence[str] = (), numbered: bool = True) -> DataFrame:
     """M1: one clamped feature row per song; songs without every feature are left out.
 
-    ``order`` names columns that say which copy of a song is newer.
+    ``order`` names columns that say which copy of a song is newer, ``numbered`` is that of ``latest_per_key``.
     """
     raw = [F.col(RAW_OF[f]) for f in FEATURES]
     complete = metadata.filter(F.col("song_id").isNotNull() & all_measured(raw))
@@ -108,37 +108,43 @@ def normalise_songs(metadata: DataFrame, order: Sequence[str] = ()) -> DataFrame
         *[model_feature(f, F.col(RAW_OF[f])).alias(f) for f in FEATURES],
         *order,
     )
-    return latest_per_key(rows, ["song_id"], list(order)).drop(*order)
+    return latest_per_key(rows, ["song_id"], list(order), numbered).drop(*order)
 
 
-def training_frame(songs: DataFrame, partitions: int, features: Sequence[str] = FEATURES) -> DataFrame:
-    """M2: feature vectors in a layout that depends on the ids alone."""
-    vector = array_to_vector(F.array(*[F.col(f).cast("double") for f in features]))
-    return (
-        songs.withColumn(VECTOR, vector)
-        .repartition(partitions, "song_id")
-        .sortWithinPartitions("song_id")
-    )
+def training_frame(songs: DataFrame, partitions: int) -> DataFrame:
+    """M2: songs in a layout that depends on the ids alone, with their place in it."""
+    return placed(songs.repartition(partitions, "song_id").sortWithinPartitions("song_id"))
 
 
-def fit(frame: DataFrame, k: int, config: ClusteringConfig) -> Fit:
-    """One K-Means fit with its quality measures."""
-    estimator = KMeans(
-        k=k, seed=config.seed, maxIter=config.max_iter, tol=config.tol,
-        featuresCol=VECTOR, predictionCol="cluster_id",
-    )
-    # The vector alone is not a cached frame, so the estimator keeps its own rows in memory.
-    model = estimator.fit(frame.select(VECTOR))
-    evaluator = ClusteringEvaluator(
-        featuresCol=VECTOR, predictionCol="cluster_id", metricName="silhouette",
-        distanceMeasure="squaredEuclidean",
-    )
-    summary = model.summary if model.hasSummary else None
-    found = sum(n > 0 for n in summary.clusterSizes) if summary else k
-    return Fit(
-        k, model, evaluator.evaluate(model.transform(frame)),
-        summary.trainingCost if summary else None, found,
-    )
+def laid_out(metadata: DataFrame, partitions: int) -> tuple[DataFrame, dict[str, str]]:
+    """M1/M2: all songs in the same layout, and the settings to write them with.
+
+    With these the shuffle that gathers the copies of a song is the layout; there is no second one.
+    """
+    rows = placed(normalise_songs(metadata, numbered=False).sortWithinPartitions("song_id"))
+    return rows, {"spark.sql.shuffle.partitions": str(partitions), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+
+
+def training_points(frame: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
+    """M2: the features of a training frame as packed points, kept until they are released.
+
+    Every round reads them, so there are as many equal tasks as fill the cores, once or several times.
+    """
+    spark = frame.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    tasks = cores * -(-frame.count() // (cores * POINTS_PER_TASK))
+    points = packed(frame, features).coalesce(tasks).persist(StorageLevel.MEMORY_AND_DISK)
+    with settings(spark, {"spark.sql.files.minPartitionNum": str(SCANS_PER_TASK * tasks)}):
+        points.count()
+    return points
+
+
+def fit(points: DataFrame, ks: Sequence[int], config: ClusteringConfig, partitions: int, features: Sequence[str] = FEATURES) -> list[Fit]:
+    """One K-Means fit for each K with its quality measures."""
+    if min(ks) < 2:
+        raise ValueError("K must be above 1")
+    found = fit_all(points, len(features), ks, config.seed, config.max_iter, config.tol, partitions)
+    return [Fit(k, c.centres.tolist(), c.silhouette, c.cost, int((c.sizes > 0).sum())) for k, c in zip(ks, found)]
 
 
 def best_k(candidates: Sequence[Fit]) -> int:
@@ -149,11 +155,11 @@ def best_k(candidates: Sequence[Fit]) -> int:
     return min(candidates, key=rank).k
 
 
-def centroid_table(spark: SparkSession, run_id: str, model: KMeansModel,
+def centroid_table(spark: SparkSession, run_id: str, centres: Sequence[Sequence[float]],
                    features: Sequence[str] = FEATURES) -> DataFrame:
     """One wide row per centre."""
     schema = "run_id string, cluster_id int, " + ", ".join(f"centroid_{f} double" for f in features)
-    rows = [(run_id, i, *map(float, c)) for i, c in enumerate(model.clusterCenters())]
+    rows = [(run_id, i, *map(float, c)) for i, c in enumerate(centres)]
     return spark.createDataFrame(rows, schema).withColumn("created_at", F.current_timestamp())
 
 
@@ -169,11 +175,10 @@ def metric_rows(config: ClusteringConfig, candidates: Sequence[Fit], final: Fit,
     ]
 
 
-def sweep(frame: DataFrame, config: ClusteringConfig) -> list[Fit]:
+def sweep(points: DataFrame, config: ClusteringConfig, partitions: int) -> list[Fit]:
     """M6: fit every candidate K on the selection rows."""
-    with ThreadPool(min(config.parallelism, len(config.candidate_ks))) as pool:
-        one = inheritable_thread_target(frame.sparkSession)(lambda k: fit(frame, k, config))
-        return pool.map(one, config.candidate_ks)
+    ks, step = config.candidate_ks, max(1, config.parallelism)
+    return [f for i in range(0, len(ks), step) for f in fit(points, ks[i : i + step], config, partitions)]
 
 
 def partitions_for(rows: int) -> int:
@@ -185,34 +190,48 @@ def run_clustering(metadata: DataFrame, config: ClusteringConfig) -> ClusteringR
     """The whole batch job as lazy result frames; call ``release`` after writing them."""
     spark = metadata.sparkSession
     started = dt.datetime.now(dt.timezone.utc)
-    songs = first_rows(normalise_songs(metadata), ["song_id"], config.max_rows)
     raw_rows = metadata.count()
     width = config.partitions or partitions_for(raw_rows)
-    frame = training_frame(songs, width).persist(StorageLevel.MEMORY_AND_DISK)
-    cached = [frame]
-    rows = frame.count()
-    if not rows:
-        frame.unpersist()
-        raise ValueError("no song has an id and all features")
-
-    selection = bernoulli_sample(frame, config.selection_fraction, config.seed)
-    sampled = selection is not frame
+    root, sampled = scratch_folder(spark, "clustering"), 0 < config.selection_fraction < 1
+    if sampled or config.max_rows:
+        laid = training_frame(first_rows(normalise_songs(metadata), ["song_id"], config.max_rows), width)
+        layout = FREED_SHUFFLES
+    else:
+        laid, layout = laid_out(metadata, width)
     if sampled:
-        selection = selection.persist(StorageLevel.MEMORY_AND_DISK)
-        cached.append(selection)
-    selection_rows = selection.count() if sampled else rows
-
-    candidates = sweep(selection, config)
+        laid = laid.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        frame = write_once(laid, f"{root}/songs", layout, compression="zstd")
+        rows = frame.count()
+        if not rows:
+            raise ValueError("no song has an id and all features")
+        if sampled:
+            selection = placed(bernoulli_sample(laid, config.selection_fraction, config.seed))
+            selection = write_once(selection.select(PLACE, *FEATURES), f"{root}/selection", compression="zstd")
+            selection_rows = selection.count()
+        else:
+            selection, selection_rows = frame, rows
+    finally:
+        if sampled:
+            laid.unpersist()
+
+    points = training_points(selection)
+    candidates = sweep(points, config, width)
     recommended = best_k(candidates)
     final_k = config.final_k or recommended
     # Without sampling, the winning candidate already is the fit of the whole frame.
     reusable = {} if sampled else {c.k: c for c in candidates}
-    final = reusable.get(final_k) or fit(frame, final_k, config)
-
-    assigned = final.model.transform(frame).drop(VECTOR)
-    centroids = centroid_table(spark, config.run_id, final.model)
+    if sampled:
+        points.unpersist()
+        points = training_points(frame)
+    final = reusable.get(final_k) or fit(points, [final_k], config, width)[0]
+    points.unpersist()
+
+    centres = [Centroid(i, tuple(c)) for i, c in enumerate(final.centres)]
+    nearest = nearest_centroid([F.col(f) for f in FEATURES], centres)["cluster_id"]
+    assigned = frame.drop(PLACE).withColumn("cluster_id", nearest)
+    centroids = centroid_table(spark, config.run_id, final.centres)
     genres = by_genre(assigned).persist(StorageLevel.MEMORY_AND_DISK)
-    cached.append(genres)
     profiles = cluster_profiles(genres, config.run_id)
     now = dt.datetime.now(dt.timezone.utc)
     notes = f"K chosen on {selection_rows} of {rows} songs (share {config.selection_fraction})"
@@ -230,7 +249,7 @@ def run_clustering(metadata: DataFrame, config: ClusteringConfig) -> ClusteringR
         profiles=profiles,
         assignment_signals=assignment_signals(assigned, config.run_id, config.source_topic),
         profile_signals=profile_signals(profiles, centroids, config.source_topic),
-        cached=cached,
+        cached=[genres],
     )
 
 

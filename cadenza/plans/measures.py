@@ -35,6 +35,18 @@ def _dot(a: Sequence[Column], b: Sequence[Column]) -> Column:
     return reduce(lambda x, y: x + y, (p * q for p, q in zip(a, b, strict=True)))
 
 
+def silhouettes(points: np.ndarray, at: np.ndarray, n: np.ndarray, means: np.ndarray, squares: np.ndarray) -> np.ndarray:
+    """The silhouette of each point: ``at`` is its cluster, ``squares`` are the clusters' means of squared norms."""
+    each = np.arange(len(at))
+    gaps = (points * points).sum(1)[:, None] + squares - 2 * points @ means.T
+    own = gaps[each, at] * n[at] / np.maximum(n[at] - 1, 1)
+    gaps[each, at] = np.inf
+    other = gaps.min(1)
+    width = np.maximum(own, other)
+    counted = (n[at] > 1) & (width != 0) & ~np.isposinf(other)
+    return np.divide(other - own, width, out=np.zeros(len(at)), where=counted)
+
+
 def measures(assigned: DataFrame, features: Sequence[str], centres: Sequence[Centroid], k: int | None = None) -> DataFrame:
     """One row (k, n_rows, clusters_found, silhouette, cost).
 
@@ -60,16 +72,9 @@ def measures(assigned: DataFrame, features: Sequence[str], centres: Sequence[Cen
         at = np.searchsorted(ids, rows.column(0).to_numpy(zero_copy_only=False))
         known = np.logical_and.reduce([c.is_valid().to_numpy(zero_copy_only=False) for c in rows.columns])
         points = np.column_stack([c.to_numpy(zero_copy_only=False) for c in rows.columns[1:]])
-        each = np.arange(len(at))
-        gaps = (points * points).sum(1)[:, None] + squares - 2 * points @ means.T
-        own = gaps[each, at] * n[at] / np.maximum(n[at] - 1, 1)
-        gaps[each, at] = np.inf
-        other = gaps.min(1)
-        width = np.maximum(own, other)
-        counted = known & (n[at] > 1) & (width != 0) & ~np.isposinf(other)
         costed = known & with_centre[at]
         distances = points[costed] - own_centre[at[costed]]
-        return [len(at), ((other - own)[counted] / width[counted]).sum(), (distances * distances).sum(), costed.sum()]
+        return [len(at), silhouettes(points, at, n, means, squares)[known].sum(), (distances * distances).sum(), costed.sum()]
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(4)

@@ -2,12 +2,35 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ARRAY_DOCUMENT_ROWS = 100_000
+#: Shuffle files of a query are removed when it ends, not when the driver collects garbage.
+FREED_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
+@contextmanager
+def settings(spark: SparkSession, conf: Mapping[str, str]) -> Iterator[None]:
+    """Session settings for what is planned and run inside."""
+    before = {name: spark.conf.get(name, None) for name in conf}
+    try:
+        for name, value in conf.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def write_once(rows: DataFrame, path: str, conf: Mapping[str, str] = FREED_SHUFFLES, **options: str) -> DataFrame:
+    """A table for later steps: written, its shuffles removed, and read back."""
+    with settings(rows.sparkSession, FREED_SHUFFLES | dict(conf)):
+        rows.write.options(**options).parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def append_table(rows: DataFrame, path: str | None = None, partition_by: str | None = "run_id",
