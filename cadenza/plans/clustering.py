@@ -27,7 +27,7 @@ from cadenza.operators.scoring import Centroid, nearest_centroid
 from cadenza.plans.kmeans import PLACE, fit_all, packed, placed
 from cadenza.schemas import BATCH_RUN, CLUSTER_METRIC
 from cadenza.session import scratch_folder
-from cadenza.sinks.tables import FREED_SHUFFLES, replace_run, settings, write_once
+from cadenza.sinks.tables import FREED_SHUFFLES, SMALL_SCANS, replace_run, settings, write_once
 
 # Rows of a training frame for one task.
 ROWS_PER_TASK = 250_000
@@ -122,7 +122,8 @@ def laid_out(metadata: DataFrame, partitions: int) -> tuple[DataFrame, dict[str,
     With these the shuffle that gathers the copies of a song is the layout; there is no second one.
     """
     rows = placed(normalise_songs(metadata, numbered=False).sortWithinPartitions("song_id"))
-    return rows, {"spark.sql.shuffle.partitions": str(partitions), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    layout = {"spark.sql.shuffle.partitions": str(partitions), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    return rows, layout | SMALL_SCANS
 
 
 def training_points(frame: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
@@ -190,7 +191,8 @@ def run_clustering(metadata: DataFrame, config: ClusteringConfig) -> ClusteringR
     """The whole batch job as lazy result frames; call ``release`` after writing them."""
     spark = metadata.sparkSession
     started = dt.datetime.now(dt.timezone.utc)
-    raw_rows = metadata.count()
+    with settings(spark, FREED_SHUFFLES):
+        raw_rows = metadata.count()
     width = config.partitions or partitions_for(raw_rows)
     root, sampled = scratch_folder(spark, "clustering"), 0 < config.selection_fraction < 1
     if sampled or config.max_rows:

@@ -12,6 +12,9 @@ ARRAY_DOCUMENT_ROWS = 100_000
 #: Shuffle files of a query are removed when it ends, not when the driver collects garbage.
 FREED_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
+#: Sorts of wide rows made from narrow ones fit into memory.
+SMALL_SCANS = {"spark.sql.files.maxPartitionBytes": "16m"}
+
 
 @contextmanager
 def settings(spark: SparkSession, conf: Mapping[str, str]) -> Iterator[None]:
