@@ -19,6 +19,7 @@ from cadenza.operators.genres import mood_gap
 from cadenza.operators.latest import latest_per_key, newest_run
 from cadenza.operators.scoring import collect_centroids, score_songs, unscored_songs
 from cadenza.operators.search import FieldIndex, analysed_documents, indexable, words_of
+from cadenza.sinks.tables import FREED_SHUFFLES, settings
 from cadenza.sinks.upsert import BATCH, KeyedTable, Sink, fan_out, unique_by
 from cadenza.sources.messages import json_objects
 from cadenza.sources.snapshots import export_index, is_recorded, record_snapshot, snapshot_path
@@ -56,7 +57,8 @@ def classify(songs: DataFrame, checkpoint: str, table: KeyedTable,
         centroids = collect_centroids(newest, values)
         asked = unique_by(["song_id"], order)(rows) if order else rows
         scored = score_songs(asked, centroids) if centroids else unscored_songs(asked)
-        table.write(unique_by(["song_id"])(scored), batch_id)
+        with settings(rows.sparkSession, FREED_SHUFFLES):
+            table.write(unique_by(["song_id"])(scored), batch_id)
 
     return run(songs, checkpoint, score, "append", every)
 

@@ -77,10 +77,14 @@ def _line_of(song_id):
     return F.split_part(song_id, F.lit("-"), F.lit(2)).cast("int")
 
 
-def _given_centroids(songs):
-    means = songs.groupBy(_line_of(F.col("song_id")).alias("cluster_id")).agg(
+def _given_means(songs):
+    return songs.groupBy(_line_of(F.col("song_id")).alias("cluster_id")).agg(
         *[F.round(F.avg(f), 9).alias(f) for f in FEATURES]
     )
+
+
+def _given_centroids(songs):
+    means = _given_means(songs)
     return means, collect_centroids(means, F.array(*FEATURES))
 
 

@@ -13,19 +13,23 @@ from cadenza.operators import windows
 from cadenza.operators.lookup import lookup_join
 from cadenza.operators.profiles import profile_signals
 from cadenza.operators.search import match_scores
+from cadenza.plans.clustering import normalise_songs
 from cadenza.schemas import PROFILE_SIGNAL
 from cadenza.session import scratch_folder
-from cadenza.sinks.tables import to_messages
+from cadenza.sinks.tables import FREED_SHUFFLES, SMALL_SCANS, settings, to_messages, write_once
 from cadenza.sinks.upsert import KeyedTable
 from cadenza.sources.messages import parse
 from cadenza.sources.snapshots import index_path, read_snapshots
-from cadenza.sources.tables import PLAY_TYPE, event_stream, listening, songs, stream_path, table
+from cadenza.sources.tables import PLAY_TYPE, event_stream, listening, songs, stream_path, table, track_metadata
 from cadenza.streaming import jobs
 from cadenza.suite import clustering as given
 from cadenza.suite import search as texts
 from cadenza.suite import windows as batch
 from cadenza.suite.registry import naive, query, r9
 
+# Requests say the same names over and over; as plain text they are the largest table of their query.
+REQUEST_CODEC = "gzip"
+
 
 def _play_stream(spark, sf_dir):
     """Plays of the stream with their songs, a stream-static lookup."""
@@ -84,7 +88,9 @@ def stream_bot_suspicion(spark, sf_dir):
 def stream_classify(spark, sf_dir):
     """Requests as messages, scored against the newest profile signals."""
     root = scratch_folder(spark, "classify")
-    means, _ = given._given_centroids(given._songs(spark, sf_dir))
+    # Only the few means are kept: a table of all songs would be read for nothing else.
+    means = given._given_means(normalise_songs(track_metadata(spark, sf_dir)))
+    means = write_once(means, f"{root}/means", SMALL_SCANS)
     centroids = means.select(
         F.lit(given.RUN).alias("run_id"), "cluster_id",
         *[F.col(c).alias(f"centroid_{c}") for c in means.columns if c != "cluster_id"],
@@ -95,7 +101,9 @@ def stream_classify(spark, sf_dir):
     )
     profile_signals(sizes, centroids).write.parquet(f"{root}/signals")
     requests = given.classify_requests(spark, sf_dir)
-    to_messages(requests, F.col("song_id")).select("value").write.text(f"{root}/requests")
+    messages = to_messages(requests, F.col("song_id")).select("value")
+    with settings(spark, FREED_SHUFFLES | SMALL_SCANS):
+        messages.write.option("compression", REQUEST_CODEC).text(f"{root}/requests")
 
     classified = KeyedTable(f"{root}/classified", ("song_id",))
     messages = spark.readStream.format("text").load(f"{root}/requests")
