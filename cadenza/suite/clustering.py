@@ -20,6 +20,7 @@ from cadenza.plans import measures
 from cadenza.plans.centroids import centroid_rows
 from cadenza.schemas import SONG_TO_CLASSIFY
 from cadenza.session import scratch_folder
+from cadenza.sinks.tables import SMALL_SCANS, settings
 from cadenza.sources.tables import table, track_metadata
 from cadenza.suite.registry import query, r9
 
@@ -246,11 +247,12 @@ def kmeans_invariants(spark, sf_dir):
     )
     try:
         centres = collect_centroids(result.centroids, F.array(*[f"centroid_{f}" for f in FEATURES]))
-        best = nearest_centroid([F.col(f) for f in FEATURES], centres, digits=9)["d2"]
-        own = F.coalesce(*[
-            F.when(F.col("cluster_id") == c.cluster_id, nearest_centroid([F.col(f) for f in FEATURES], [c], digits=9)["d2"])
+        # Rounding keeps the order, so the least distance is rounded once and not each of them.
+        best = F.round(nearest_centroid([F.col(f) for f in FEATURES], centres)["d2"], 9)
+        own = F.round(F.coalesce(*[
+            F.when(F.col("cluster_id") == c.cluster_id, nearest_centroid([F.col(f) for f in FEATURES], [c])["d2"])
             for c in centres
-        ])
+        ]), 9)
         songs = result.assignments.agg(F.count("*").alias("n_songs"), F.count_if(own > best).alias("n_not_nearest"))
         sizes = result.profiles.agg(F.sum("cluster_size").alias("sum_of_sizes"))
         metrics = result.metrics.agg(
@@ -258,7 +260,8 @@ def kmeans_invariants(spark, sf_dir):
             F.count_if(F.col("is_recommended") & ~F.col("is_final")).alias("n_recommended"),
             F.count_if("is_final").alias("n_final"),
         )
-        row = {**songs.first().asDict(), **sizes.first().asDict(), **metrics.first().asDict()}
+        with settings(spark, SMALL_SCANS):
+            row = {**songs.first().asDict(), **sizes.first().asDict(), **metrics.first().asDict()}
     finally:
         result.release()
     return spark.createDataFrame([row], ", ".join(f"{name} bigint" for name in row))
